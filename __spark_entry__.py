@@ -25,7 +25,7 @@ from remitlens.plans import (  # noqa: E402
     measures,
     segments,
 )
-from remitlens.plans.warehouse import BenchmarkWarehouse, Warehouse  # noqa: E402
+from remitlens.plans.warehouse import BenchmarkWarehouse, LoadedWarehouse, Warehouse, unstaged_warehouse  # noqa: E402
 from remitlens.schema import FACT_ORDERS, MARKET_REVIEWS, WAREHOUSE_TABLES  # noqa: E402
 from remitlens.session import new_folder  # noqa: E402
 from remitlens.settings import DISCREPANCY_TYPES  # noqa: E402
@@ -54,7 +54,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Cases and leakage by discrepancy type, as one plan from the given tables."""
-    wh = BenchmarkWarehouse(spark, "/root/testdata/sf0.001").lazy_warehouse()
+    wh = unstaged_warehouse(spark, "/root/testdata/sf0.001")
     return plain(rec.summarise(wh.discrepancies))
 
 
@@ -64,7 +64,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _on_warehouse(build: Callable[[Warehouse], DataFrame]) -> Query:
-    return lambda spark, folder: plain(build(BenchmarkWarehouse(spark, folder).warehouse()))
+    return lambda spark, folder: plain(build(BenchmarkWarehouse(spark, folder)))
 
 
 def _on_facts(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
@@ -78,18 +78,11 @@ def _on_facts(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
 
 
 def _on_market(build: Callable[[marketplace.Marketplace], DataFrame]) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        t = BenchmarkTables(spark, folder)
-        market = marketplace.Marketplace(
-            t.market_orders(), t.market_items(), t.market_payments(), t.market_reviews()
-        )
-        return plain(build(market))
-
-    return run
+    return lambda spark, folder: plain(build(marketplace.BenchmarkMarketplace(spark, folder)))
 
 
 def _one_rule(kind: str) -> Query:
-    return _on_facts(lambda s, o: rec.reconcile(s, o).where(F.col("discrepancy_type") == kind))
+    return _on_facts(lambda s, o: rec.reconcile(s, o, names=(kind,)))
 
 
 def _batch_rerun(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,10 +101,11 @@ def _batch_rerun(spark: SparkSession, folder: str) -> DataFrame:
 
 def _attached_trend(spark: SparkSession, folder: str) -> DataFrame:
     """The daily trend from a discrepancy list joined back to the settlements."""
-    facts = BenchmarkWarehouse(spark, folder)
-    wh = facts.warehouse()
-    joined = rec.attach_discrepancies(facts.settlements, facts.orders, wh.discrepancies)
-    return plain(kpis.daily_trend(Warehouse(wh.couriers, wh.geography, wh.merchants, wh.dates, wh.orders, joined)))
+    wh = BenchmarkWarehouse(spark, folder)
+    joined = rec.attach_discrepancies(wh.settlements, wh.orders, wh.discrepancies)
+    return plain(
+        kpis.daily_trend(LoadedWarehouse(wh.couriers, wh.geography, wh.merchants, wh.dates, wh.orders, joined))
+    )
 
 
 def _dq(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,7 +138,7 @@ def _reviews_csv(spark: SparkSession, folder: str) -> DataFrame:
     # The repeat with the higher score wins a tie of dates, as the columns after the date are compared in name order.
     reviews.withColumns(blank).write.option("header", True).csv(path)
     loaded = csv_tables.load_marketplace(spark, {"reviews": path})["reviews"]
-    kept = marketplace.latest_review_per_id(marketplace.Marketplace(loaded, loaded, loaded, loaded))
+    kept = marketplace.latest_review_per_id(marketplace.LoadedMarketplace(loaded, loaded, loaded, loaded))
     return plain(
         kept.groupBy("review_score").agg(
             F.count(F.lit(1)).alias("reviews"), F.count_distinct("order_id").alias("orders")
@@ -153,7 +147,7 @@ def _reviews_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _analyst_sql(spark: SparkSession, folder: str) -> DataFrame:
-    BenchmarkWarehouse(spark, folder).warehouse().discrepancies.createOrReplaceTempView("fact_discrepancies")
+    BenchmarkWarehouse(spark, folder).discrepancies.createOrReplaceTempView("fact_discrepancies")
     return plain(
         spark.sql(
             """SELECT batch_id, severity, count(*) AS cases, sum(variance_rs) AS leakage_rs
@@ -169,7 +163,7 @@ def _events(batch_id: str | None = None) -> Query:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         path = new_folder(spark, "events")
-        found = BenchmarkWarehouse(spark, folder).warehouse().discrepancies
+        found = BenchmarkWarehouse(spark, folder).discrepancies
         events.write_events(events.event_rows(found, DETECTED_AT, batch_id), path)
         return plain(events.parse_messages(spark.read.text(path)))
 
@@ -193,7 +187,7 @@ def _mart_upsert(wh: Warehouse) -> DataFrame:
 
 
 def _serving_bundle(spark: SparkSession, folder: str) -> DataFrame:
-    frames = exports.serving_frames(BenchmarkWarehouse(spark, folder).warehouse())
+    frames = exports.serving_frames(BenchmarkWarehouse(spark, folder))
     path = new_folder(spark, "serving")
     exports.write_json(frames, path)
     return plain(exports.bundle_sizes(spark, path, list(frames), "json"))

@@ -1,8 +1,8 @@
 """Global orderings without a one-partition window.
 
 Rows are cut into ordered slices by a range shuffle. Each slice works on its own rows and adds what the
-slices before it hold; that offset table has one row per slice. The sliced rows are checkpointed, so a
-lost executor cannot make the sampled slice limits differ between the two reads.
+slices before it hold; that offset table has one row per slice. The sliced rows are written before they
+are read twice, so a lost executor cannot make the sampled slice limits differ between the two reads.
 """
 
 from __future__ import annotations
@@ -11,16 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.functions.numbers import tile_of
-from remitlens.session import shared_folder
+from remitlens.session import written
 
 _SLICE = "_slice"
 
 
 def _sliced(df: DataFrame, order: list[Column]) -> DataFrame:
-    spark = df.sparkSession
-    shared_folder(spark)
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(slices, *order).withColumn(_SLICE, F.spark_partition_id()).checkpoint()
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.repartitionByRange(slices, *order).withColumn(_SLICE, F.spark_partition_id()), "sliced")
 
 
 def running_total(df: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:

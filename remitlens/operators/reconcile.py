@@ -6,10 +6,10 @@ built by one skew-safe join and then answers the analyst queries without joining
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitlens.operators.rules import disputes_column
+from remitlens.operators.rules import listed, with_disputes
 from remitlens.operators.skew import SHARE, heavy_keys, repeat_rows, spread_rows
 from remitlens.settings import RULES, SKEW, RuleSettings, SkewSettings
 
@@ -43,7 +43,9 @@ def match_orders(settlements: DataFrame, orders: DataFrame, batch_id: str | None
     """
     keys = ["awb_number"]
     if counts is None:
-        counts = settlements.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+        # The filter that the joins would infer stands here for all uses, so they share one shuffle.
+        named = settlements.where(F.col("awb_number").isNotNull())
+        counts = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     heavy = heavy_keys(counts, keys, "copies", skew)
     rows = settlements.select(*SETTLEMENT_COLUMNS)
     if batch_id is not None:
@@ -61,37 +63,37 @@ def match_orders(settlements: DataFrame, orders: DataFrame, batch_id: str | None
     )
 
 
-def with_disputes(matched: DataFrame, findings: Column) -> DataFrame:
-    total = F.aggregate(
-        "disputes", F.lit(0).cast("decimal(14,2)"), lambda sum_, d: (sum_ + d["variance_rs"]).cast("decimal(14,2)")
-    )
-    return (
-        matched.withColumn("disputes", findings)
-        .withColumn("dispute_count", F.size("disputes"))
-        .withColumn("leakage_rs", total)
-    )
-
-
 def outcomes(settlements: DataFrame, orders: DataFrame, batch_id: str | None = None, rules: RuleSettings = RULES,
              skew: SkewSettings = SKEW) -> DataFrame:
     """One row per settlement: its order, its copies and its discrepancies."""
-    return with_disputes(match_orders(settlements, orders, batch_id, skew), disputes_column(rules=rules))
+    return with_disputes(match_orders(settlements, orders, batch_id, skew), rules)
 
 
-def list_discrepancies(outcome_rows: DataFrame) -> DataFrame:
-    """One row per discrepancy."""
-    return outcome_rows.select(
-        "awb_number", "batch_id", "courier_id", "merchant_id", "geo_id", F.inline("disputes")
-    ).select(
+def _identified(rows: DataFrame) -> DataFrame:
+    return rows.select(
         F.concat_ws("|", "awb_number", "batch_id", "discrepancy_type").alias("discrepancy_id"),
         *DISCREPANCY_COLUMNS[1:],
     )
 
 
+_CARRIED = ("awb_number", "batch_id", "courier_id", "merchant_id", "geo_id")
+
+
+def list_discrepancies(outcome_rows: DataFrame) -> DataFrame:
+    """One row per discrepancy of stored outcomes."""
+    return _identified(outcome_rows.select(*_CARRIED, F.inline("disputes")))
+
+
+def find_discrepancies(matched: DataFrame, names: tuple[str, ...] | None = None,
+                       rules: RuleSettings = RULES) -> DataFrame:
+    """One row per discrepancy of matched settlements, under the named rules or all."""
+    return _identified(listed(matched, _CARRIED, names, rules))
+
+
 def reconcile(settlements: DataFrame, orders: DataFrame, batch_id: str | None = None, rules: RuleSettings = RULES,
-              skew: SkewSettings = SKEW) -> DataFrame:
-    """All discrepancies of all batches, or of one."""
-    return list_discrepancies(outcomes(settlements, orders, batch_id, rules, skew))
+              skew: SkewSettings = SKEW, names: tuple[str, ...] | None = None) -> DataFrame:
+    """All discrepancies of all batches, or of one; under all rules, or some."""
+    return find_discrepancies(match_orders(settlements, orders, batch_id, skew), names, rules)
 
 
 def summarise(discrepancies: DataFrame) -> DataFrame:

@@ -1,11 +1,11 @@
-"""The seven reconciliation rules as one array column.
+"""The seven reconciliation rules as columns of one row.
 
 Each rule yields a struct or null; a settlement row is tested against all rules in a single pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from remitlens.functions.pricing import forward_slab, is_cod_short, is_overweight, severity_of
@@ -77,8 +77,35 @@ def rule_columns(rules: RuleSettings = RULES) -> dict[str, Column]:
     }
 
 
-def disputes_column(names: tuple[str, ...] | None = None, rules: RuleSettings = RULES) -> Column:
-    """Array of the findings of the named rules (all by default), in rule order, without nulls."""
+def findings(names: tuple[str, ...] | None = None, rules: RuleSettings = RULES) -> dict[str, Column]:
+    """The finding columns of the named rules, all by default, in rule order."""
     columns = rule_columns(rules)
-    wanted = [columns[name] for name in (names or tuple(columns))]
-    return F.filter(F.array(*wanted), lambda finding: finding.isNotNull()).cast(DISPUTES)
+    return {name: columns[name] for name in (names or tuple(columns))}
+
+
+def listed(df: DataFrame, keep: tuple[str, ...], names: tuple[str, ...] | None = None,
+           rules: RuleSettings = RULES) -> DataFrame:
+    """One row per finding with the ``keep`` columns of its settlement.
+
+    The array is given to ``inline`` as an expression with its nulls, so that the rules run once per row:
+    from a column, Spark would infer a size filter and evaluate them again.
+    """
+    rows = df.select(*keep, F.inline(F.array(*findings(names, rules).values())))
+    return rows.where(F.col("discrepancy_type").isNotNull())
+
+
+def with_disputes(df: DataFrame, rules: RuleSettings = RULES) -> DataFrame:
+    """Add the array of findings, their number and their total variance, in generated code throughout."""
+    columns = findings(None, rules)
+    marked = df.select("*", *[finding.alias(name) for name, finding in columns.items()])
+    none = F.array().cast(DISPUTES)
+    found = [F.when(F.col(n).isNotNull(), F.array(F.col(n)).cast(DISPUTES)).otherwise(none) for n in columns]
+    count = sum((F.col(n).isNotNull().cast("int") for n in columns), F.lit(0))
+    variances = (F.coalesce(F.col(n)["variance_rs"], F.lit(0).cast("decimal(12,2)")) for n in columns)
+    leakage = sum(variances, F.lit(0).cast("decimal(12,2)")).cast("decimal(14,2)")
+    return marked.select(
+        *df.columns,
+        F.flatten(F.array(*found)).alias("disputes"),
+        count.alias("dispute_count"),
+        leakage.alias("leakage_rs"),
+    )

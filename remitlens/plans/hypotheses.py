@@ -84,7 +84,7 @@ def festival_dispute_test(wh: Warehouse) -> DataFrame:
 
 def cod_short_test(wh: Warehouse, courier: str) -> DataFrame:
     """Does one courier remit short more often than its peers, over orders with cash to collect?"""
-    is_short = F.exists("disputes", lambda d: d["discrepancy_type"] == "COD_SHORT_REMITTANCE")
+    is_short = F.array_contains("disputes.discrepancy_type", "COD_SHORT_REMITTANCE")
     short = wh.outcomes.where(is_short).select("awb_number").distinct().withColumn("short", F.lit(1))
     per_courier = (
         wh.orders.where(F.col("cod_amount") > 0)

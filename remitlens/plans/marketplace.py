@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.functions.calendar import fractional_days, month_date, month_id
@@ -12,7 +12,8 @@ from remitlens.functions.numbers import ratio
 from remitlens.operators.ordering import exact_quantiles
 from remitlens.plans.hypotheses import chi2_2x2
 from remitlens.plans.kpis import union_one_row
-from remitlens.session import shared_folder
+from remitlens.session import written
+from remitlens.sources.benchmark_tables import BenchmarkTables
 
 # Fixed values of the checks.
 MISMATCH_ABOVE = 1.0
@@ -21,7 +22,6 @@ MIN_SELLER_ITEMS = 50
 OUTLIER_QUANTILE = 0.99
 
 
-@dataclass(frozen=True)
 class Marketplace:
     orders: DataFrame
     items: DataFrame
@@ -29,6 +29,39 @@ class Marketplace:
     reviews: DataFrame
 
 
+@dataclass(frozen=True)
+class LoadedMarketplace(Marketplace):
+    """A marketplace over frames at hand."""
+
+    orders: DataFrame
+    items: DataFrame
+    payments: DataFrame
+    reviews: DataFrame
+
+
+class BenchmarkMarketplace(Marketplace):
+    """The marketplace derived from the given tables of one scale; a query plans the tables it reads."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.tables = BenchmarkTables(spark, folder)
+
+    @property
+    def orders(self) -> DataFrame:
+        return self.tables.market_orders()
+
+    @property
+    def items(self) -> DataFrame:
+        return self.tables.market_items()
+
+    @property
+    def payments(self) -> DataFrame:
+        return self.tables.market_payments()
+
+    @property
+    def reviews(self) -> DataFrame:
+        return self.tables.market_reviews()
+
+
 def _late() -> Column:
     """Delivered after the estimate; not late if either moment is unknown."""
     delivered, estimated = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
@@ -73,9 +106,7 @@ def freight_ratios(m: Marketplace) -> DataFrame:
 
 def freight_outliers(m: Marketplace) -> DataFrame:
     """Orders whose freight share lies above the exact 99th percentile."""
-    # Read twice, so the one column is kept rather than both sides folded again.
-    shared_folder(m.items.sparkSession)
-    ratios = freight_ratios(m).select("fr_ratio").checkpoint()
+    ratios = written(freight_ratios(m).select("fr_ratio"), "freight-ratios")
     cut = exact_quantiles(ratios, "fr_ratio", {"cut": OUTLIER_QUANTILE}).scalar()
     return ratios.withColumn("_cut", cut).agg(
         F.round(F.max("_cut"), 6).alias("cut"),

@@ -10,7 +10,7 @@ from remitlens.functions.numbers import ratio, tile_of
 from remitlens.operators.ordering import exact_quantiles, global_ntile
 from remitlens.plans.kpis import disputed_orders, joined_rows
 from remitlens.plans.warehouse import Warehouse
-from remitlens.session import shared_folder
+from remitlens.session import written
 
 # Fixed values of the health bands.
 HIGH_RISK, WATCHLIST, TOP_OF_SCALE = 0.30, 0.15, 2.0
@@ -81,8 +81,7 @@ def merchant_quartiles(wh: Warehouse, grain: str = "joined") -> DataFrame:
 
 def merchant_health(wh: Warehouse) -> DataFrame:
     """Merchants with quantile-threshold quartiles and right-closed health bands."""
-    shared_folder(wh.orders.sparkSession)
-    totals = merchant_totals(wh).checkpoint()
+    totals = written(merchant_totals(wh), "merchant-totals")
     limits = exact_quantiles(totals, "gmv", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
     return totals.join(wh.merchants.select("merchant_id", "category"), "merchant_id").select(
         "merchant_id",

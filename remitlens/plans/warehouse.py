@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.functions.calendar import is_festival, month_id, week_start
-from remitlens.operators.reconcile import SETTLEMENT_COLUMNS, list_discrepancies, outcomes
+from remitlens.operators.reconcile import list_discrepancies, outcomes
 from remitlens.operators.upsert import insert_missing
 from remitlens.session import new_folder
 from remitlens.sources.benchmark_tables import AS_OF, BenchmarkTables
@@ -38,8 +39,9 @@ def extend_dates(dates: DataFrame, orders: DataFrame, as_of: datetime.date) -> D
     return insert_missing(dates, derive_dates(orders, as_of), ["date_id"])
 
 
-@dataclass(frozen=True)
 class Warehouse:
+    """Dimensions, orders and outcomes; what else the queries need derives from them."""
+
     couriers: DataFrame
     geography: DataFrame
     merchants: DataFrame
@@ -47,10 +49,6 @@ class Warehouse:
     orders: DataFrame
     outcomes: DataFrame
 
-    @property
-    def settlements(self) -> DataFrame:
-        return self.outcomes.select(*SETTLEMENT_COLUMNS)
-
     @property
     def discrepancies(self) -> DataFrame:
         return list_discrepancies(self.outcomes.where(F.col("dispute_count") > 0))
@@ -64,10 +62,22 @@ class Warehouse:
         return df.join(self.geography.select("geo_id", "tier"), "geo_id")
 
 
-def from_tables(tables: dict[str, DataFrame], as_of: datetime.date) -> Warehouse:
+@dataclass(frozen=True)
+class LoadedWarehouse(Warehouse):
+    """A warehouse over frames at hand."""
+
+    couriers: DataFrame
+    geography: DataFrame
+    merchants: DataFrame
+    dates: DataFrame
+    orders: DataFrame
+    outcomes: DataFrame
+
+
+def from_tables(tables: dict[str, DataFrame], as_of: datetime.date) -> LoadedWarehouse:
     """A warehouse over loaded tables; outcomes are planned, not yet computed."""
     orders = tables["fact_orders"]
-    return Warehouse(
+    return LoadedWarehouse(
         tables["dim_courier"],
         tables["dim_geography"],
         tables["dim_merchant"],
@@ -91,45 +101,58 @@ def _stage(spark: SparkSession, folder: str, name: str, build: Callable[[], Data
     return read_table(spark, *_staged[key])
 
 
-class BenchmarkWarehouse:
+class BenchmarkWarehouse(Warehouse):
     """The warehouse derived from the given tables of one scale, loaded table by table when asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.tables = BenchmarkTables(spark, folder)
 
+    @cached_property
+    def couriers(self) -> DataFrame:
+        return self.tables.couriers()
+
+    @cached_property
+    def geography(self) -> DataFrame:
+        return self.tables.geography()
+
+    @cached_property
+    def merchants(self) -> DataFrame:
+        return self.tables.merchants()
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        return derive_dates(self.orders, AS_OF)
+
+    @cached_property
     def _keyed_orders(self) -> DataFrame:
         return _stage(self.spark, self.folder, "orders", self.tables.orders)
 
-    @property
+    @cached_property
     def orders(self) -> DataFrame:
-        return self._keyed_orders().drop("order_key")
+        return self._keyed_orders.drop("order_key")
 
-    @property
+    @cached_property
     def settlements(self) -> DataFrame:
         def build() -> DataFrame:
-            return self.tables.settlements(self._keyed_orders())
+            return self.tables.settlements(self._keyed_orders)
 
         return _stage(self.spark, self.folder, "settlements", build, "batch_id")
 
-    @property
+    @cached_property
     def outcomes(self) -> DataFrame:
         def build() -> DataFrame:
             return outcomes(self.settlements, self.orders)
 
         return _stage(self.spark, self.folder, "outcomes", build, "batch_id")
 
-    def warehouse(self) -> Warehouse:
-        t = self.tables
-        return Warehouse(
-            t.couriers(), t.geography(), t.merchants(), derive_dates(self.orders, AS_OF), self.orders, self.outcomes
-        )
 
-    def lazy_warehouse(self) -> Warehouse:
-        """The same tables as one plan from the given files, with nothing written in between."""
-        t, keyed = self.tables, self.tables.orders()
-        orders = keyed.drop("order_key")
-        return Warehouse(
-            t.couriers(), t.geography(), t.merchants(), derive_dates(orders, AS_OF), orders,
-            outcomes(t.settlements(keyed), orders),
-        )
+def unstaged_warehouse(spark: SparkSession, folder: str) -> LoadedWarehouse:
+    """The benchmark's warehouse as one plan from the given files, with nothing written in between."""
+    t = BenchmarkTables(spark, folder)
+    keyed = t.orders()
+    orders = keyed.drop("order_key")
+    return LoadedWarehouse(
+        t.couriers(), t.geography(), t.merchants(), derive_dates(orders, AS_OF), orders,
+        outcomes(t.settlements(keyed), orders),
+    )
