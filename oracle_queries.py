@@ -426,7 +426,7 @@ from header""", _HEADER
   round(leakage_rs/nullif(disputed_awbs,0),2) avg_loss_per_disputed_awb from header""", _HEADER
     )
     sql["daily_trend"] = sql["attached_trend"]
-    true_trend = """count(*) settlements, coalesce(sum(n),0) disputes, cast(coalesce(sum(v),0) as double) leakage_rs
+    true_trend = """count(*) settlements, cast(coalesce(sum(n),0) as bigint) disputes, cast(coalesce(sum(v),0) as double) leakage_rs
 from fact_settlements s left join by_pair p on p.awb_number=s.awb_number and p.batch_id=s.batch_id group by 1"""
     sql["daily_trend_settlement_grain"] = _with(
         f"select cast(s.settlement_date as varchar) kpi_date, {true_trend}", _BATCH_D
@@ -449,7 +449,7 @@ from fact_orders o join fact_settlements s on s.awb_number=o.awb_number
 join dim_courier c on c.courier_id=o.courier_id group by 1"""
     )
     sql["funnel"] = _with(
-        """select step, stage, n, round(cast(n as double)/nullif(lag(n) over (order by step),0),4) share_of_previous
+        """select cast(step as bigint) step, stage, n, round(cast(n as double)/nullif(lag(n) over (order by step),0),4) share_of_previous
 from (select 1 step, 'Orders' stage, (select count(*) from fact_orders) n
   union all select 2, 'Delivered', (select count(*) from fact_orders where order_status='DELIVERED')
   union all select 3, 'Settled', settled_awbs from header
@@ -713,7 +713,7 @@ from (select cast(count(*) filter (where f and x) as double) a, cast(count(*) fi
     left join (select distinct awb_number from fact_discrepancies
       where discrepancy_type='COD_SHORT_REMITTANCE') d on d.awb_number=o.awb_number where o.cod_amount>0))"""
     )
-    sql["weekly_series"] = _with("select cast(wk as varchar) wk, leakage_rs, fest, t from series", SERIES)
+    sql["weekly_series"] = _with("select cast(wk as varchar) wk, leakage_rs, cast(fest as bigint) fest, t from series", SERIES)
     sql["ridge_fit"] = _with(
         """select weeks, cast(last_wk as varchar) last_wk, round(intercept,3) intercept, round(coef_t,3) coef_t,
   round(coef_fest,3) coef_fest,
@@ -722,7 +722,7 @@ from (select cast(count(*) filter (where f and x) as double) a, cast(count(*) fi
     )
     sql["ridge_forecast"] = _with("select cast(wk as varchar) wk, leakage_rs from forecast", SERIES)
     sql["actual_and_forecast"] = _with(
-        """select cast(wk as varchar) wk, leakage_rs, 0 as forecast from series
+        """select cast(wk as varchar) wk, leakage_rs, cast(0 as bigint) as forecast from series
 union all select cast(wk as varchar), leakage_rs, 1 from forecast""", SERIES
     )
 

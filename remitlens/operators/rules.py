@@ -5,6 +5,8 @@ Each rule yields a struct or null; a settlement row is tested against all rules
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,89 +25,95 @@ PER_ROW_RULES = (
 )
 
 
-def _finding(kind: str, when: Column, expected: Column, actual: Column, variance: Column, severity: Column) -> Column:
-    money = "decimal(12,2)"
-    found = F.struct(
-        F.lit(kind).alias("discrepancy_type"),
-        expected.cast(money).alias("expected_value"),
-        actual.cast(money).alias("actual_value"),
-        variance.cast(money).alias("variance_rs"),
-        severity.alias("severity"),
-    )
-    return F.when(when, found)
+class Rule(NamedTuple):
+    """When a rule fires, and what it then reports."""
+
+    fires: Column
+    expected: Column
+    actual: Column
+    variance: Column
+    severity: Column
+
+    def amount(self) -> Column:
+        return self.variance.cast("decimal(12,2)")
 
+    def finding(self, kind: str) -> Column:
+        """The report as a struct, or null."""
+        report = F.struct(
+            F.lit(kind).alias("discrepancy_type"),
+            self.expected.cast("decimal(12,2)").alias("expected_value"),
+            self.actual.cast("decimal(12,2)").alias("actual_value"),
+            self.amount().alias("variance_rs"),
+            self.severity.alias("severity"),
+        )
+        return F.when(self.fires, report)
 
-def rule_columns(rules: RuleSettings = RULES) -> dict[str, Column]:
-    """Rule name to finding column, over a frame with settlement columns and the order's attributes."""
+
+def all_rules(limits: RuleSettings = RULES) -> dict[str, Rule]:
+    """The rules by name, over a frame with settlement columns and the order's attributes."""
     cod, settled = F.col("cod_amount"), F.col("settled_cod")
     declared, charged = F.col("declared_weight"), F.col("charged_weight")
     rto, forward = F.col("rto_charge"), F.col("forward_charge")
     promised, actual = F.col("promised_eta_hrs"), F.col("actual_eta_hrs")
     delivered = F.col("order_status") == "DELIVERED"
     days = F.datediff("settlement_date", "order_date")
-    extra_weight = (charged - declared) * F.lit(rules.rupees_per_kg)
-    slab = forward_slab(declared, rules)
-    low = F.lit("LOW")
-    overdue_grade = F.when(days > rules.overdue_high_days, "HIGH").otherwise("MEDIUM")
+    extra_weight = (charged - declared) * F.lit(limits.rupees_per_kg)
+    slab = forward_slab(declared, limits)
     copies = F.col("copies")
     return {
-        "COD_SHORT_REMITTANCE": _finding(
-            "COD_SHORT_REMITTANCE", is_cod_short(cod, settled, rules), cod, settled, cod - settled,
-            severity_of(cod - settled, rules),
-        ),
-        "WEIGHT_DISPUTE": _finding(
-            "WEIGHT_DISPUTE", is_overweight(declared, charged, rules), declared, charged,
-            F.round(extra_weight, 0), severity_of(extra_weight, rules),
-        ),
-        "PHANTOM_RTO_CHARGE": _finding(
-            "PHANTOM_RTO_CHARGE", (rto > 0) & delivered, F.lit(0), rto, rto, severity_of(rto, rules)
+        "COD_SHORT_REMITTANCE": Rule(
+            is_cod_short(cod, settled, limits), cod, settled, cod - settled, severity_of(cod - settled, limits)
         ),
-        "OVERDUE_REMITTANCE": _finding(
-            "OVERDUE_REMITTANCE", days > rules.overdue_days, F.lit(rules.overdue_days), days, settled, overdue_grade
+        # Graded on the unrounded amount.
+        "WEIGHT_DISPUTE": Rule(
+            is_overweight(declared, charged, limits), declared, charged, F.round(extra_weight, 0),
+            severity_of(extra_weight, limits),
         ),
-        "DUPLICATE_SETTLEMENT": _finding(
-            "DUPLICATE_SETTLEMENT", F.col("has_order") & (copies > 1), F.lit(1), copies, settled, F.lit("HIGH")
+        "PHANTOM_RTO_CHARGE": Rule((rto > 0) & delivered, F.lit(0), rto, rto, severity_of(rto, limits)),
+        # The cash that is late, graded by days.
+        "OVERDUE_REMITTANCE": Rule(
+            days > limits.overdue_days, F.lit(limits.overdue_days), days, settled,
+            F.when(days > limits.overdue_high_days, "HIGH").otherwise("MEDIUM"),
         ),
-        "ETA_SLA_BREACH": _finding(
-            "ETA_SLA_BREACH", delivered & (actual > promised * F.lit(rules.eta_tolerance)), promised, actual,
-            F.lit(0), low,
+        "DUPLICATE_SETTLEMENT": Rule(F.col("has_order") & (copies > 1), F.lit(1), copies, settled, F.lit("HIGH")),
+        # No money, but it counts as a dispute.
+        "ETA_SLA_BREACH": Rule(
+            delivered & (actual > promised * F.lit(limits.eta_tolerance)), promised, actual, F.lit(0), F.lit("LOW")
         ),
-        "EXCESS_FORWARD_CHARGE": _finding(
-            "EXCESS_FORWARD_CHARGE", forward > slab * F.lit(rules.forward_tolerance), slab, forward,
-            forward - slab, severity_of(forward - slab, rules),
+        "EXCESS_FORWARD_CHARGE": Rule(
+            forward > slab * F.lit(limits.forward_tolerance), slab, forward, forward - slab,
+            severity_of(forward - slab, limits),
         ),
     }
 
 
-def findings(names: tuple[str, ...] | None = None, rules: RuleSettings = RULES) -> dict[str, Column]:
-    """The finding columns of the named rules, all by default, in rule order."""
-    columns = rule_columns(rules)
-    return {name: columns[name] for name in (names or tuple(columns))}
-
-
 def listed(df: DataFrame, keep: tuple[str, ...], names: tuple[str, ...] | None = None,
-           rules: RuleSettings = RULES) -> DataFrame:
-    """One row per finding with the ``keep`` columns of its settlement.
+           limits: RuleSettings = RULES) -> DataFrame:
+    """One row per finding of the named rules (all by default) with the ``keep`` columns of its settlement.
 
     The array is given to ``inline`` as an expression with its nulls, so that the rules run once per row:
     from a column, Spark would infer a size filter and evaluate them again.
     """
-    rows = df.select(*keep, F.inline(F.array(*findings(names, rules).values())))
-    return rows.where(F.col("discrepancy_type").isNotNull())
-
-
-def with_disputes(df: DataFrame, rules: RuleSettings = RULES) -> DataFrame:
-    """Add the array of findings, their number and their total variance, in generated code throughout."""
-    columns = findings(None, rules)
-    marked = df.select("*", *[finding.alias(name) for name, finding in columns.items()])
-    none = F.array().cast(DISPUTES)
-    found = [F.when(F.col(n).isNotNull(), F.array(F.col(n)).cast(DISPUTES)).otherwise(none) for n in columns]
-    count = sum((F.col(n).isNotNull().cast("int") for n in columns), F.lit(0))
-    variances = (F.coalesce(F.col(n)["variance_rs"], F.lit(0).cast("decimal(12,2)")) for n in columns)
-    leakage = sum(variances, F.lit(0).cast("decimal(12,2)")).cast("decimal(14,2)")
-    return marked.select(
-        *df.columns,
-        F.flatten(F.array(*found)).alias("disputes"),
+    rules = all_rules(limits)
+    found = F.array(*[rules[name].finding(name) for name in (names or tuple(rules))])
+    return df.select(*keep, F.inline(found)).where(F.col("discrepancy_type").isNotNull())
+
+
+def with_disputes(df: DataFrame, limits: RuleSettings = RULES) -> DataFrame:
+    """Add the array of findings, their number and their total variance.
+
+    Number and total come from the rules, not from the array: columns of structs in between would cost more
+    than testing a rule twice.
+    """
+    rules = all_rules(limits)
+    found = F.array(*[rule.finding(name) for name, rule in rules.items()])
+    count, total = F.lit(0), F.lit(0).cast("decimal(14,2)")
+    for rule in rules.values():
+        count = count + F.when(rule.fires, 1).otherwise(0)
+        total = (total + F.when(rule.fires, rule.amount()).otherwise(F.lit(0))).cast("decimal(14,2)")
+    return df.select(
+        "*",
+        F.array_compact(found).cast(DISPUTES).alias("disputes"),
         count.alias("dispute_count"),
-        leakage.alias("leakage_rs"),
+        total.alias("leakage_rs"),
     )

@@ -26,9 +26,8 @@ def given_tables(folder: str) -> duckdb.DuckDBPyConnection:
 def _value(value):
     if isinstance(value, bool):
         return int(value)
-    if isinstance(value, (float, decimal.Decimal)):
-        number = float(value)
-        return int(number) if number == int(number) else float(f"{number:.9g}")
+    if isinstance(value, decimal.Decimal):
+        return float(value)
     if isinstance(value, (datetime.date, datetime.datetime)):
         return value.isoformat()
     return value
@@ -44,6 +43,10 @@ def differences(spark_df, connection, sql: str) -> str | None:
     """None if both results agree, else what differs first."""
     got = normal(spark_df.columns, [tuple(r) for r in spark_df.collect()])
     result = connection.execute(sql)
+    types = {c[0]: str(c[1]).lower() for c in result.description}
+    mine = {f.name: f.dataType.simpleString().replace("string", "varchar") for f in spark_df.schema.fields}
+    if types != mine:
+        return f"types {sorted(set(types.items()) ^ set(mine.items()))}"
     expected = normal([c[0] for c in result.description], result.fetchall())
     if got[0] != expected[0]:
         return f"columns {got[0]} against {expected[0]}"
