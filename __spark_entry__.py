@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_queries  # noqa: E402
+from remitlens.functions.numbers import half_even  # noqa: E402
 from remitlens.operators import quality, reconcile as rec, upsert  # noqa: E402
 from remitlens.plans import (  # noqa: E402
     forecast,
@@ -27,7 +28,7 @@ from remitlens.plans import (  # noqa: E402
 )
 from remitlens.plans.warehouse import BenchmarkWarehouse, LoadedWarehouse, Warehouse, unstaged_warehouse  # noqa: E402
 from remitlens.schema import FACT_ORDERS, MARKET_REVIEWS, WAREHOUSE_TABLES  # noqa: E402
-from remitlens.session import new_folder  # noqa: E402
+from remitlens.session import new_folder, written  # noqa: E402
 from remitlens.settings import DISCREPANCY_TYPES  # noqa: E402
 from remitlens.sources import csv_tables, events, exports  # noqa: E402
 from remitlens.sources.benchmark_tables import BenchmarkTables  # noqa: E402
@@ -173,14 +174,14 @@ def _events(batch_id: str | None = None) -> Query:
 def _mart_upsert(wh: Warehouse) -> DataFrame:
     """Refresh a stored mart that holds a stale day and outdated figures."""
     fresh = marts.daily_kpis(wh)
-    outdated = fresh.withColumns({"orders": F.lit(0), "leakage_rs": F.lit(0).cast("decimal(14,2)")})
+    outdated = fresh.withColumns({"orders": F.lit(0).cast("long"), "leakage_rs": F.lit(0).cast("decimal(24,2)")})
     stale = wh.couriers.select(
         F.lit(datetime.date(1990, 1, 1)).alias("kpi_date"),
         "courier_id",
         F.lit(0).alias("geo_id"),
         F.lit(1).alias("orders"),
         F.lit(0).alias("disputed_awbs"),
-        F.lit(0).cast("decimal(14,2)").alias("leakage_rs"),
+        F.lit(0).cast("decimal(24,2)").alias("leakage_rs"),
         F.lit(5).cast("decimal(8,2)").alias("avg_dso_days"),
     )
     return marts.upsert_daily_kpis(outdated.unionByName(stale), fresh)
@@ -305,7 +306,7 @@ def queries() -> dict[str, Query]:
         "tier_leakage_share": on(lambda wh: kpis.tier_entry(wh).select("tier", "leakage_pct_of_gmv")),
         # Drill-down.
         "rca_cells": on(kpis.rca_cells),
-        "rca_cells_export": on(lambda wh: kpis.rca_cells(wh, 60, half_even=True)),
+        "rca_cells_export": on(lambda wh: kpis.rca_cells(wh, 60, rounded=half_even)),
         "rca_workbench": on(lambda wh: kpis.rca_workbench(wh, tier="Tier-3")),
         "rca_workbench_courier": on(lambda wh: kpis.rca_workbench(wh, courier="ASIA")),
         "rca_rollup": on(kpis.rca_rollup),
@@ -316,7 +317,7 @@ def queries() -> dict[str, Query]:
         "severity_mix": on(kpis.severity_mix),
         "worst_courier_per_tier": on(kpis.worst_courier_per_tier),
         "pareto_couriers": on(kpis.pareto_couriers),
-        "pareto_export": on(lambda wh: kpis.pareto_couriers(wh, half_even=True)),
+        "pareto_export": on(lambda wh: kpis.pareto_couriers(wh, rounded=half_even)),
         "treemap": on(kpis.treemap),
         "scatter": on(kpis.scatter),
         # Lists.
@@ -360,8 +361,10 @@ def queries() -> dict[str, Query]:
         "actual_and_forecast": on(lambda wh: forecast.actual_and_forecast(forecast.weekly_series(wh))),
         # Marketplace.
         "late_rate": market(marketplace.late_rate),
-        "payment_mismatch": market(marketplace.payment_mismatch),
-        "freight_outliers": market(marketplace.freight_outliers),
+        "payment_mismatch": market(lambda m: marketplace.payment_mismatch(marketplace.billed_and_paid(m))),
+        "freight_outliers": market(
+            lambda m: marketplace.freight_outliers(written(marketplace.billed_and_paid(m), "bills"))
+        ),
         "review_impact_first": market(lambda m: marketplace.review_impact_first(m).drop("p_value")),
         "review_impact_latest": market(marketplace.review_impact_latest),
         "review_pivot": market(marketplace.review_pivot),

@@ -130,7 +130,7 @@ raw_items as (
   from lineitem),
 raw_payments as (
   select order_id, 1 payment_sequential, cast(sum(price+freight_value)
-    + max(case when cast(substr(order_id,2) as bigint)%40=0 then 5.25 else 0 end) as decimal(12,2)) payment_value
+    + max(case when cast(substr(order_id,2) as bigint)%40=0 then 5.25 else 0 end) as decimal(22,2)) payment_value
   from raw_items group by order_id),
 raw_reviews as (
   select concat('R',cast(l_orderkey as varchar),'-',cast(l_linenumber as varchar)) review_id,
@@ -221,7 +221,7 @@ coefs as (
   select *, (ff*ty-tf*fy)/(tt*ff-tf*tf) coef_t, (tt*fy-tf*ty)/(tt*ff-tf*tf) coef_fest from sums),
 fit as (select *, ym-coef_t*tm-coef_fest*fm intercept from coefs),
 forecast as (
-  select last_wk+cast(7*i as int) wk, round_even(intercept+coef_t*(weeks+i-1), 0) leakage_rs
+  select last_wk+cast(7*i as int) wk, round_even(round(intercept+coef_t*(weeks+i-1),9),0) leakage_rs
   from fit, (select unnest([1,2,3,4]) i))"""
 
 _D_OUT = """discrepancy_id, awb_number, batch_id, cast(courier_id as bigint) courier_id, merchant_id,
@@ -253,7 +253,7 @@ def _chi2(a: str, b: str, c: str, d: str) -> str:
 
 
 def _cell_list(order: str, limit: int, mean: str, where: str = "true") -> str:
-    return f"""select courier_name, tier, discrepancy_type, cases, leakage_rs, {mean}(leakage_rs/cases, 0) avg_loss
+    return f"""select courier_name, tier, discrepancy_type, cases, leakage_rs, {mean}(round(leakage_rs/cases,9), 0) avg_loss
 from cells where {where} order by leakage_rs desc, courier_name, tier, discrepancy_type limit {limit}"""
 
 
@@ -267,7 +267,7 @@ header as (
     avg(cast(date_diff('day', o.order_date, s.settlement_date) as double)) dso
   from {S_D} left join fact_orders o on o.awb_number=s.awb_number)"""
 
-_PCT = "round(100.0::double*disputed_awbs/nullif(settled_awbs,0),2)"
+_PCT = "round(round(100.0::double*disputed_awbs/nullif(settled_awbs,0),9),2)"
 
 _SEGMENTS = f"""
 m as (
@@ -276,7 +276,7 @@ m as (
     cast(count(d.awb_number) as double)/nullif(count(*),0) dispute_rate
   from {O_D} group by o.merchant_id),
 seg as (
-  select merchant_id, orders, gmv, leakage_rs, round(dispute_rate*100,1) dispute_pct,
+  select merchant_id, orders, gmv, leakage_rs, round(round(dispute_rate*100,9),1) dispute_pct,
     cast(ntile(4) over (order by gmv desc, merchant_id) as bigint) value_quartile,
     case when dispute_rate>0.3::double then 'high-risk' when dispute_rate>0.15::double then 'watchlist'
       else 'healthy' end health_band from m)"""
@@ -418,12 +418,12 @@ from fact_discrepancies where discrepancy_type='OVERDUE_REMITTANCE' and variance
         f"select settled_awbs, disputed_awbs, {_PCT} dispute_rate_pct, leakage_rs from header", _HEADER
     )
     sql["header_kpis_dso"] = _with(
-        f"""select settled_awbs, disputed_awbs, {_PCT} dispute_rate_pct, leakage_rs, round(dso,1) avg_dso_days
+        f"""select settled_awbs, disputed_awbs, {_PCT} dispute_rate_pct, leakage_rs, round(round(dso,9),1) avg_dso_days
 from header""", _HEADER
     )
     sql["glossary"] = _with(
-        f"""select leakage_rs recoverable_leakage_rs, {_PCT} dispute_rate_pct, round(dso,1) dso_days,
-  round(leakage_rs/nullif(disputed_awbs,0),2) avg_loss_per_disputed_awb from header""", _HEADER
+        f"""select leakage_rs recoverable_leakage_rs, {_PCT} dispute_rate_pct, round(round(dso,9),1) dso_days,
+  round(round(leakage_rs/nullif(disputed_awbs,0),9),2) avg_loss_per_disputed_awb from header""", _HEADER
     )
     sql["daily_trend"] = sql["attached_trend"]
     true_trend = """count(*) settlements, cast(coalesce(sum(n),0) as bigint) disputes, cast(coalesce(sum(v),0) as double) leakage_rs
@@ -435,21 +435,21 @@ from fact_settlements s left join by_pair p on p.awb_number=s.awb_number and p.b
         f"select cast({_wk('s.settlement_date')} as varchar) wk, {_TREND} from {S_D} group by 1"
     )
     wow = """select cast(wk as varchar) wk, leakage_rs, lag(leakage_rs) over (order by wk) prev_wk,
-  round(100.0::double*(leakage_rs-lag(leakage_rs) over (order by wk))
-    /nullif(lag(leakage_rs) over (order by wk),0),1) wow_pct
+  round(round(100.0::double*(leakage_rs-lag(leakage_rs) over (order by wk))
+    /nullif(lag(leakage_rs) over (order by wk),0),9),1) wow_pct
 from (select {week} wk, cast(coalesce(sum(d.variance_rs),0) as double) leakage_rs from {source} group by 1)"""
     sql["weekly_wow"] = _with(wow.format(week=_wk("s.settlement_date"), source=S_D))
     sql["weekly_wow_iso"] = _with(
         wow.format(week="cast(date_trunc('week', s.settlement_date) as date)", source=S_D)
     )
     sql["dso_by_courier"] = _with(
-        """select c.courier_name, round(avg(cast(date_diff('day', o.order_date, s.settlement_date) as double)),1)
+        """select c.courier_name, round(round(avg(cast(date_diff('day', o.order_date, s.settlement_date) as double)),9),1)
     avg_dso_days, quantile_cont(cast(date_diff('day', o.order_date, s.settlement_date) as double), 0.5) p50_dso
 from fact_orders o join fact_settlements s on s.awb_number=o.awb_number
 join dim_courier c on c.courier_id=o.courier_id group by 1"""
     )
     sql["funnel"] = _with(
-        """select cast(step as bigint) step, stage, n, round(cast(n as double)/nullif(lag(n) over (order by step),0),4) share_of_previous
+        """select cast(step as bigint) step, stage, n, round(round(cast(n as double)/nullif(lag(n) over (order by step),0),9),4) share_of_previous
 from (select 1 step, 'Orders' stage, (select count(*) from fact_orders) n
   union all select 2, 'Delivered', (select count(*) from fact_orders where order_status='DELIVERED')
   union all select 3, 'Settled', settled_awbs from header
@@ -459,7 +459,7 @@ from (select 1 step, 'Orders' stage, (select count(*) from fact_orders) n
     sql["festival_vs_normal"] = _with(
         """select case when dt.is_festival then 'festival' else 'normal' end period,
   count(distinct s.awb_number) settled, count(d.awb_number) disputes,
-  round(100.0::double*count(d.awb_number)/nullif(count(distinct s.awb_number),0),2) dispute_pct,
+  round(round(100.0::double*count(d.awb_number)/nullif(count(distinct s.awb_number),0),9),2) dispute_pct,
   cast(coalesce(sum(d.variance_rs),0) as double) leakage_rs
 from fact_settlements s join fact_orders o on o.awb_number=s.awb_number
 join dim_date dt on dt.date_id=o.order_date
@@ -467,8 +467,8 @@ left join fact_discrepancies d on d.awb_number=s.awb_number and d.batch_id=s.bat
     )
 
     # Scorecards.
-    card = """select courier_name, orders, round(ontime*100,1) ontime_pct, round(dispute*100,1) dispute_pct,
-  round(reliability*100,1) reliability_score, rank() over (order by reliability desc) reliability_rank, leakage_rs
+    card = """select courier_name, orders, round(round(ontime*100,9),1) ontime_pct, round(round(dispute*100,9),1) dispute_pct,
+  round(round(reliability*100,9),1) reliability_score, rank() over (order by reliability desc) reliability_rank, leakage_rs
 from {source}"""
     sql["courier_scorecard"] = _with(card.format(source="scored"), SCORE)
     sql["courier_scorecard_order_grain"] = _with(
@@ -485,32 +485,32 @@ from {source}"""
   cast(floor(rank() over (order by reliability desc) + (count(*) over (partition by reliability)-1)/2.0) as bigint)
     "rank" from (select * replace ({score} as reliability) from scored)"""
     sql["courier_scorecard_frame"] = _with(ranked.format(score="reliability*100"), SCORE)
-    sql["scorecard_export"] = _with(ranked.format(score="round_even(reliability*100,1)"), SCORE)
+    sql["scorecard_export"] = _with(ranked.format(score="round_even(round(reliability*100,9),1)"), SCORE)
     sql["dispute_share_by_courier"] = _with(
         "select courier_name, round(100*dispute,6) dispute_pct, leakage_rs from scored", SCORE
     )
     radar = [
-        ("Reliability", "round_even(reliability*100,1)"), ("On-time %", "100*ontime"), ("Clean %", "100*(1-dispute)"),
+        ("Reliability", "round_even(round(reliability*100,9),1)"), ("On-time %", "100*ontime"), ("Clean %", "100*(1-dispute)"),
         ("No-phantom %", "100*(1-phantom)"),
     ]
     names = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
     sql["radar"] = _with(
         "\nunion all ".join(
             f"select '{m}' metric, "
-            + ", ".join(f"round(max({v}) filter (where courier_name='{n}'),1) \"{n}\"" for n in names)
+            + ", ".join(f"round(round(max({v}) filter (where courier_name='{n}'),9),1) \"{n}\"" for n in names)
             + " from scored"
             for m, v in radar
         ),
         SCORE,
     )
-    pct_gmv = "round(100.0::double*leakage_rs/nullif(gmv,0),2) leakage_pct_of_gmv"
+    pct_gmv = "round(round(100.0::double*leakage_rs/nullif(gmv,0),9),2) leakage_pct_of_gmv"
     sql["tier_entry"] = _with(
-        f"select tier, orders, gmv, leakage_rs, {pct_gmv}, round(delay,1) avg_delay_hrs from te", _TIER
+        f"select tier, orders, gmv, leakage_rs, {pct_gmv}, round(round(delay,9),1) avg_delay_hrs from te", _TIER
     )
     sql["tier_entry_export"] = _with("select tier, orders, gmv, leakage_rs, round(delay,6) delay from te", _TIER)
     sql["tier_leakage_share"] = _with(f"select tier, {pct_gmv} from te", _TIER)
     sql["tier_entry_order_grain"] = _with(
-        f"""select tier, orders, gmv, leakage_rs, {pct_gmv}, round(delay,1) avg_delay_hrs from (
+        f"""select tier, orders, gmv, leakage_rs, {pct_gmv}, round(round(delay,9),1) avg_delay_hrs from (
   select g.tier, count(*) orders, cast(sum(o.order_value) as double) gmv,
     cast(coalesce(sum(b.v),0) as double) leakage_rs,
     avg(cast(o.actual_eta_hrs-o.promised_eta_hrs as double)) delay
@@ -550,9 +550,9 @@ from {source}"""
 from (select tier, courier_name, cast(sum(cases) as bigint) disputes, round(sum(leakage_rs),6) leakage_rs
   from cells group by 1, 2)""", CELLS
     )
-    pareto = """select courier_name, cases, leakage_rs, {r}(100*(leakage_rs/sum(leakage_rs) over ()),1) pct_of_total,
-  {r}(100*(sum(leakage_rs) over (order by leakage_rs desc, courier_name rows unbounded preceding)
-    /sum(leakage_rs) over ()),1) running_pct
+    pareto = """select courier_name, cases, leakage_rs, {r}(round(100*(leakage_rs/sum(leakage_rs) over ()),9),1) pct_of_total,
+  {r}(round(100*(sum(leakage_rs) over (order by leakage_rs desc, courier_name rows unbounded preceding)
+    /sum(leakage_rs) over ()),9),1) running_pct
 from (select courier_name, cast(sum(cases) as bigint) cases, round(sum(leakage_rs),6) leakage_rs
   from cells group by 1)"""
     sql["pareto_couriers"] = _with(pareto.format(r="round"), CELLS)
@@ -565,7 +565,7 @@ from (select *, cast(floor(leakage_rs+0.5) as bigint) size from cells)""", CELLS
     )
     sql["scatter"] = _with(
         """select discrepancy_type, courier_name, tier, cases x,
-  cast(floor(round_even(leakage_rs/cases,0)+0.5) as bigint) y, cast(floor(leakage_rs+0.5) as bigint) z,
+  cast(floor(round_even(round(leakage_rs/cases,9),0)+0.5) as bigint) y, cast(floor(leakage_rs+0.5) as bigint) z,
   cast(sum(floor(leakage_rs+0.5)) over (partition by discrepancy_type) as bigint) group_total from cells""", CELLS
     )
 
@@ -595,18 +595,18 @@ order by o.cod_amount-s.settled_cod desc, o.awb_number, s.batch_id limit 100"""
     sql["weight_list"] = _with(
         """select * from (select o.awb_number, s.batch_id, c.courier_name, g.tier,
   cast(o.declared_weight as double) declared_weight, cast(s.charged_weight as double) charged_weight,
-  round(100.0::double*cast(s.charged_weight-o.declared_weight as double)
-    /nullif(cast(o.declared_weight as double),0),1) inflate_pct, cast(s.forward_charge as double) forward_charge
+  round(round(100.0::double*cast(s.charged_weight-o.declared_weight as double)
+    /nullif(cast(o.declared_weight as double),0),9),1) inflate_pct, cast(s.forward_charge as double) forward_charge
 from fact_orders o join fact_settlements s on s.awb_number=o.awb_number
 join dim_courier c on c.courier_id=o.courier_id join dim_geography g on g.geo_id=o.geo_id
 where s.charged_weight > o.declared_weight*1.10) order by inflate_pct desc, awb_number, batch_id limit 100"""
     )
     sql["eta_adherence"] = _with(
         """select c.courier_name, g.tier, count(*) delivered,
-  round(avg(cast(o.actual_eta_hrs-o.promised_eta_hrs as double)),1) avg_delay_hrs,
+  round(round(avg(cast(o.actual_eta_hrs-o.promised_eta_hrs as double)),9),1) avg_delay_hrs,
   round(quantile_cont(cast(o.actual_eta_hrs as double),0.5),6) p50_eta,
   round(quantile_cont(cast(o.actual_eta_hrs as double),0.95),6) p95_eta,
-  round(100.0::double*sum(case when o.actual_eta_hrs<=o.promised_eta_hrs then 1 else 0 end)/count(*),1) sla_met_pct
+  round(round(100.0::double*sum(case when o.actual_eta_hrs<=o.promised_eta_hrs then 1 else 0 end)/count(*),9),1) sla_met_pct
 from fact_orders o join dim_courier c on c.courier_id=o.courier_id join dim_geography g on g.geo_id=o.geo_id
 where o.order_status='DELIVERED' and o.actual_eta_hrs is not null group by 1, 2"""
     )
@@ -615,7 +615,7 @@ where o.order_status='DELIVERED' and o.actual_eta_hrs is not null group by 1, 2"
     sql["merchant_segments"] = _with("select * from seg order by gmv desc, merchant_id limit 50", _SEGMENTS)
     sql["merchant_quartiles"] = _with("select * from seg", _SEGMENTS)
     sql["merchant_segments_order_grain"] = _with(
-        """select merchant_id, orders, gmv, leakage_rs, round(rate*100,1) dispute_pct,
+        """select merchant_id, orders, gmv, leakage_rs, round(round(rate*100,9),1) dispute_pct,
   cast(ntile(4) over (order by gmv desc, merchant_id) as bigint) value_quartile,
   case when rate>0.3::double then 'high-risk' when rate>0.15::double then 'watchlist' else 'healthy' end health_band
 from (select o.merchant_id, count(*) orders, cast(sum(o.order_value) as double) gmv,
@@ -632,7 +632,7 @@ from m join dim_merchant using (merchant_id), (select quantile_cont(gmv,[0.25,0.
     )
     sql["merchant_retention"] = _with(
         f"""select count(*) disputed_merchants, count(a.merchant_id) retained,
-  round(100*(cast(count(a.merchant_id) as double)/nullif(count(*),0)),2) retention_pct
+  round(round(100*(cast(count(a.merchant_id) as double)/nullif(count(*),0)),9),2) retention_pct
 from (select o.merchant_id, {_wk('min(s.settlement_date)')}+28 wk from fact_discrepancies d
   join fact_settlements s on s.awb_number=d.awb_number and s.batch_id=d.batch_id
   join fact_orders o on o.awb_number=d.awb_number group by 1) f
@@ -685,7 +685,7 @@ left join (select kpi_date, sum(leakage_rs) v from mart group by 1) b on b.kpi_d
     sql["welch_weight"] = _with(
         """select n_a, n_b, round(m_a,6) mean_a, round(m_b,6) mean_b, round(v_a,6) var_a, round(v_b,6) var_b,
   round((m_a-m_b)/sqrt(v_a/n_a+v_b/n_b),6) t,
-  round(power(v_a/n_a+v_b/n_b,2)/(power(v_a/n_a,2)/(n_a-1)+power(v_b/n_b,2)/(n_b-1)),4) df
+  round(round(power(v_a/n_a+v_b/n_b,2)/(power(v_a/n_a,2)/(n_a-1)+power(v_b/n_b,2)/(n_b-1)),9),4) df
 from (select count(*) filter (where g) n_a, count(*) filter (where not g) n_b, avg(x) filter (where g) m_a,
     avg(x) filter (where not g) m_b, var_samp(x) filter (where g) v_a, var_samp(x) filter (where not g) v_b
   from (select (cast(s.charged_weight as double)-cast(o.declared_weight as double))
@@ -729,13 +729,13 @@ union all select cast(wk as varchar), leakage_rs, 1 from forecast""", SERIES
     # Marketplace.
     sql["late_rate"] = _market(
         """select count(*) delivered, count(*) filter (where late) late_n,
-  round(cast(count(*) filter (where late) as double)/count(*),4) late_rate,
-  round(avg(case when late then date_diff('second', order_estimated_delivery_date, order_delivered_customer_date)
-    /86400.0::double end),4) avg_late_days from dlv"""
+  round(round(cast(count(*) filter (where late) as double)/count(*),9),4) late_rate,
+  round(round(avg(case when late then date_diff('second', order_estimated_delivery_date, order_delivered_customer_date)
+    /86400.0::double end),9),4) avg_late_days from dlv"""
     )
     sql["payment_mismatch"] = _market(
         """select count(*) billed_orders, count(*) filter (where abs(diff)>1.0) mismatches,
-  round(cast(count(*) filter (where abs(diff)>1.0) as double)/count(*),4) mismatch_rate,
+  round(round(cast(count(*) filter (where abs(diff)>1.0) as double)/count(*),9),4) mismatch_rate,
   cast(coalesce(sum(abs(diff)) filter (where abs(diff)>1.0),0) as double) mismatch_value from bills"""
     )
     sql["freight_outliers"] = _market(
@@ -751,7 +751,7 @@ from bills, (select quantile_cont(fr_ratio,0.99) c from bills)"""
   from dlv join first_reviews using (order_id))"""
     sql["review_impact_first"] = f"""with {MARKET}, {first}
 select cast(a as bigint) late_bad, cast(b as bigint) late_good, cast(c as bigint) ontime_bad,
-  cast(d as bigint) ontime_good, round(a/(a+b),4) bad_review_late, round(c/(c+d),4) bad_review_ontime, {four} chi2
+  cast(d as bigint) ontime_good, round(round(a/(a+b),9),4) bad_review_late, round(round(c/(c+d),9),4) bad_review_ontime, {four} chi2
 from first_impact"""
     sql["review_impact_latest"] = _market("select * from impact")
     sql["review_pivot"] = _market(
@@ -760,7 +760,7 @@ from first_impact"""
     )
     sql["review_mix"] = _market(
         """select concat(late_flag,' · ',sentiment) name, orders as value,
-  round(100*(cast(orders as double)/(select count(*) from raw_orders)),1) share_pct from impact"""
+  round(round(100*(cast(orders as double)/(select count(*) from raw_orders)),9),1) share_pct from impact"""
     )
     sql["seller_late"] = _market("select seller_id, orders, round(late_rate,6) late_rate from sellers")
     sql["worst_sellers"] = _market(
@@ -771,14 +771,14 @@ from first_impact"""
   concat(ym,'-01') as month from monthly"""
     )
     sql["validation_summary"] = f"""with {MARKET}, {first}
-select (select count(*) from raw_orders) orders, (select round(avg(case when late then 1.0 else 0.0 end),4) from dlv)
+select (select count(*) from raw_orders) orders, (select round(round(avg(case when late then 1.0 else 0.0 end),9),4) from dlv)
     late_rate, (select count(*) from dlv where late) late_n,
-  (select round(cast(count(*) filter (where abs(diff)>1.0) as double)/count(*),4) from bills) mismatch_rate,
+  (select round(round(cast(count(*) filter (where abs(diff)>1.0) as double)/count(*),9),4) from bills) mismatch_rate,
   (select cast(round(sum(abs(diff)) filter (where abs(diff)>1.0),0) as double) from bills) mismatch_value,
   (select count(*) from bills, (select quantile_cont(fr_ratio,0.99) c from bills) where fr_ratio>c) freight_outliers,
-  (select round(a/(a+b),4) from first_impact) bad_review_late,
-  (select round(c/(c+d),4) from first_impact) bad_review_ontime,
-  (select count(*) from sellers) sellers_scored, (select round(max(late_rate),4) from sellers) worst_seller_late_rate"""
+  (select round(round(a/(a+b),9),4) from first_impact) bad_review_late,
+  (select round(round(c/(c+d),9),4) from first_impact) bad_review_ontime,
+  (select count(*) from sellers) sellers_scored, (select round(round(max(late_rate),9),4) from sellers) worst_seller_late_rate"""
     sql["market_measures"] = _market(
         """select round(late_rate,6) late_rate, round(l,6) bad_rate_late, round(o,6) bad_rate_ontime,
   round(l-o,6) review_lift

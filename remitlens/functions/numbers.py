@@ -11,8 +11,18 @@ def ratio(part: Column, whole: Column) -> Column:
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """Round a double half away from zero; binary noise beyond nine digits cannot turn a tie."""
+    return F.round(F.round(value, 9), digits)
+
+
+def half_even(value: Column, digits: int) -> Column:
+    """Round a double with ties to the even digit, as array libraries do."""
+    return F.bround(F.round(value, 9), digits)
+
+
 def percent(part: Column, whole: Column, digits: int) -> Column:
-    return F.round(F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
+    return half_up(F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
 
 
 def average_rank(value: Column) -> Column:

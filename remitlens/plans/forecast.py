@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.functions.calendar import week_start
+from remitlens.functions.numbers import half_even
 from remitlens.plans.warehouse import Warehouse
 
 
@@ -60,7 +61,7 @@ def ridge_forecast(series: DataFrame, weeks_ahead: int = 4) -> DataFrame:
     ahead = F.explode(F.sequence(F.lit(1), F.lit(weeks_ahead))).alias("i")
     return ridge_fit(series).select("*", ahead).select(
         F.expr("date_add(last_wk, 7 * i)").alias("wk"),
-        F.bround(F.col("intercept") + F.col("coef_t") * (F.col("weeks") + F.col("i") - 1), 0).alias("leakage_rs"),
+        half_even(F.col("intercept") + F.col("coef_t") * (F.col("weeks") + F.col("i") - 1), 0).alias("leakage_rs"),
     )
 
 

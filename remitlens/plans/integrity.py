@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitlens.functions.numbers import percent, ratio
+from remitlens.functions.numbers import half_up, percent, ratio
 from remitlens.functions.pricing import is_cod_short, is_overweight
 from remitlens.operators.ordering import grouped_row_number
 from remitlens.plans.warehouse import Warehouse
@@ -98,7 +98,7 @@ def eta_adherence(wh: Warehouse) -> DataFrame:
             "courier_name",
             "tier",
             "delivered",
-            F.round(ratio(F.col("delay"), F.col("delivered")), 1).alias("avg_delay_hrs"),
+            half_up(ratio(F.col("delay"), F.col("delivered")), 1).alias("avg_delay_hrs"),
             F.col("p")[0].alias("p50_eta"),
             F.col("p")[1].alias("p95_eta"),
             percent(F.col("met"), F.col("delivered"), 1).alias("sla_met_pct"),

@@ -7,18 +7,22 @@ rows. Order-grain queries fold discrepancies per AWB and weight each order in th
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.functions.calendar import week_start
-from remitlens.functions.numbers import average_rank, percent, ratio
+from remitlens.functions.numbers import average_rank, half_even, half_up, percent, ratio
 from remitlens.operators.reconcile import list_discrepancies
 from remitlens.plans.warehouse import Warehouse
 from remitlens.settings import SCORE, ScoreWeights
 
 
+Rounding = Callable[[Column, int], Column]
+
+
 def joined_rows(grain: str = "joined") -> Column:
     """How many rows of the settlement-discrepancy (or order-discrepancy) join a row stands for."""
     if grain == "joined":
@@ -76,7 +80,7 @@ def header_kpis(wh: Warehouse) -> DataFrame:
         "disputed_awbs",
         percent(F.col("disputed_awbs"), F.col("settled_awbs"), 2).alias("dispute_rate_pct"),
         "leakage_rs",
-        F.round(ratio(F.col("days"), F.col("dated")), 1).alias("avg_dso_days"),
+        half_up(ratio(F.col("days"), F.col("dated")), 1).alias("avg_dso_days"),
     )
 
 
@@ -121,7 +125,7 @@ def dso_by_courier(wh: Warehouse) -> DataFrame:
         wh.named_courier(counted)
         .groupBy("courier_name")
         .agg(
-            F.round(ratio(F.sum(F.col("days") * F.col("n")), F.sum("n")), 1).alias("avg_dso_days"),
+            half_up(ratio(F.sum(F.col("days") * F.col("n")), F.sum("n")), 1).alias("avg_dso_days"),
             F.percentile("days", 0.5, F.col("n")).alias("p50_dso"),
         )
     )
@@ -153,7 +157,7 @@ def funnel(wh: Warehouse) -> DataFrame:
     before = F.lag("n").over(Window.orderBy("step"))
     return (
         both.select(F.inline(rows))
-        .withColumn("share_of_previous", F.round(ratio(F.col("n"), before), 4))
+        .withColumn("share_of_previous", half_up(ratio(F.col("n"), before), 4))
         .orderBy("step")
     )
 
@@ -222,9 +226,9 @@ def courier_scorecard(wh: Warehouse, grain: str = "joined") -> DataFrame:
         .select(
             "courier_name",
             "orders",
-            F.round(F.col("ontime") * 100, 1).alias("ontime_pct"),
-            F.round(F.col("dispute") * 100, 1).alias("dispute_pct"),
-            F.round(F.col("reliability") * 100, 1).alias("reliability_score"),
+            half_up(F.col("ontime") * 100, 1).alias("ontime_pct"),
+            half_up(F.col("dispute") * 100, 1).alias("dispute_pct"),
+            half_up(F.col("reliability") * 100, 1).alias("reliability_score"),
             F.rank().over(best_first).alias("reliability_rank"),
             "leakage_rs",
         )
@@ -235,7 +239,7 @@ def courier_scorecard(wh: Warehouse, grain: str = "joined") -> DataFrame:
 def courier_scorecard_frame(wh: Warehouse, digits: int | None = None) -> DataFrame:
     """Scorecard with shares as fractions and tied ranks averaged; ``digits`` rounds the score half-even first."""
     score = F.col("reliability") * 100
-    rows = courier_rates(wh).withColumn("reliability", score if digits is None else F.bround(score, digits))
+    rows = courier_rates(wh).withColumn("reliability", score if digits is None else half_even(score, digits))
     return rows.withColumn("rank", average_rank(F.col("reliability"))).orderBy("rank", "courier_name")
 
 
@@ -254,7 +258,7 @@ def radar(wh: Warehouse) -> DataFrame:
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(name).alias("metric"), F.round(value, 1).alias("value"))
+                    F.struct(F.lit(name).alias("metric"), half_up(value, 1).alias("value"))
                     for name, value in (
                         ("Reliability", F.col("reliability")),
                         ("On-time %", 100 * F.col("ontime")),
@@ -291,7 +295,7 @@ def tier_entry(wh: Warehouse, grain: str = "joined") -> DataFrame:
         "gmv",
         "leakage_rs",
         percent(F.col("leakage_rs"), F.col("gmv"), 2).alias("leakage_pct_of_gmv"),
-        F.round(delay, 1).alias("avg_delay_hrs"),
+        half_up(delay, 1).alias("avg_delay_hrs"),
         delay.alias("delay"),
     ).orderBy("tier")
 
@@ -314,7 +318,7 @@ def _regroup(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("cases").alias("cases"), F.sum("leakage_rs").alias("leakage_rs"))
 
 
-def rca_cells(wh: Warehouse, limit: int = 20, half_even: bool = False, courier: str | None = None,
+def rca_cells(wh: Warehouse, limit: int = 20, rounded: Rounding = half_up, courier: str | None = None,
               tier: str | None = None) -> DataFrame:
     """Courier, tier and type cells by leakage, largest first, for one courier or tier if given."""
     rows = _regroup(cells(wh), "courier_name", "tier", "discrepancy_type")
@@ -324,7 +328,7 @@ def rca_cells(wh: Warehouse, limit: int = 20, half_even: bool = False, courier:
         rows = rows.where(F.col("tier") == tier)
     mean = ratio(F.col("leakage_rs"), F.col("cases"))
     return (
-        rows.withColumn("avg_loss", F.bround(mean, 0) if half_even else F.round(mean, 0))
+        rows.withColumn("avg_loss", rounded(mean, 0))
         .orderBy(F.col("leakage_rs").desc(), "courier_name", "tier", "discrepancy_type")
         .limit(limit)
     )
@@ -333,7 +337,7 @@ def rca_cells(wh: Warehouse, limit: int = 20, half_even: bool = False, courier:
 def rca_workbench(wh: Warehouse, courier: str | None = None, tier: str | None = None) -> DataFrame:
     """The first fifteen cells under a filter; the cell to fix first is marked."""
     first = Window.orderBy(F.col("leakage_rs").desc(), "courier_name", "tier", "discrepancy_type")
-    return rca_cells(wh, 15, True, courier, tier).withColumn("is_top", F.row_number().over(first) == 1)
+    return rca_cells(wh, 15, half_even, courier, tier).withColumn("is_top", F.row_number().over(first) == 1)
 
 
 def rca_rollup(wh: Warehouse) -> DataFrame:
@@ -375,9 +379,8 @@ def worst_courier_per_tier(wh: Warehouse) -> DataFrame:
     )
 
 
-def pareto_couriers(wh: Warehouse, half_even: bool = False) -> DataFrame:
+def pareto_couriers(wh: Warehouse, rounded: Rounding = half_up) -> DataFrame:
     """Share and running share of leakage by courier."""
-    rounded = F.bround if half_even else F.round
     rows = _regroup(cells(wh), "courier_name")
     whole = F.sum("leakage_rs").over(Window.partitionBy(F.lit(1)))
     so_far = F.sum("leakage_rs").over(
@@ -422,7 +425,7 @@ def nested_treemap(wh: Warehouse) -> DataFrame:
 
 def scatter(wh: Warehouse) -> DataFrame:
     """Cases against mean loss per cell, grouped by type, largest type first."""
-    rows = rca_cells(wh, limit=2**31 - 1, half_even=True)
+    rows = rca_cells(wh, limit=2**31 - 1, rounded=half_even)
     z = F.floor(F.col("leakage_rs").cast("double") + 0.5)
     return rows.select(
         "discrepancy_type",
@@ -441,7 +444,7 @@ def glossary(wh: Warehouse) -> DataFrame:
         F.col("leakage_rs").alias("recoverable_leakage_rs"),
         "dispute_rate_pct",
         F.col("avg_dso_days").alias("dso_days"),
-        F.round(ratio(F.col("leakage_rs"), F.col("disputed_awbs")), 2).alias("avg_loss_per_disputed_awb"),
+        half_up(ratio(F.col("leakage_rs"), F.col("disputed_awbs")), 2).alias("avg_loss_per_disputed_awb"),
     )
 
 

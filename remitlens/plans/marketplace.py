@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.functions.calendar import fractional_days, month_date, month_id
-from remitlens.functions.numbers import ratio
+from remitlens.functions.numbers import half_up, ratio
 from remitlens.operators.ordering import exact_quantiles
 from remitlens.plans.hypotheses import chi2_2x2
 from remitlens.plans.kpis import union_one_row
@@ -77,8 +77,8 @@ def late_rate(m: Marketplace) -> DataFrame:
     return delivered_orders(m).agg(
         F.count(F.lit(1)).alias("delivered"),
         F.count_if("late").alias("late_n"),
-        F.round(ratio(F.count_if("late"), F.count(F.lit(1))), 4).alias("late_rate"),
-        F.round(F.avg(F.when(F.col("late"), days)), 4).alias("avg_late_days"),
+        half_up(ratio(F.count_if("late"), F.count(F.lit(1))), 4).alias("late_rate"),
+        half_up(F.avg(F.when(F.col("late"), days)), 4).alias("avg_late_days"),
     )
 
 
@@ -89,29 +89,27 @@ def billed_and_paid(m: Marketplace) -> DataFrame:
     return bill.join(paid, "order_id").withColumn("diff", F.col("paid") - F.col("price") - F.col("freight"))
 
 
-def payment_mismatch(m: Marketplace) -> DataFrame:
+def payment_mismatch(bills: DataFrame) -> DataFrame:
+    """Orders whose payments differ from the bill, over ``billed_and_paid`` rows."""
     gap = F.abs("diff")
     off = gap > F.lit(MISMATCH_ABOVE)
-    return billed_and_paid(m).agg(
+    return bills.agg(
         F.count(F.lit(1)).alias("billed_orders"),
         F.count_if(off).alias("mismatches"),
-        F.round(ratio(F.count_if(off), F.count(F.lit(1))), 4).alias("mismatch_rate"),
+        half_up(ratio(F.count_if(off), F.count(F.lit(1))), 4).alias("mismatch_rate"),
         F.coalesce(F.sum(F.when(off, gap)), F.lit(0)).alias("mismatch_value"),
     )
 
 
-def freight_ratios(m: Marketplace) -> DataFrame:
-    return billed_and_paid(m).select("order_id", ratio(F.col("freight"), F.col("price")).alias("fr_ratio"))
-
-
-def freight_outliers(m: Marketplace) -> DataFrame:
-    """Orders whose freight share lies above the exact 99th percentile."""
-    ratios = written(freight_ratios(m).select("fr_ratio"), "freight-ratios")
+def freight_outliers(bills: DataFrame) -> DataFrame:
+    """Orders whose freight share lies above the exact 99th percentile; reads ``bills`` twice."""
+    ratios = bills.select(ratio(F.col("freight"), F.col("price")).alias("fr_ratio"))
     cut = exact_quantiles(ratios, "fr_ratio", {"cut": OUTLIER_QUANTILE}).scalar()
+    above = F.col("fr_ratio") > F.col("_cut")
     return ratios.withColumn("_cut", cut).agg(
         F.round(F.max("_cut"), 6).alias("cut"),
-        F.count_if(F.col("fr_ratio") > F.col("_cut")).alias("outliers"),
-        F.round(F.avg(F.when(F.col("fr_ratio") > F.col("_cut"), F.col("fr_ratio"))), 6).alias("avg_outlier_ratio"),
+        F.count_if(above).alias("outliers"),
+        F.round(F.avg(F.when(above, F.col("fr_ratio"))), 6).alias("avg_outlier_ratio"),
     )
 
 
@@ -142,8 +140,8 @@ def review_impact_first(m: Marketplace) -> DataFrame:
         F.col("yes_no").alias("late_good"),
         F.col("no_yes").alias("ontime_bad"),
         F.col("no_no").alias("ontime_good"),
-        F.round(ratio(F.col("yes_yes"), F.col("yes_yes") + F.col("yes_no")), 4).alias("bad_review_late"),
-        F.round(ratio(F.col("no_yes"), F.col("no_yes") + F.col("no_no")), 4).alias("bad_review_ontime"),
+        half_up(ratio(F.col("yes_yes"), F.col("yes_yes") + F.col("yes_no")), 4).alias("bad_review_late"),
+        half_up(ratio(F.col("no_yes"), F.col("no_yes") + F.col("no_no")), 4).alias("bad_review_ontime"),
         "chi2",
         "p_value",
     )
@@ -181,7 +179,7 @@ def review_mix(m: Marketplace) -> DataFrame:
     return review_impact_latest(m).select(
         F.concat_ws(" · ", "late_flag", "sentiment").alias("name"),
         F.col("orders").alias("value"),
-        F.round(100 * ratio(F.col("orders"), all_orders), 1).alias("share_pct"),
+        half_up(100 * ratio(F.col("orders"), all_orders), 1).alias("share_pct"),
     )
 
 
@@ -223,15 +221,16 @@ def monthly_late(m: Marketplace) -> DataFrame:
 def validation_summary(m: Marketplace) -> DataFrame:
     """The marketplace checks on one row."""
     sellers = seller_late(m).agg(
-        F.count(F.lit(1)).alias("sellers_scored"), F.round(F.max("late_rate"), 4).alias("worst_seller_late_rate")
+        F.count(F.lit(1)).alias("sellers_scored"), half_up(F.max("late_rate"), 4).alias("worst_seller_late_rate")
     )
+    bills = written(billed_and_paid(m).drop("order_id"), "bills")
     reviews = review_impact_first(m).select("bad_review_late", "bad_review_ontime", F.col("p_value").alias("chi2_p"))
     return union_one_row(
         [
             m.orders.agg(F.count(F.lit(1)).alias("orders")),
             late_rate(m).select("late_rate", "late_n"),
-            payment_mismatch(m).select("mismatch_rate", F.round("mismatch_value", 0).alias("mismatch_value")),
-            freight_outliers(m).select(F.col("outliers").alias("freight_outliers")),
+            payment_mismatch(bills).select("mismatch_rate", F.round("mismatch_value", 0).alias("mismatch_value")),
+            freight_outliers(bills).select(F.col("outliers").alias("freight_outliers")),
             reviews,
             sellers,
         ]

@@ -30,9 +30,9 @@ def daily_kpis(wh: Warehouse) -> DataFrame:
         )
     )
     return per_awb.groupBy(*MART_KEYS).agg(
-        F.count(F.lit(1)).cast("int").alias("orders"),
-        F.sum("disputed").cast("int").alias("disputed_awbs"),
-        F.sum("leakage_rs").cast("decimal(14,2)").alias("leakage_rs"),
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("disputed").alias("disputed_awbs"),
+        F.sum("leakage_rs").cast("decimal(24,2)").alias("leakage_rs"),
         ratio(F.sum("days"), F.sum("weight")).cast("decimal(8,2)").alias("avg_dso_days"),
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.functions.calendar import week_start
-from remitlens.functions.numbers import ratio, tile_of
+from remitlens.functions.numbers import half_up, ratio, tile_of
 from remitlens.operators.ordering import exact_quantiles, global_ntile
 from remitlens.plans.kpis import disputed_orders, joined_rows
 from remitlens.plans.warehouse import Warehouse
@@ -51,7 +51,7 @@ def _segment_columns(quartile: Column) -> list:
         "orders",
         "gmv",
         "leakage_rs",
-        F.round(rate * 100, 1).alias("dispute_pct"),
+        half_up(rate * 100, 1).alias("dispute_pct"),
         quartile.cast("long").alias("value_quartile"),
         health_band(rate).alias("health_band"),
     ]
@@ -107,5 +107,5 @@ def merchant_retention(wh: Warehouse, weeks: int = 4) -> DataFrame:
     return (
         first.join(active.withColumn("kept", F.lit(1)), ["merchant_id", "wk"], "left")
         .agg(F.count(F.lit(1)).alias("disputed_merchants"), F.coalesce(F.sum("kept"), F.lit(0)).alias("retained"))
-        .withColumn("retention_pct", F.round(100 * ratio(F.col("retained"), F.col("disputed_merchants")), 2))
+        .withColumn("retention_pct", half_up(100 * ratio(F.col("retained"), F.col("disputed_merchants")), 2))
     )

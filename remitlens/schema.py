@@ -66,13 +66,14 @@ FACT_DISCREPANCIES = _table(
     ("variance_rs", _money()),
     ("severity", _TEXT),
 )
+# Counts and sums of a whole day's cell, so wider than those of one row.
 DAILY_KPIS = _table(
     ("kpi_date", _DATE),
     ("courier_id", _INT),
     ("geo_id", _INT),
-    ("orders", _INT),
-    ("disputed_awbs", _INT),
-    ("leakage_rs", _money(14)),
+    ("orders", T.LongType()),
+    ("disputed_awbs", T.LongType()),
+    ("leakage_rs", _money(24)),
     ("avg_dso_days", T.DecimalType(8, 2), True),
 )
 

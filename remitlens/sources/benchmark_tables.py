@@ -199,7 +199,7 @@ class BenchmarkTables:
             .select(
                 "order_id",
                 F.lit(1).alias("payment_sequential"),
-                (F.col("bill") + surcharge).cast("decimal(12,2)").alias("payment_value"),
+                (F.col("bill") + surcharge).cast("decimal(22,2)").alias("payment_value"),
             )
         )
 

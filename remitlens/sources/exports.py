@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from remitlens.functions.numbers import half_even
 from remitlens.plans import forecast, kpis, marketplace, marts, segments
 from remitlens.plans.marketplace import Marketplace
 from remitlens.plans.warehouse import Warehouse
@@ -19,10 +20,10 @@ def serving_frames(wh: Warehouse) -> Builders:
     return {
         "kpis": lambda: kpis.header_kpis(wh),
         "trend": lambda: kpis.weekly_trend(wh),
-        "pareto": lambda: kpis.pareto_couriers(wh, half_even=True),
+        "pareto": lambda: kpis.pareto_couriers(wh, rounded=half_even),
         "funnel": lambda: kpis.funnel(wh),
         "scorecard": lambda: kpis.courier_scorecard_frame(wh, 1),
-        "rca_cells": lambda: kpis.rca_cells(wh, 60, half_even=True),
+        "rca_cells": lambda: kpis.rca_cells(wh, 60, rounded=half_even),
         "merchants": lambda: segments.merchant_health(wh),
         "tier_entry": lambda: kpis.tier_entry(wh),
         "forecast": lambda: forecast.actual_and_forecast(forecast.weekly_series(wh)),
