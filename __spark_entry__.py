@@ -197,45 +197,33 @@ def _serving_bundle(spark: SparkSession, folder: str) -> DataFrame:
 # -- streams -----------------------------------------------------------------------------------------
 
 
-def _table_path(df: DataFrame, spark: SparkSession, name: str) -> str:
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return path
-
-
-def _settlement_stream(spark: SparkSession, facts: BenchmarkWarehouse) -> DataFrame:
-    rows = facts.settlements
-    return jobs.table_stream(spark, _table_path(rows, spark, "arriving-settlements"), rows.schema)
-
-
-def _outcome_stream(spark: SparkSession, folder: str) -> DataFrame:
-    rows = BenchmarkWarehouse(spark, folder).outcomes
-    return jobs.table_stream(spark, _table_path(rows, spark, "arriving-outcomes"), rows.schema)
+def _arriving(wh: BenchmarkWarehouse, name: str) -> DataFrame:
+    """A written table as a stream of its files."""
+    return jobs.table_stream(wh.spark, wh.written_folder(name), getattr(wh, name).schema)
 
 
 def _stream_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     facts = BenchmarkWarehouse(spark, folder)
-    found = settlement_feed.check_against_table(_settlement_stream(spark, facts), facts.orders)
+    found = settlement_feed.check_against_table(_arriving(facts, "settlements"), facts.orders)
     return plain(spark.read.parquet(jobs.run_available(found, "stream-reconcile")))
 
 
 def _stream_join(spark: SparkSession, folder: str) -> DataFrame:
     facts = BenchmarkWarehouse(spark, folder)
-    arriving = jobs.table_stream(spark, _table_path(facts.orders, spark, "arriving-orders"), facts.orders.schema)
-    found = settlement_feed.check_against_stream(_settlement_stream(spark, facts), arriving)
+    found = settlement_feed.check_against_stream(_arriving(facts, "settlements"), _arriving(facts, "orders"))
     return plain(spark.read.parquet(jobs.run_available(found, "stream-join")))
 
 
 def _stream_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     facts = BenchmarkWarehouse(spark, folder)
     path = new_folder(spark, "touched")
-    settlement_feed.keep_touched(_settlement_stream(spark, facts), path)
+    settlement_feed.keep_touched(_arriving(facts, "settlements"), path)
     touched = spark.read.schema("awb_number string, copies long").parquet(path)
     return plain(settlement_feed.duplicate_findings(facts.settlements, facts.orders, touched))
 
 
 def _published(spark: SparkSession, folder: str) -> str:
-    messages = event_feed.outgoing_messages(_outcome_stream(spark, folder), DETECTED_AT)
+    messages = event_feed.outgoing_messages(_arriving(BenchmarkWarehouse(spark, folder), "outcomes"), DETECTED_AT)
     return jobs.run_available(messages, "published", fmt="json")
 
 
@@ -247,14 +235,15 @@ def _event_publication(spark: SparkSession, folder: str) -> DataFrame:
 def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every event delivered twice, each kept once."""
     sent = spark.read.schema("key string, value string").json(_published(spark, folder))
-    twice = _table_path(sent.unionByName(sent), spark, "delivered-twice")
+    twice = new_folder(spark, "delivered-twice")
+    sent.unionByName(sent).write.parquet(twice)
     once = event_feed.consume_once(jobs.table_stream(spark, twice, sent.schema)).drop("detected_ts")
     return plain(spark.read.parquet(jobs.run_available(once, "consumed")))
 
 
 def _windows(build: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(spark.read.parquet(jobs.run_available(build(_outcome_stream(spark, folder)), "windows")))
+        return plain(spark.read.parquet(jobs.run_available(build(_arriving(BenchmarkWarehouse(spark, folder), "outcomes")), "windows")))
 
     return run
 

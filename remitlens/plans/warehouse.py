@@ -146,6 +146,11 @@ class BenchmarkWarehouse(Warehouse):
 
         return _stage(self.spark, self.folder, "outcomes", build, "batch_id")
 
+    def written_folder(self, name: str) -> str:
+        """Where the orders, settlements or outcomes were written, for a stream to read."""
+        getattr(self, name)
+        return _staged[(self.spark.sparkContext.applicationId, self.folder, name)][0]
+
 
 def unstaged_warehouse(spark: SparkSession, folder: str) -> LoadedWarehouse:
     """The benchmark's warehouse as one plan from the given files, with nothing written in between."""

@@ -9,9 +9,13 @@ from pyspark.sql import types as T
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a table. Partitions are evened out first: large ones are split, small ones joined."""
+    """Replace a table.
+
+    Rows are gathered by partition value first, or every task would write a file into every partition;
+    the rebalance splits a value that holds many rows over several tasks.
+    """
     if partition_by is None:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
     else:
         df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
@@ -45,7 +49,7 @@ class TableStore:
             self.write("outcomes", outcome_rows, partition_by="batch_id")
             return
         folder = f"{self.path('outcomes')}/batch_id={quote(batch_id, safe=' -_.')}"
-        outcome_rows.drop("batch_id").hint("rebalance").write.mode("overwrite").parquet(folder)
+        outcome_rows.drop("batch_id").write.mode("overwrite").parquet(folder)
 
     def register_views(self, *names: str) -> None:
         for name in names:

@@ -76,6 +76,7 @@ def main(folder: str, names: list[str]) -> int:
             problem = differences(df, connection, oracle[name]) if name in oracle else f"no SQL, {df.count()} rows"
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
+            connection = given_tables(folder)
         failed += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {took:6.2f}s {name} {problem or ''}", flush=True)
     return failed
