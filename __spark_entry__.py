@@ -17,6 +17,7 @@ import oracle_queries  # noqa: E402
 from remitlens.functions.numbers import half_even  # noqa: E402
 from remitlens.operators import quality, reconcile as rec, upsert  # noqa: E402
 from remitlens.plans import (  # noqa: E402
+    cycle,
     forecast,
     hypotheses,
     integrity,
@@ -31,7 +32,7 @@ from remitlens.schema import FACT_ORDERS, MARKET_REVIEWS, WAREHOUSE_TABLES  # no
 from remitlens.session import new_folder, written  # noqa: E402
 from remitlens.settings import DISCREPANCY_TYPES  # noqa: E402
 from remitlens.sources import csv_tables, events, exports  # noqa: E402
-from remitlens.sources.benchmark_tables import BenchmarkTables  # noqa: E402
+from remitlens.sources.benchmark_tables import AS_OF, BenchmarkTables  # noqa: E402
 from remitlens.sources.store import TableStore  # noqa: E402
 from remitlens.streaming import event_feed, jobs, leakage_windows, settlement_feed  # noqa: E402
 
@@ -109,13 +110,14 @@ def _attached_trend(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    wh = BenchmarkWarehouse(spark, folder)
+    frames = (wh.couriers, wh.geography, wh.merchants, wh.orders, wh.settlements)
+    return dict(zip(WAREHOUSE_TABLES, frames, strict=True))
+
+
 def _dq(spark: SparkSession, folder: str) -> DataFrame:
-    facts = BenchmarkWarehouse(spark, folder)
-    t = facts.tables
-    tables = dict(
-        zip(WAREHOUSE_TABLES, (t.couriers(), t.geography(), t.merchants(), facts.orders, facts.settlements), strict=True)
-    )
-    return plain(quality.warehouse_violations(tables, WAREHOUSE_TABLES))
+    return plain(quality.warehouse_violations(_tables(spark, folder), WAREHOUSE_TABLES))
 
 
 def _orders_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -187,6 +189,14 @@ def _mart_upsert(wh: Warehouse) -> DataFrame:
     return marts.upsert_daily_kpis(outdated.unionByName(stale), fresh)
 
 
+def _settlement_cycle(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart after a full run and a second run of one batch."""
+    tables, store = _tables(spark, folder), TableStore(spark, new_folder(spark, "cycle"))
+    cycle.run_cycle(store, tables, AS_OF, DETECTED_AT, 1)
+    cycle.run_cycle(store, tables, AS_OF, DETECTED_AT, 2, "BATCH-C")
+    return plain(store.read_latest("daily_kpis"))
+
+
 def _serving_bundle(spark: SparkSession, folder: str) -> DataFrame:
     frames = exports.serving_frames(BenchmarkWarehouse(spark, folder))
     path = new_folder(spark, "serving")
@@ -324,6 +334,7 @@ def queries() -> dict[str, Query]:
         # Mart, exports and measures.
         "daily_kpis_mart": on(marts.daily_kpis),
         "mart_upsert": on(_mart_upsert),
+        "settlement_cycle": _settlement_cycle,
         "export_kpi_daily": on(lambda wh: marts.kpi_daily_export(wh, marts.daily_kpis(wh))),
         "export_discrepancies": on(marts.discrepancies_export),
         "serving_bundle": _serving_bundle,
@@ -335,11 +346,11 @@ def queries() -> dict[str, Query]:
         # Statistics.
         "welch_weight": on(
             lambda wh: hypotheses.weight_inflation_test(wh, "AMERICA", "Tier-3")
-            .drop("p_value")
+            .drop("p_value", "decision")
             .withColumn("df", F.round("df", 4))
         ),
-        "chi2_festival": on(lambda wh: hypotheses.festival_dispute_test(wh).drop("p_value")),
-        "chi2_cod_short": on(lambda wh: hypotheses.cod_short_test(wh, "AFRICA").drop("p_value")),
+        "chi2_festival": on(lambda wh: hypotheses.festival_dispute_test(wh).drop("p_value", "decision")),
+        "chi2_cod_short": on(lambda wh: hypotheses.cod_short_test(wh, "AFRICA").drop("p_value", "decision")),
         "weekly_series": on(forecast.weekly_series),
         "ridge_fit": on(
             lambda wh: forecast.ridge_fit(forecast.weekly_series(wh)).withColumns(

@@ -645,6 +645,7 @@ left join (select distinct merchant_id, {_wk('order_date')} wk from fact_orders)
   cast(geo_id as bigint) geo_id, orders, disputed_awbs, cast(leakage_rs as double) leakage_rs,
   cast(avg_dso_days as double) avg_dso_days"""
     sql["daily_kpis_mart"] = _with(f"select {mart_out} from mart", MART)
+    sql["settlement_cycle"] = sql["daily_kpis_mart"]
     stale = "date '1990-01-01' kpi_date, courier_id, 0 geo_id, 1 orders, 0 disputed_awbs, 0 leakage_rs, 5 avg_dso_days"
     sql["mart_upsert"] = _with(
         f"""select {mart_out} from (select * from mart union all select {stale} from dim_courier)""", MART

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from remitlens.functions.numbers import ratio
 from remitlens.functions.probability import chi2_p_value, student_p_value
 from remitlens.plans.kpis import disputed_orders
 from remitlens.plans.warehouse import Warehouse
 
 
+def decision(p: Column, alpha: float = 0.05) -> Column:
+    return F.when(p < alpha, "reject").otherwise("no signal")
+
+
 def welch(df: DataFrame, value: Column, in_group: Column) -> DataFrame:
     """Welch's t with a one-sided p for a larger mean in the group than in the rest."""
     rows = df.select(value.cast("double").alias("x"), in_group.alias("g"))
@@ -25,9 +28,8 @@ def welch(df: DataFrame, value: Column, in_group: Column) -> DataFrame:
         spread * spread,
         F.try_divide(err_a * err_a, F.col("n_a") - 1) + F.try_divide(err_b * err_b, F.col("n_b") - 1),
     )
-    guarded = rows.agg(*parts)
-    tested = guarded.withColumn("t", t).withColumn("df", df_)
-    return tested.withColumn("p_value", student_p_value("t", "df"))
+    tested = rows.agg(*parts).withColumn("t", t).withColumn("df", df_)
+    return tested.withColumn("p_value", student_p_value("t", "df")).withColumn("decision", decision(F.col("p_value")))
 
 
 def chi2_counts(counts: DataFrame, a: str, b: str, c: str, d: str) -> DataFrame:
@@ -39,7 +41,8 @@ def chi2_counts(counts: DataFrame, a: str, b: str, c: str, d: str) -> DataFrame:
     margins = (a_ + b_) * (c_ + d_) * (a_ + c_) * (b_ + d_)
     # The sum of 1/expected over the four cells is n^3 / margins.
     chi2 = corrected * corrected * n * n * n / F.nullif(margins, F.lit(0.0))
-    return counts.withColumn("chi2", chi2).withColumn("p_value", chi2_p_value("chi2"))
+    tested = counts.withColumn("chi2", chi2).withColumn("p_value", chi2_p_value("chi2"))
+    return tested.withColumn("decision", decision(F.col("p_value")))
 
 
 def chi2_2x2(df: DataFrame, row: Column, column: Column, weight: Column | None = None) -> DataFrame:
@@ -101,11 +104,3 @@ def cod_short_test(wh: Warehouse, courier: str) -> DataFrame:
         F.coalesce(F.sum(F.when(~own, F.col("n") - F.col("short"))), F.lit(0)).alias("peer_full"),
     )
     return chi2_counts(counts, "own_short", "own_full", "peer_short", "peer_full")
-
-
-def decision(p: Column, alpha: float = 0.05) -> Column:
-    return F.when(p < alpha, "reject").otherwise("no signal")
-
-
-def share(part: str, rest: str) -> Column:
-    return ratio(F.col(part), F.col(part) + F.col(rest))

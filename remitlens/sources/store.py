@@ -5,6 +5,7 @@ from __future__ import annotations
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -51,6 +52,16 @@ class TableStore:
         folder = f"{self.path('outcomes')}/batch_id={quote(batch_id, safe=' -_.')}"
         outcome_rows.drop("batch_id").write.mode("overwrite").parquet(folder)
 
+    def write_version(self, name: str, df: DataFrame, version: int) -> None:
+        """Write a whole table beside its earlier versions, so that ``df`` may read those."""
+        df.write.mode("overwrite").parquet(f"{self.path(name)}/version={version}")
+
+    def read_latest(self, name: str) -> DataFrame:
+        versions = self.read(name)
+        latest = versions.agg(F.max("version")).scalar()
+        return versions.where(F.col("version") == latest).drop("version")
+
     def register_views(self, *names: str) -> None:
+        """Make stored tables known to ``spark.sql``."""
         for name in names:
             self.read(name).createOrReplaceTempView(name)

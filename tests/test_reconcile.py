@@ -1,13 +1,16 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 from remitlens.operators import reconcile as rec
 from remitlens.operators import upsert
+from remitlens.plans.cycle import run_cycle
 from remitlens.plans.warehouse import BenchmarkWarehouse, unstaged_warehouse
 from remitlens.session import new_folder
 from remitlens.settings import SkewSettings
 from remitlens.sources.store import TableStore
-from tests.conftest import SMALL
+from tests.conftest import SMALL, day
 
 EAGER = SkewSettings(heavy_rows=3, rows_per_share=2, max_heavy_keys=2)
 
@@ -105,6 +108,33 @@ def test_batch_reruns_are_idempotent(spark, orders_of, settlements_of):
     assert stored() == []
 
 
+def test_a_cycle_refreshes_mart_and_events(spark, orders_of, settlements_of):
+    couriers = spark.sql("select 1 courier_id, 'A' courier_name")
+    tables = {
+        "dim_courier": couriers, "dim_geography": None, "dim_merchant": None,
+        "fact_orders": orders_of(dict(awb_number="A"), dict(awb_number="B")),
+        "fact_settlements": settlements_of(
+            dict(awb_number="A", batch_id="B1", rto_charge=150), dict(awb_number="B", batch_id="B2", rto_charge=200)
+        ),
+    }
+    store, at = TableStore(spark, new_folder(spark, "store")), datetime.datetime(2026, 9, 14)
+    summary = run_cycle(store, tables, day(40), at, 1).collect()
+    assert [(r.discrepancy_type, r.cases, int(r.leakage_rs)) for r in summary] == [("PHANTOM_RTO_CHARGE", 2, 350)]
+    assert [int(r.leakage_rs) for r in store.read_latest("daily_kpis").collect()] == [350]
+    # Batch B1 moves to another day without its charge; the day's cell shrinks to B2, the new day appears.
+    tables["fact_settlements"] = settlements_of(
+        dict(awb_number="A", batch_id="B1", settlement_date=day(6)), dict(awb_number="B", batch_id="B2", rto_charge=200)
+    )
+    assert run_cycle(store, tables, day(40), at, 2, "B1").collect() == []
+    mart = {r.kpi_date: (r.orders, int(r.leakage_rs)) for r in store.read_latest("daily_kpis").collect()}
+    assert mart == {day(5): (1, 200), day(6): (1, 0)}
+    assert spark.read.text(store.path("events/version=1")).count() == 2
+    assert spark.read.text(store.path("events/version=2")).count() == 0
+    store.register_views("outcomes")
+    asked = spark.sql("select awb_number from outcomes where leakage_rs > :floor", args={"floor": 100}).collect()
+    assert [r.awb_number for r in asked] == ["B"]
+
+
 def test_one_batch_counts_copies_over_all(orders_of, settlements_of):
     orders = orders_of(dict(awb_number="A"))
     settled = settlements_of(dict(awb_number="A", batch_id="B1"), dict(awb_number="A", batch_id="B2"))
