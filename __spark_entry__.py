@@ -36,6 +36,14 @@ from remitlens.sources.benchmark_tables import AS_OF, BenchmarkTables  # noqa: E
 from remitlens.sources.store import TableStore  # noqa: E402
 from remitlens.streaming import event_feed, jobs, leakage_windows, settlement_feed  # noqa: E402
 
+try:  # the text operators and their pipeline are one part of the library that may be taken out
+    import corpus_pipeline
+    from remitlens.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "remitlens.llm"):
+        raise
+    corpus_pipeline = text_queries = None
+
 DETECTED_AT = datetime.datetime(2026, 1, 31, 6, 30)
 
 
@@ -258,7 +266,7 @@ def _windows(build: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
-def queries() -> dict[str, Query]:
+def warehouse_queries() -> dict[str, Query]:
     on, facts, market = _on_warehouse, _on_facts, _on_market
     found: dict[str, Query] = {
         # Reconciliation and loads.
@@ -388,5 +396,15 @@ def queries() -> dict[str, Query]:
     return found
 
 
+def queries() -> dict[str, Query]:
+    found = warehouse_queries()
+    if text_queries:
+        found |= text_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    found = oracle_queries.oracle_sql()
+    if text_queries:
+        found |= text_queries.oracle_sql() | ({"pipeline": sql} if (sql := corpus_pipeline.ORACLE_SQL) else {})
+    return found

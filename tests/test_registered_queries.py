@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from tests.compare import differences, given_tables
 from tests.conftest import SMALL
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = entry.warehouse_queries(), entry.oracle_queries.oracle_sql()
 
 
 @pytest.fixture(scope="module")
