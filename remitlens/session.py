@@ -42,11 +42,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/remitlens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write a frame once to the shared folder and go on from the files.
 
     What is read more than once is then computed once, and a lost executor costs no recomputation.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
