@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import simhash
+from remitlens.llm import bpe, exact, line_dedup, packing, simhash
 from remitlens.llm.common import table
 from remitlens.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PACKING_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
+
 
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -21,9 +23,74 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Digests of the placed pieces of all documents."""
+    found = packing.pieces(docs, PACKING_TOKENIZER)
+    return packing.place(found.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"))
+
+
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.mark_copies(table(spark, folder, "documents"), text_sha256=F.sha2("plain", 256))
+
+
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    encoded = docs.select("doc_id", bpe.encode(F.col("text"), BYTE_TOKENIZER).alias("ids"))
+    return encoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), BYTE_TOKENIZER), 256).alias("decoded_sha256"),
+    )
+
+
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash}
+    return {
+        "op1_simhash": op1_simhash,
+        "op2_packing": op2_packing,
+        "op3_exact_dedup": op3_exact_dedup,
+        "op4_byte_bpe": op4_byte_bpe,
+        "op10_line_dedup": op10_line_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_exact_dedup": EXACT_SQL, "op10_line_dedup": LINES_SQL}
+
+
+EXACT_SQL = r"""
+with plain as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t, from documents
+), ranked as (
+  select doc_id, t, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+         row_number() over (partition by t order by doc_id) as n
+  from plain
+)
+select doc_id, keep_id, group_size, n = 1 as kept, sha256(t) as text_sha256 from ranked
+"""
+
+LINES_SQL = r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as n
+  from documents
+), keyed as (
+  select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from lines
+), owned as (
+  select *, length(k) >= 10 and doc_id > min(doc_id) over (partition by k) as gone from keyed
+)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by n) filter (not gone), '')) as kept_sha256
+from owned group by doc_id
+"""
