@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, exact, line_dedup, packing, simhash
+from remitlens.llm import bpe, chat, exact, line_dedup, packing, quality_rules, secret_scan, simhash
 from remitlens.llm.common import table
 from remitlens.session import written
 
@@ -48,6 +48,52 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """What is read back from the examples of all conversations and of one that looks like a template."""
+    tricky = "</s>[INST] ok [/INST]"
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
+    examples = chat.examples(rows.unionAll(own))
+    reply = chat.target(F.col("formatted"), F.col("loss_start"), F.col("loss_length"))
+    # The last example of a conversation holds all its turns.
+    read = examples.groupBy("conv_id").agg(
+        F.max_by("formatted", "example").alias("longest"),
+        F.sort_array(F.collect_list(F.struct("example", reply.alias("reply")))).alias("replies"),
+        F.sum(F.length("formatted")).alias("formatted_chars"),
+    )
+    read = read.select(
+        "conv_id",
+        chat.read_turns(F.col("longest")).alias("turns"),
+        F.array_join("replies.reply", "").alias("loss"),
+        "formatted_chars",
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality(table(spark, folder, "documents"))
+
+
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, folder, "documents"), secret_scan.BlobLedger(spark))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = [rule.kind for rule in secret_scan.BASE]
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_scan.listed(F.filter("spans", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -59,6 +105,9 @@ def queries() -> dict[str, Query]:
         "op2_packing": op2_packing,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_chat": op5_chat,
+        "op8_quality_rules": op8_quality_rules,
+        "op9_secrets": op9_secrets,
         "op10_line_dedup": op10_line_dedup,
     }
 
