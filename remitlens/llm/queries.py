@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, chat, exact, line_dedup, maxent, packing, quality_rules, secret_scan, simhash
+from remitlens.llm import bpe, chat, exact, line_dedup, maxent, packing, quality_model, quality_rules, secret_scan, simhash
 from remitlens.llm.common import table
 from remitlens.session import written
 
@@ -78,6 +78,13 @@ def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' source is their host, and its texts of one language are a path below it."""
+    docs, labels = table(spark, folder, "documents"), quality_model.good_labels(table(spark, folder, "labels"))
+    classifier = quality_model.fit(docs, labels)
+    return quality_model.judge(docs, labels, F.col("source"), F.col("lang"), classifier)
+
+
 def op7_maxent(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return maxent.score(docs, maxent.train(docs.filter(~maxent.is_held_out(F.col("doc_id")))))
@@ -111,6 +118,7 @@ def queries() -> dict[str, Query]:
         "op3_exact_dedup": op3_exact_dedup,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_chat": op5_chat,
+        "op6_quality_model": op6_quality_model,
         "op7_maxent": op7_maxent,
         "op8_quality_rules": op8_quality_rules,
         "op9_secrets": op9_secrets,
