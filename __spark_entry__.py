@@ -100,7 +100,7 @@ def _batch_rerun(spark: SparkSession, folder: str) -> DataFrame:
     facts = BenchmarkWarehouse(spark, folder)
     store = TableStore(spark, new_folder(spark, "store"))
     store.write_outcomes(rec.outcomes(facts.settlements, facts.orders))
-    store.write_outcomes(rec.outcomes(facts.settlements, facts.orders, "BATCH-B"), "BATCH-B")
+    store.write_outcomes(rec.outcomes(facts.settlements, facts.orders, "RUN-1997"), "RUN-1997")
     found = rec.list_discrepancies(store.read("outcomes"))
     return plain(
         found.groupBy("batch_id", "discrepancy_type").agg(
@@ -146,13 +146,16 @@ def _reviews_csv(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "reviews-csv")
     reviews = BenchmarkTables(spark, folder).market_reviews()
     blank = {f.name: F.lit("") for f in MARKET_REVIEWS.fields if f.name not in reviews.columns}
-    # The repeat with the higher score wins a tie of dates, as the columns after the date are compared in name order.
-    reviews.withColumns(blank).write.option("header", True).csv(path)
+    # Of repeats on one date the load keeps the greatest by the columns after the date, in order of their names.
+    reviews.withColumns(blank).write.options(header=True, quote='"', escape='"').csv(path)
     loaded = csv_tables.load_marketplace(spark, {"reviews": path})["reviews"]
-    kept = marketplace.latest_review_per_id(marketplace.LoadedMarketplace(loaded, loaded, loaded, loaded))
     return plain(
-        kept.groupBy("review_score").agg(
-            F.count(F.lit(1)).alias("reviews"), F.count_distinct("order_id").alias("orders")
+        loaded.groupBy("review_score").agg(
+            F.count(F.lit(1)).alias("reviews"),
+            F.count_distinct("order_id").alias("orders"),
+            F.count("review_comment_title").alias("titled"),
+            F.count("review_comment_message").alias("told"),
+            F.sum(F.length("review_comment_message")).alias("message_chars"),
         )
     )
 
@@ -201,7 +204,7 @@ def _settlement_cycle(spark: SparkSession, folder: str) -> DataFrame:
     """The mart after a full run and a second run of one batch."""
     tables, store = _tables(spark, folder), TableStore(spark, new_folder(spark, "cycle"))
     cycle.run_cycle(store, tables, AS_OF, DETECTED_AT, 1)
-    cycle.run_cycle(store, tables, AS_OF, DETECTED_AT, 2, "BATCH-C")
+    cycle.run_cycle(store, tables, AS_OF, DETECTED_AT, 2, "RUN-2000")
     return plain(store.read_latest("daily_kpis"))
 
 
@@ -272,7 +275,7 @@ def warehouse_queries() -> dict[str, Query]:
         # Reconciliation and loads.
         "reconcile_rows": facts(rec.reconcile),
         "reconcile_summary": facts(lambda s, o: rec.summarise(rec.reconcile(s, o))),
-        "reconcile_one_batch": facts(lambda s, o: rec.reconcile(s, o, "BATCH-DUP")),
+        "reconcile_one_batch": facts(lambda s, o: rec.reconcile(s, o, "RUN-1998")),
         "batch_rerun": _batch_rerun,
         "attached_trend": _attached_trend,
         "unsettled_orders": facts(
@@ -280,14 +283,14 @@ def warehouse_queries() -> dict[str, Query]:
                 "order_id", "awb_number", "courier_id", "merchant_id", "order_date", "order_status"
             )
         ),
-        "same_batch_copies": facts(lambda s, o: rec.same_batch_copies(s)),
+        "same_batch_copies": lambda spark, folder: plain(rec.same_batch_copies(BenchmarkTables(spark, folder).bookings())),
         "dq_violations": _dq,
         "dim_date": on(lambda wh: wh.dates),
         "load_orders_csv": _orders_csv,
         "load_reviews_csv": _reviews_csv,
         "analyst_sql": _analyst_sql,
         "discrepancy_events": _events(),
-        "batch_events": _events("BATCH-A"),
+        "batch_events": _events("RUN-1996"),
         # Headline figures and trends.
         "header_kpis": on(lambda wh: kpis.header_kpis(wh).drop("avg_dso_days")),
         "header_kpis_dso": on(kpis.header_kpis),

@@ -37,31 +37,29 @@ dim_date as (
   from (select distinct order_date from fact_orders))"""
 
 SETTLEMENTS = """
-settle_base as (
-  select l_orderkey, min(l_linenumber) ln, cast(max(l_quantity) as int) qty,
-    cast(round(max(l_discount)*100) as int) disc from lineitem group by l_orderkey),
-settle_one as (
-  select l_orderkey k, ln, awb_number, courier_id,
-    case when disc>=10 and courier_id=1 then cast(cod_amount*0.95 as decimal(12,2)) else cod_amount end settled_cod,
-    case when courier_id=2 and geo_id%3=2 and qty%2=0
-      then cast(declared_weight*1.25 as decimal(8,3)) else declared_weight end charged_weight,
-    cast(case when courier_id=4 and l_orderkey%3=0
-      then floor((case when declared_weight<=1 then 42 when declared_weight<=3 then 65 else 95 end)*1.2)
-      else (case when declared_weight<=1 then 42 when declared_weight<=3 then 65 else 95 end) end
+order_lines as (
+  select l_orderkey, count(*) n_lines, cast(round(min(l_discount)*100) as int) discount,
+    cast(round(min(l_tax)*100) as int) tax, cast(min(l_quantity) as int) units, min(l_extendedprice) least_price,
+    bool_and(l_returnflag='R') returned, bool_and(l_linestatus='O') still_open,
+    year(min(l_shipdate)) first_year, year(max(l_shipdate)) last_year, day(max(l_shipdate)) last_day
+  from lineitem group by l_orderkey),
+settled as (
+  select l_orderkey k, awb_number, courier_id, n_lines, first_year, last_year,
+    cast(cod_amount*((100-greatest(discount-3,0))*0.01) as decimal(12,2)) settled_cod,
+    cast(declared_weight*((200+3*tax)*0.005) as decimal(8,3)) charged_weight,
+    cast((case when declared_weight<=1 then 42 when declared_weight<=3 then 65 else 95 end)*((200+units)*0.005)
       as decimal(10,2)) forward_charge,
-    cast(case when order_status='RTO' then 50+l_orderkey%150
-      when order_status='DELIVERED' and l_orderkey%11=0 then 100+l_orderkey%150 else 0 end as decimal(10,2)) rto_charge,
-    cast(floor(cod_amount*0.02) as decimal(10,2)) cod_fee,
-    cast(order_date + cast(case when courier_id=3 and l_orderkey%9=0 then 18+qty%12 else 2+qty%8 end as int)
-      as date) settlement_date
-  from settle_base join fact_orders on o_orderkey=l_orderkey),
+    cast(case when returned then floor(least_price/100) else 0 end as decimal(10,2)) rto_charge,
+    cast(cod_amount*0.015 as decimal(10,2)) cod_fee,
+    cast(order_date + cast(last_day//2 + case when still_open then 14 else 0 end as int) as date) settlement_date
+  from order_lines join fact_orders on o_orderkey=l_orderkey),
 fact_settlements as (
-  select concat('STL',cast(k as varchar)) settlement_id, awb_number,
-    case when ln%4=0 then 'BATCH-A' when ln%4=1 then 'BATCH-B' when ln%4=2 then 'BATCH-C' else 'BATCH-D' end batch_id,
-    courier_id, settlement_date, settled_cod, charged_weight, forward_charge, rto_charge, cod_fee from settle_one
-  union all
-  select concat('STL9',cast(k as varchar)), awb_number, 'BATCH-DUP', courier_id, settlement_date, settled_cod,
-    charged_weight, forward_charge, rto_charge, cod_fee from settle_one where k%50=0)"""
+  select concat('SET',cast(k as varchar),'-',cast(y as varchar)) settlement_id, awb_number,
+    concat('RUN-',cast(y as varchar)) batch_id, courier_id, settlement_date, settled_cod, charged_weight,
+    forward_charge, rto_charge, cod_fee
+  from (
+    select *, last_year y from settled
+    union all select *, first_year from settled where n_lines>=8 and first_year<>last_year))"""
 
 
 def _rule(kind: str, expected: str, actual: str, variance: str, severity: str, where: str, extra: str = "") -> str:
@@ -135,8 +133,10 @@ raw_payments as (
 raw_reviews as (
   select concat('R',cast(l_orderkey as varchar),'-',cast(l_linenumber as varchar)) review_id,
     concat('O',cast(l_orderkey as varchar)) order_id,
-    cast(1+(cast(l_quantity as int)+l_orderkey)%5 as int) review_score, l_shipdate review_creation_date
-  from lineitem where l_linenumber<=2),
+    cast(1+(cast(l_quantity as int)+l_orderkey)%5 as int) review_score, l_shipdate review_creation_date,
+    case when l_discount>0 then l_returnflag end clean_title,
+    case when l_tax>0 then concat(l_returnflag, chr(10), 'said "yes", ', l_linestatus) end clean_message
+  from lineitem),
 dlv as (
   select *, coalesce(order_delivered_customer_date > order_estimated_delivery_date, false) late
   from raw_orders where order_status='delivered'),
@@ -376,7 +376,7 @@ from fact_discrepancies group by 1"""
     )
     for kind in RULE_SQL:
         sql[f"rule_{kind.lower()}"] = _with(f"select {_D_OUT} from fact_discrepancies where discrepancy_type='{kind}'")
-    sql["reconcile_one_batch"] = _with(f"select {_D_OUT} from fact_discrepancies where batch_id='BATCH-DUP'")
+    sql["reconcile_one_batch"] = _with(f"select {_D_OUT} from fact_discrepancies where batch_id='RUN-1998'")
     sql["batch_rerun"] = _with(
         """select batch_id, discrepancy_type, count(*) cases, cast(sum(variance_rs) as double) leakage_rs
 from fact_discrepancies group by 1, 2"""
@@ -389,7 +389,8 @@ from {S_D} group by 1""")
 where not exists (select 1 from fact_settlements s where s.awb_number=o.awb_number)"""
     )
     sql["same_batch_copies"] = _with(
-        "select awb_number, batch_id, count(*) copies from fact_settlements group by 1, 2 having count(*)>1"
+        """select concat('AWB',cast(l_orderkey as varchar)) awb_number, concat('RUN-',cast(year(l_shipdate) as varchar)) batch_id,
+  count(*) copies from lineitem group by 1, 2 having count(*)>1"""
     )
     sql["dq_violations"] = _with(_dq())
     sql["dim_date"] = _with(
@@ -403,15 +404,18 @@ where not exists (select 1 from fact_settlements s where s.awb_number=o.awb_numb
 from fact_orders group by 1, 2"""
     )
     sql["load_reviews_csv"] = _market(
-        "select cast(review_score as bigint) review_score, count(*) reviews, count(distinct order_id) orders"
-        " from latest_reviews group by 1"
+        """select cast(review_score as bigint) review_score, count(*) reviews, count(distinct order_id) orders,
+  count(clean_title) titled, count(clean_message) told, cast(sum(length(clean_message)) as bigint) message_chars
+from (select *, row_number() over (partition by review_id order by review_creation_date desc,
+  clean_message desc nulls last, clean_title desc nulls last, review_score desc) rn from raw_reviews)
+where rn=1 group by 1"""
     )
     sql["analyst_sql"] = _with(
         """select batch_id, severity, count(*) cases, cast(sum(variance_rs) as double) leakage_rs
 from fact_discrepancies where discrepancy_type='OVERDUE_REMITTANCE' and variance_rs>1000 group by 1, 2"""
     )
     sql["discrepancy_events"] = _with(f"select {_EVENT_OUT} from fact_discrepancies")
-    sql["batch_events"] = _with(f"select {_EVENT_OUT} from fact_discrepancies where batch_id='BATCH-A'")
+    sql["batch_events"] = _with(f"select {_EVENT_OUT} from fact_discrepancies where batch_id='RUN-1996'")
 
     # Headline figures and trends.
     sql["header_kpis"] = _with(

@@ -20,6 +20,10 @@ def _text(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), key.cast("string"))
 
 
+def _run(year: Column) -> Column:
+    return _text("RUN-", year)
+
+
 _schemas: dict[tuple[str, str], T.StructType] = {}
 
 
@@ -105,60 +109,57 @@ class BenchmarkTables:
             F.when(closed, eta.cast("decimal(8,2)")).alias("actual_eta_hrs"),
         )
 
+    def bookings(self) -> DataFrame:
+        """Every line as its courier books it: an order's lines of one year meet in one run."""
+        return self.given("lineitem").select(
+            _text("AWB", F.col("l_orderkey")).alias("awb_number"), _run(F.year("l_shipdate")).alias("batch_id")
+        )
+
     def settlements(self, orders: DataFrame) -> DataFrame:
-        """Settlement facts; every fiftieth order is settled again in a batch of its own."""
-        per_order = (
+        """Settlement facts from what an order's lines have in common.
+
+        The least discount, tax and quantity of the lines make the cash, weight and freight differ from the order's.
+        Lines that were all returned cost a return charge, and orders whose lines are all open are paid two weeks
+        later. An order is settled in the run of the year that it ships last; if it has eight or more lines, also in
+        that of the year that it ships first.
+        """
+        lines = (
             self.given("lineitem")
             .groupBy(F.col("l_orderkey").alias("order_key"))
             .agg(
-                F.min("l_linenumber").alias("line"),
-                F.max("l_quantity").cast("int").alias("qty"),
-                F.round(F.max("l_discount") * 100).cast("int").alias("disc"),
+                F.count(F.lit(1)).alias("lines"),
+                F.round(F.min("l_discount") * 100).cast("int").alias("discount"),
+                F.round(F.min("l_tax") * 100).cast("int").alias("tax"),
+                F.min("l_quantity").cast("int").alias("units"),
+                F.min("l_extendedprice").alias("least_price"),
+                F.min(F.col("l_returnflag") == "R").alias("returned"),
+                F.min(F.col("l_linestatus") == "O").alias("open"),
+                F.min("l_shipdate").alias("ships_first"),
+                F.max("l_shipdate").alias("ships_last"),
             )
         )
-        key, weight, cod = F.col("order_key"), F.col("declared_weight"), F.col("cod_amount")
+        first, last = F.year("ships_first"), F.year("ships_last")
+        years = F.when(F.col("lines") >= 8, F.array_distinct(F.array(last, first))).otherwise(F.array(last))
+        cod, weight = F.col("cod_amount"), F.col("declared_weight")
         slab = F.expr("case when declared_weight <= 1 then 42 when declared_weight <= 3 then 65 else 95 end")
-        courier = F.col("courier_id")
-        short = (F.col("disc") >= 10) & (courier == 1)
-        heavy = (courier == 2) & (F.col("geo_id") % 3 == 2) & (F.col("qty") % 2 == 0)
-        slow = (courier == 3) & (key % 9 == 0)
-        phantom = (F.col("order_status") == "DELIVERED") & (key % 11 == 0)
-        batch = (
-            F.when(F.col("line") % 4 == 0, "BATCH-A")
-            .when(F.col("line") % 4 == 1, "BATCH-B")
-            .when(F.col("line") % 4 == 2, "BATCH-C")
-            .otherwise("BATCH-D")
-        )
-
-        def copy(prefix: str, batch_id: Column) -> Column:
-            return F.struct(_text(prefix, key).alias("settlement_id"), batch_id.alias("batch_id"))
-
-        first, again = copy("STL", batch), copy("STL9", F.lit("BATCH-DUP"))
-        copies = F.when(key % 50 == 0, F.array(first, again)).otherwise(F.array(first))
-        lag = F.when(slow, 18 + F.col("qty") % 12).otherwise(2 + F.col("qty") % 8)
+        kept_back = F.greatest(F.col("discount") - 3, F.lit(0))
+        days = F.floor(F.dayofmonth("ships_last") / 2) + F.when(F.col("open"), 14).otherwise(0)
         return (
-            per_order.join(orders, "order_key")
-            .withColumn("copy", F.explode(copies))
+            lines.join(orders, "order_key")
+            .withColumn("year", F.explode(years))
             .select(
-                "copy.settlement_id",
+                F.concat(F.lit("SET"), F.col("order_key").cast("string"), F.lit("-"), F.col("year").cast("string")).alias("settlement_id"),
                 "awb_number",
-                "copy.batch_id",
+                _run(F.col("year")).alias("batch_id"),
                 "courier_id",
-                F.date_add("order_date", lag.cast("int")).alias("settlement_date"),
-                F.when(short, (cod * F.expr("0.95BD")).cast("decimal(12,2)")).otherwise(cod).alias("settled_cod"),
-                F.when(heavy, (weight * F.expr("1.25BD")).cast("decimal(8,3)"))
-                .otherwise(weight)
+                F.date_add("order_date", days.cast("int")).alias("settlement_date"),
+                (cod * ((100 - kept_back).cast("decimal(5,0)") * F.expr("0.01BD"))).cast("decimal(12,2)").alias("settled_cod"),
+                (weight * ((200 + 3 * F.col("tax")).cast("decimal(5,0)") * F.expr("0.005BD")))
+                .cast("decimal(8,3)")
                 .alias("charged_weight"),
-                F.when((courier == 4) & (key % 3 == 0), F.floor(slab * F.expr("1.2BD")))
-                .otherwise(slab)
-                .cast("decimal(10,2)")
-                .alias("forward_charge"),
-                F.when(F.col("order_status") == "RTO", 50 + key % 150)
-                .when(phantom, 100 + key % 150)
-                .otherwise(0)
-                .cast("decimal(10,2)")
-                .alias("rto_charge"),
-                F.floor(cod * F.expr("0.02BD")).cast("decimal(10,2)").alias("cod_fee"),
+                (slab * ((200 + F.col("units")).cast("decimal(5,0)") * F.expr("0.005BD"))).cast("decimal(10,2)").alias("forward_charge"),
+                F.when(F.col("returned"), F.floor(F.col("least_price") / 100)).otherwise(0).cast("decimal(10,2)").alias("rto_charge"),
+                (cod * F.expr("0.015BD")).cast("decimal(10,2)").alias("cod_fee"),
             )
         )
 
@@ -204,11 +205,15 @@ class BenchmarkTables:
         )
 
     def market_reviews(self) -> DataFrame:
+        """A review of every line. Some titles are one character beyond U+FFFF, messages run over lines or are blank."""
         score = 1 + (F.col("l_quantity").cast("int") + F.col("l_orderkey")) % 5
         review = F.concat(F.lit("R"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-        return self.given("lineitem").where(F.col("l_linenumber") <= 2).select(
+        message = F.concat(F.col("l_returnflag"), F.lit('\nsaid "yes", \U0001f600'), F.col("l_linestatus"))
+        return self.given("lineitem").select(
             review.alias("review_id"),
             _text("O", F.col("l_orderkey")).alias("order_id"),
             score.cast("int").alias("review_score"),
+            F.when(F.col("l_discount") > 0, F.col("l_returnflag")).otherwise("\U0001f600").alias("review_comment_title"),
+            F.when(F.col("l_tax") > 0, message).otherwise("  ").alias("review_comment_message"),
             F.col("l_shipdate").alias("review_creation_date"),
         )

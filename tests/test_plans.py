@@ -42,8 +42,8 @@ def test_reconcile_shuffles_each_side_once(wh, no_broadcast):
 
 
 def test_reconciling_one_batch_reads_its_partition(wh):
-    plan = planned(rec.reconcile(wh.settlements, wh.orders, "BATCH-DUP"))
-    assert re.search(r"PartitionFilters: \[isnotnull\(batch_id#\d+\), \(batch_id#\d+ = BATCH-DUP\)\]", plan)
+    plan = planned(rec.reconcile(wh.settlements, wh.orders, "RUN-1998"))
+    assert re.search(r"PartitionFilters: \[isnotnull\(batch_id#\d+\), \(batch_id#\d+ = RUN-1998\)\]", plan)
 
 
 def test_header_reads_three_columns_and_shuffles_once_by_awb(wh):
