@@ -10,34 +10,40 @@
 from __future__ import annotations
 
 import os
-import sys
+import unicodedata
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitlens.llm.common import texts, tokenizer_file
+from remitlens.llm.bpe import byte_letters
+from remitlens.llm.common import LOWER, tokenizer_file
 from remitlens.llm.cutting_stock import cutting_stock
 from remitlens.session import written
 
 #: Tokens of a sequence, id after each document, tokens of a length class.
 LENGTH, END, STEP = 4096, 2, 16
-#: Words whose ids a worker remembers before it starts anew.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers before it drops half of them.
+REMEMBERED = 500_000
+#: Marks that no letter in front of them joins.
+MARKS = b'.,;:!?#$%&*"()|'
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, part int, size int, number long"
 
 _encoders: dict[str, WordEncoder] = {}
 
 
-class WordEncoder:
-    """Token ids of texts through their words, each encoded once.
+class WordEncoder(dict):
+    """Token ids of texts through their words, each encoded once: a dictionary that fills itself.
 
-    For tokenizers that never join or look across white space, as those that drop it do: the ids of a text are then
-    those of its words.
+    For tokenizers that lower-case, normalise to NFC, drop white space and cut between letters and other characters:
+    the ids of a text are then those of its words, and those of a word that of its letters and of the marks behind
+    them. Whole words of letters go straight to the library's merges, all others through the whole library.
     """
 
     def __init__(self, name: str):
@@ -47,24 +53,60 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file(name))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words, known = text.split(), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            # The words of this text stay known until it is joined, however many they are.
-            new = list({w for w in words if w not in known})
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            for i in range(0, len(new), 4096):
-                found = self.tokenizer.encode_batch_fast([w.decode() for w in new[i : i + 4096]], add_special_tokens=False)
-                for word, encoded in zip(new[i : i + 4096], found, strict=True):
-                    known[word] = np.array(encoded.ids, "<u4").tobytes()
-            return b"".join([known[w] for w in words])
+        self.merges = self.tokenizer.model.tokenize
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+
+    def __missing__(self, word: bytes) -> bytes:
+        stem = word.rstrip(MARKS)
+        if stem != word and stem[-1:].isalpha() and b"<" not in stem:
+            found = self[stem] + self[word[len(stem) :]]
+        else:
+            text = word.decode()
+            if text.isalpha() and text.lower() == text and unicodedata.is_normalized("NFC", text):
+                ids = [t.id for t in self.merges(text if text.isascii() else "".join(map(self.letters.get, word)))]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = np.array(ids, "<u4").tobytes()
+        self[word] = found
+        return found
+
+    def _exact(self, text: bytes) -> bytes:
+        """Ids of a text that may name special tokens: words with a control character's bracket keep their case."""
+        return b"".join([self[w if b"<" in w else w.translate(LOWER)] for w in text.split()])
+
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of every text, null as empty. The words of all texts are looked up once each."""
+        column = column.fill_null("")
+        words = pc.ascii_split_whitespace(pc.ascii_lower(column))
+        coded = words.flatten().dictionary_encode()
+        found = [self[w] for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+        ids, sizes = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes[index])
+        # Position in ``ids`` of each token: its place among all tokens, shifted by its word's.
+        shift = (np.cumsum(sizes) - sizes)[index] - (ends - sizes[index])
+        tokens = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, sizes[index])]
+        bounds = np.r_[0, ends][words.offsets.to_numpy() - words.offsets[0].as_py()]
+        special = pc.match_substring(column, "<|").to_numpy(zero_copy_only=False)
+        for number, (start, end) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            yield np.frombuffer(self._exact(column[number].as_py().encode()), "<u4") if special[number] else tokens[start:end]
+        if len(self) > REMEMBERED:
+            # Words that came first are the frequent ones.
+            for word in [*islice(self, REMEMBERED // 2, None)]:
+                del self[word]
+
+
+def slices(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
+    """A text column in runs of rows of about so many bytes, with the number of the first row."""
+    sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for row, size in enumerate(sizes):
+        if held and held + size > most:
+            yield start, column.slice(start, row - start)
+            start, held = row, 0
+        held += size
+    if start < len(column):
+        yield start, column.slice(start)
 
 
 def word_encoder(name: str) -> WordEncoder:
@@ -85,22 +127,18 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, length: int = LENGTH
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, seen = word_encoder(tokenizer).encode, TaskContext.get().partitionId(), {}
         for batch in batches:
-            rows, size_bytes = [], 0
-            whose = []
-            for number, text in enumerate(texts(batch.column(1))):
-                ids = encode(text) + last
-                tokens = len(ids) // 4
-                for start in range(0, tokens, length):
-                    piece = ids[4 * start : 4 * (start + length)]
-                    size = -(-len(piece) // (4 * step))
-                    rank = seen[size] = seen.get(size, -1) + 1
-                    whose.append(number)
-                    rows.append((start, len(piece) // 4, tokens, piece, part, size, rank))
-                size_bytes += len(ids)
-                if size_bytes > 32 << 20:
-                    yield emit(batch, whose, rows)
-                    whose, rows, size_bytes = [], [], 0
-            yield emit(batch, whose, rows)
+            for first, column in slices(batch.column(1)):
+                rows, whose = [], []
+                for number, found in enumerate(encode(column), first):
+                    ids = found.tobytes() + last
+                    tokens = len(ids) // 4
+                    for start in range(0, tokens, length):
+                        piece = ids[4 * start : 4 * (start + length)]
+                        size = -(-len(piece) // (4 * step))
+                        rank = seen[size] = seen.get(size, -1) + 1
+                        whose.append(number)
+                        rows.append((start, len(piece) // 4, tokens, piece, part, size, rank))
+                yield emit(batch, whose, rows)
 
     def emit(batch, whose, rows):
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]

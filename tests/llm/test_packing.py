@@ -1,9 +1,11 @@
 """Packing against the tokenizers library and the rules of a layout."""
 
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -98,3 +100,13 @@ def test_few_bins_where_patterns_matter():
     # Sizes that fill bins only as 5 + 3 + 2 and 6 + 4.
     patterns = cutting_stock({5: 1000, 3: 1000, 2: 1000, 6: 500, 4: 500}, 10)
     assert sum(t for _, t in patterns) == 1500
+
+
+def test_words_have_the_ids_of_the_text():
+    library, ours = Tokenizer.from_file(tokenizer_file(FILE)), packing.WordEncoder(FILE)
+    rng = random.Random(9)
+    parts = ["The", "it's", "'S", "don't", "é", "é", "İ", "Σ", "ß", "ǆ", ".", "...", "&&&", "'", '"', "<", "<|endoftext|>", "<|ENDOFTEXT|>", "|", "12", "½", "日本", " ", " ", "\n", "\t", "\x1c", "\x85", "\xa0", "́", "😀", "x", "K", "Ⅷ"]
+    found = [*texts(), *("".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(3000))]
+    got = [ids for _, part in packing.slices(pa.array(found), 20_000) for ids in ours.encode(part)]
+    for text, ids in zip(found, got, strict=True):
+        assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
