@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from remitlens.llm.common import texts, tokenizer_file
 
-#: Longest word whose ranks are scanned, in bytes; words that a worker remembers before it starts anew.
-SCANNED, REMEMBERED = 256, 300_000
+#: Longest word whose ranks are scanned, in bytes; words that a worker remembers before it drops half of them.
+SCANNED, REMEMBERED = 256, 600_000
 NEVER = 1 << 40
 
 # The pattern that cuts text into words before any merge.
@@ -41,8 +42,8 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class ByteBPE:
-    """Encoder and decoder of a byte-level tokenizer file with merges."""
+class ByteBPE(dict):
+    """Encoder and decoder of a byte-level tokenizer file with merges: a dictionary of words that fills itself."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -69,10 +70,16 @@ class ByteBPE:
             self.merged.append(vocabulary[left + right])
         self.words = regex.compile(WORDS)
         self.cuts = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.known: dict[str, bytes] = {}
+        self.table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
 
     # -- words -------------------------------------------------------------------------------------
 
+    def __missing__(self, word: str) -> bytes:
+        ids = np.array(self.merge(word.encode()), "<u4").tobytes()
+        if len(word) <= SCANNED:
+            self[word] = ids
+        return ids
+
     def merge(self, word: bytes) -> list[int]:
         parts = [self.byte_id[b] for b in word]
         return self._scan(parts) if len(parts) <= SCANNED else self._heap(parts)
@@ -116,17 +123,12 @@ class ByteBPE:
     # -- texts -------------------------------------------------------------------------------------
 
     def _plain(self, text: str) -> bytes:
-        known, found = self.known, []
-        for word in self.words.findall(text):
-            ids = known.get(word)
-            if ids is None:
-                ids = np.array(self.merge(word.encode()), "<u4").tobytes()
-                if len(word) <= SCANNED:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[word] = ids
-            found.append(ids)
-        return b"".join(found)
+        found = b"".join(map(self.__getitem__, self.words.findall(text)))
+        if len(self) > REMEMBERED:
+            # Words that came first are the frequent ones.
+            for word in [*islice(self, REMEMBERED // 2, None)]:
+                del self[word]
+        return found
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids; special tokens in the text become their ids."""
@@ -140,8 +142,10 @@ class ByteBPE:
 
     def decode(self, ids: bytes) -> str:
         """The text of ids, with a replacement character for bytes that are no UTF-8; unknown ids say nothing."""
-        of = self.bytes_of.get
-        return b"".join([of(i, b"") for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        numbers = np.frombuffer(ids, "<u4")
+        if len(numbers) and numbers.max() >= len(self.table):
+            numbers = numbers[numbers < len(self.table)]
+        return b"".join(map(self.table.__getitem__, numbers.tolist())).decode("utf-8", "replace")
 
 
 _loaded: dict[str, ByteBPE] = {}
