@@ -32,7 +32,8 @@ def _keys(docs: DataFrame, *columns: Column) -> DataFrame:
 def _marked(docs: DataFrame) -> DataFrame:
     """Buckets of the texts that share length and prefix hash with another one."""
     keys = written(_keys(docs).drop("plain"), "text-keys")
-    lengths = keys.groupBy("length").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("length")
+    # Written, so that Spark may split the rows of a length that very many texts have.
+    lengths = written(keys.groupBy("length").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("length"), "lengths")
     shared = (
         keys.join(lengths, "length", "left_semi")
         .groupBy("length", "prefix", "bucket")
