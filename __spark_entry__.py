@@ -27,8 +27,15 @@ from remitlens.plans import (  # noqa: E402
     measures,
     segments,
 )
-from remitlens.plans.warehouse import BenchmarkWarehouse, LoadedWarehouse, Warehouse, unstaged_warehouse  # noqa: E402
-from remitlens.schema import FACT_ORDERS, MARKET_REVIEWS, WAREHOUSE_TABLES  # noqa: E402
+from remitlens.plans.warehouse import (  # noqa: E402
+    BenchmarkWarehouse,
+    LoadedWarehouse,
+    Warehouse,
+    derive_dates,
+    extend_dates,
+    unstaged_warehouse,
+)
+from remitlens.schema import DIM_COURIER, DIM_GEOGRAPHY, FACT_ORDERS, MARKET_REVIEWS, WAREHOUSE_TABLES  # noqa: E402
 from remitlens.session import new_folder, written  # noqa: E402
 from remitlens.settings import DISCREPANCY_TYPES  # noqa: E402
 from remitlens.sources import csv_tables, events, exports  # noqa: E402
@@ -95,18 +102,47 @@ def _one_rule(kind: str) -> Query:
     return _on_facts(lambda s, o: rec.reconcile(s, o, names=(kind,)))
 
 
+def _by_batch_and_type(found: DataFrame) -> DataFrame:
+    return plain(
+        found.groupBy("batch_id", "discrepancy_type").agg(
+            F.count(F.lit(1)).alias("cases"), F.sum("variance_rs").alias("leakage_rs")
+        )
+    )
+
+
 def _batch_rerun(spark: SparkSession, folder: str) -> DataFrame:
     """Reconcile everything, then one batch again: the stored table must not change."""
     facts = BenchmarkWarehouse(spark, folder)
     store = TableStore(spark, new_folder(spark, "store"))
     store.write_outcomes(rec.outcomes(facts.settlements, facts.orders))
     store.write_outcomes(rec.outcomes(facts.settlements, facts.orders, "RUN-1997"), "RUN-1997")
-    found = rec.list_discrepancies(store.read("outcomes"))
-    return plain(
-        found.groupBy("batch_id", "discrepancy_type").agg(
-            F.count(F.lit(1)).alias("cases"), F.sum("variance_rs").alias("leakage_rs")
-        )
+    return _by_batch_and_type(rec.list_discrepancies(store.read("outcomes")))
+
+
+#: Batch ids that paths, type inference or patterns might take for something else.
+ODD_BATCHES = {"RUN-1995": "A+B (1)/%=x", "RUN-1996": "0096", "RUN-1997": "1997-01-06", "RUN-1998": "\u0936\u094d\u0930\u0940 8"}
+
+
+def _batch_rerun_changed(spark: SparkSession, folder: str) -> DataFrame:
+    """A first run on wrong rows, then each odd batch again: one lost all rows, one some, the others changed."""
+    facts = BenchmarkWarehouse(spark, folder)
+    odd = F.create_map(*[F.lit(x) for pair in ODD_BATCHES.items() for x in pair])
+    right = facts.settlements.withColumn("batch_id", F.coalesce(odd[F.col("batch_id")], F.col("batch_id")))
+    lost, fewer, *_ = ODD_BATCHES.values()
+    right = right.where(F.col("batch_id") != lost)
+    gone = facts.settlements.where(F.col("batch_id") == "RUN-1995").withColumn("batch_id", F.lit(lost))
+    wrong = right.withColumn("rto_charge", (F.col("rto_charge") + 7).cast("decimal(10,2)")).unionByName(gone)
+    right = right.where((F.col("batch_id") != fewer) | (F.col("courier_id") != 1))
+    wrong = wrong.where(F.col("batch_id").isin(*ODD_BATCHES.values())).unionByName(
+        right.where(~F.col("batch_id").isin(*ODD_BATCHES.values()))
     )
+    store = TableStore(spark, new_folder(spark, "store"))
+    store.write_outcomes(rec.outcomes(wrong, facts.orders))
+    for batch in ODD_BATCHES.values():
+        store.write_outcomes(rec.outcomes(right, facts.orders, batch), batch)
+    # Copies are counted over all settlements, so batches that were not run again keep the copies of the first run.
+    found = rec.list_discrepancies(store.read("outcomes"))
+    return _by_batch_and_type(found.where(F.col("discrepancy_type") != "DUPLICATE_SETTLEMENT"))
 
 
 def _attached_trend(spark: SparkSession, folder: str) -> DataFrame:
@@ -201,11 +237,14 @@ def _mart_upsert(wh: Warehouse) -> DataFrame:
 
 
 def _settlement_cycle(spark: SparkSession, folder: str) -> DataFrame:
-    """The mart after a full run and a second run of one batch."""
+    """The mart after a full run on wrong rows of one batch and a second run of that batch."""
     tables, store = _tables(spark, folder), TableStore(spark, new_folder(spark, "cycle"))
-    cycle.run_cycle(store, tables, AS_OF, DETECTED_AT, 1)
+    settled = tables["fact_settlements"]
+    dearer = F.col("rto_charge") + F.when(F.col("batch_id") == "RUN-2000", 90).otherwise(0)
+    wrong = settled.withColumn("rto_charge", dearer.cast("decimal(10,2)"))
+    cycle.run_cycle(store, {**tables, "fact_settlements": wrong}, AS_OF, DETECTED_AT, 1)
     cycle.run_cycle(store, tables, AS_OF, DETECTED_AT, 2, "RUN-2000")
-    return plain(store.read_latest("daily_kpis"))
+    return plain(store.read("daily_kpis"))
 
 
 def _serving_bundle(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,32 +254,125 @@ def _serving_bundle(spark: SparkSession, folder: str) -> DataFrame:
     return plain(exports.bundle_sizes(spark, path, list(frames), "json"))
 
 
+def _csv_of(frames: Callable[[SparkSession, str], exports.Builders], name: str) -> Query:
+    """One export written as CSV and read back under its own column types."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path, build = new_folder(spark, "report"), frames(spark, folder)[name]
+        exports.write_csv({name: build}, path)
+        schema = build().schema
+        rows = spark.read.options(header=True, quote='"', escape='"').csv(f"{path}/{name}")
+        return plain(rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]))
+
+    return run
+
+
+def _report_frames(spark: SparkSession, folder: str) -> exports.Builders:
+    wh = BenchmarkWarehouse(spark, folder)
+    return exports.report_frames(wh, marts.daily_kpis(wh))
+
+
+def _market_frames(spark: SparkSession, folder: str) -> exports.Builders:
+    return exports.market_frames(marketplace.BenchmarkMarketplace(spark, folder))
+
+
+def _json_of(name: str) -> Query:
+    """One serving export written as JSON and read back."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        path, build = new_folder(spark, "serving"), exports.serving_frames(BenchmarkWarehouse(spark, folder))[name]
+        exports.write_json({name: build}, path)
+        return plain(spark.read.schema(build().schema).json(f"{path}/{name}"))
+
+    return run
+
+
+def _positional_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Couriers from a CSV whose header is wrong, read by position."""
+    path, couriers = new_folder(spark, "positional"), BenchmarkWarehouse(spark, folder).couriers
+    couriers.toDF("w", "x", "y", "z").write.option("header", True).csv(path)
+    return plain(csv_tables.read_positional(spark, path, DIM_COURIER))
+
+
+def _bad_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as CSV with text in the key of every seventh order: good and bad rows."""
+    path, merchants = new_folder(spark, "bad-rows"), BenchmarkWarehouse(spark, folder).merchants
+    number = F.substring("merchant_id", 3, 20).cast("long")
+    broken = F.when(number % 7 == 0, "x").otherwise(number.cast("string"))
+    merchants.select(broken.alias("geo_id"), F.col("merchant_name").alias("city"), F.lit("Tier-1").alias("tier"), F.col("category").alias("zone")).write.option(
+        "header", True
+    ).csv(path)
+    good, bad = csv_tables.split_bad_rows(spark, path, DIM_GEOGRAPHY)
+    counted = [rows.agg(F.count(F.lit(1)).alias("found")).select(F.lit(kind).alias("kind"), "found") for kind, rows in (("good", good), ("bad", bad))]
+    return plain(counted[0].unionByName(counted[1]))
+
+
+def _calendar_growth(spark: SparkSession, folder: str) -> DataFrame:
+    """A calendar of the first year's orders, loaded a year after them, that then grows by all others."""
+    wh = BenchmarkWarehouse(spark, folder)
+    first = derive_dates(wh.orders.where("order_date < date '1996-01-01'"), datetime.date(1996, 1, 1))
+    return plain(extend_dates(first, wh.orders, AS_OF))
+
+
+def _result_checks(spark: SparkSession, folder: str) -> DataFrame:
+    wh = BenchmarkWarehouse(spark, folder)
+    return plain(quality.result_violations(wh.discrepancies, marts.daily_kpis(wh), _tables(spark, folder)))
+
+
+def _whole_run(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV files in, exports out; the mart as the report export has it."""
+    source, out = new_folder(spark, "source"), new_folder(spark, "run")
+    for name, table in _tables(spark, folder).items():
+        table.write.options(header=True, quote='"', escape='"').csv(f"{source}/{name}.csv")
+    cycle.run_all(spark, source, out, AS_OF, DETECTED_AT)
+    rows = spark.read.option("header", True).csv(f"{out}/report/kpi_daily")
+    wide = {"orders": "long", "disputed_awbs": "long", "leakage_rs": "decimal(24,2)", "avg_dso_days": "decimal(8,2)"}
+    return plain(rows.withColumns({c: F.col(c).cast(kind) for c, kind in wide.items()}))
+
+
+def _nested_treemap(wh: Warehouse) -> DataFrame:
+    """The children of each type as text, in order."""
+    return kpis.nested_treemap(wh).select(
+        "discrepancy_type", "type_total",
+        F.concat_ws(",", F.transform("children", lambda c: F.concat_ws(":", c["tier"], c["size"].cast("long")))).alias("children"),
+    )
+
+
 # -- streams -----------------------------------------------------------------------------------------
 
 
-def _arriving(wh: BenchmarkWarehouse, name: str) -> DataFrame:
-    """A written table as a stream of its files."""
-    return jobs.table_stream(wh.spark, wh.written_folder(name), getattr(wh, name).schema)
+def _arriving(wh: BenchmarkWarehouse, name: str, files: int | None = None) -> DataFrame:
+    """A table as a stream of files: as it is stored, or cut by hash into files that each hold rows of all days."""
+    if files is None:
+        return jobs.table_stream(wh.spark, wh.written_folder(name), getattr(wh, name).schema)
+    path, rows = new_folder(wh.spark, f"arriving-{name}"), getattr(wh, name)
+    rows.repartition(files, F.xxhash64("awb_number", F.lit(7))).write.parquet(path)
+    return jobs.table_stream(wh.spark, path, rows.schema, files_per_trigger=1)
 
 
 def _stream_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     facts = BenchmarkWarehouse(spark, folder)
-    found = settlement_feed.check_against_table(_arriving(facts, "settlements"), facts.orders)
-    return plain(spark.read.parquet(jobs.run_available(found, "stream-reconcile")))
+    settled = _arriving(facts, "settlements", 3)
+    found = settlement_feed.check_against_table(settled, facts.orders, spark, new_folder(spark, "stream-reconcile"))
+    return plain(found.read(spark))
 
 
 def _stream_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and settlements come in files of random AWBs and days, one of each to a micro-batch."""
     facts = BenchmarkWarehouse(spark, folder)
-    found = settlement_feed.check_against_stream(_arriving(facts, "settlements"), _arriving(facts, "orders"))
-    return plain(spark.read.parquet(jobs.run_available(found, "stream-join")))
+    settled, orders = _arriving(facts, "settlements", 3), _arriving(facts, "orders", 4)
+    tables = settlement_feed.check_against_stream(settled, orders, spark, new_folder(spark, "stream-join"))
+    return plain(tables["found"].read(spark))
 
 
 def _stream_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     facts = BenchmarkWarehouse(spark, folder)
-    path = new_folder(spark, "touched")
-    settlement_feed.keep_touched(_arriving(facts, "settlements"), path)
-    touched = spark.read.schema("awb_number string, copies long").parquet(path)
-    return plain(settlement_feed.duplicate_findings(facts.settlements, facts.orders, touched))
+    path, rows = new_folder(spark, "arriving-copies"), facts.settlements
+    # Cut by id, so that the copies of an AWB come in several micro-batches.
+    rows.repartition(3, F.xxhash64("settlement_id")).write.parquet(path)
+    arriving = jobs.table_stream(spark, path, rows.schema, files_per_trigger=1)
+    tables = settlement_feed.keep_touched(arriving, spark, new_folder(spark, "copies"))
+    return plain(settlement_feed.duplicate_findings(facts.settlements, facts.orders, tables["touched"].read(spark)))
 
 
 def _published(spark: SparkSession, folder: str) -> str:
@@ -254,17 +386,19 @@ def _event_publication(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event delivered twice, each kept once."""
+    """Every event delivered twice, each kept once, over several micro-batches."""
     sent = spark.read.schema("key string, value string").json(_published(spark, folder))
     twice = new_folder(spark, "delivered-twice")
-    sent.unionByName(sent).write.parquet(twice)
-    once = event_feed.consume_once(jobs.table_stream(spark, twice, sent.schema)).drop("detected_ts")
-    return plain(spark.read.parquet(jobs.run_available(once, "consumed")))
+    sent.unionByName(sent).repartition(3, F.rand(5)).write.parquet(twice)
+    taken = event_feed.consumed(spark, new_folder(spark, "consumed"))
+    event_feed.consume_once(jobs.table_stream(spark, twice, sent.schema, files_per_trigger=1), taken)
+    return plain(taken.read(spark))
 
 
 def _windows(build: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(spark.read.parquet(jobs.run_available(build(_arriving(BenchmarkWarehouse(spark, folder), "outcomes")), "windows")))
+        arriving = _arriving(BenchmarkWarehouse(spark, folder), "outcomes", 4)
+        return plain(leakage_windows.keep_windows(build(arriving), spark, new_folder(spark, "windows")).read_last(spark))
 
     return run
 
@@ -277,6 +411,7 @@ def warehouse_queries() -> dict[str, Query]:
         "reconcile_summary": facts(lambda s, o: rec.summarise(rec.reconcile(s, o))),
         "reconcile_one_batch": facts(lambda s, o: rec.reconcile(s, o, "RUN-1998")),
         "batch_rerun": _batch_rerun,
+        "batch_rerun_changed": _batch_rerun_changed,
         "attached_trend": _attached_trend,
         "unsettled_orders": facts(
             lambda s, o: rec.unsettled_orders(s, o).select(
@@ -288,6 +423,11 @@ def warehouse_queries() -> dict[str, Query]:
         "dim_date": on(lambda wh: wh.dates),
         "load_orders_csv": _orders_csv,
         "load_reviews_csv": _reviews_csv,
+        "load_positional_csv": _positional_csv,
+        "split_bad_rows_csv": _bad_rows,
+        "calendar_growth": _calendar_growth,
+        "dq_results": _result_checks,
+        "whole_run": _whole_run,
         "analyst_sql": _analyst_sql,
         "discrepancy_events": _events(),
         "batch_events": _events("RUN-1996"),
@@ -309,7 +449,7 @@ def warehouse_queries() -> dict[str, Query]:
         "courier_scorecard_frame": on(kpis.courier_scorecard_frame),
         "scorecard_export": on(lambda wh: kpis.courier_scorecard_frame(wh, 1)),
         "dispute_share_by_courier": on(kpis.dispute_share_by_courier),
-        "radar": on(kpis.radar),
+        "radar": on(kpis.radar_long),
         "tier_entry": on(lambda wh: kpis.tier_entry(wh).drop("delay")),
         "tier_entry_export": on(lambda wh: kpis.tier_entry(wh).drop("leakage_pct_of_gmv", "avg_delay_hrs")),
         "tier_entry_order_grain": on(lambda wh: kpis.tier_entry(wh, "order").drop("delay")),
@@ -329,6 +469,7 @@ def warehouse_queries() -> dict[str, Query]:
         "pareto_couriers": on(kpis.pareto_couriers),
         "pareto_export": on(lambda wh: kpis.pareto_couriers(wh, rounded=half_even)),
         "treemap": on(kpis.treemap),
+        "treemap_nested": on(_nested_treemap),
         "scatter": on(kpis.scatter),
         # Lists.
         "duplicate_awbs": on(integrity.duplicate_awbs),
@@ -349,6 +490,14 @@ def warehouse_queries() -> dict[str, Query]:
         "export_kpi_daily": on(lambda wh: marts.kpi_daily_export(wh, marts.daily_kpis(wh))),
         "export_discrepancies": on(marts.discrepancies_export),
         "serving_bundle": _serving_bundle,
+        "csv_kpi_daily": _csv_of(_report_frames, "kpi_daily"),
+        "csv_discrepancies": _csv_of(_report_frames, "discrepancies"),
+        "csv_review_impact": _csv_of(_market_frames, "review_impact"),
+        "csv_monthly": _csv_of(_market_frames, "monthly"),
+        "csv_seller_late": _csv_of(_market_frames, "seller_late"),
+        "json_trend": _json_of("trend"),
+        "json_scorecard": _json_of("scorecard"),
+        "json_rca_cells": _json_of("rca_cells"),
         "measures_overview": on(lambda wh: measures.measures_overview(wh, marts.daily_kpis(wh))),
         "measures_sliced": on(
             lambda wh: measures.measures_overview(wh, marts.daily_kpis(wh), "AMERICA", "Tier-3", "LOW")

@@ -345,6 +345,34 @@ def _dq() -> str:
     return "\nunion all ".join(parts)
 
 
+def _dq_results() -> str:
+    found, mart = "fact_discrepancies", "mart"
+    required = {
+        found: "discrepancy_id awb_number batch_id courier_id merchant_id geo_id discrepancy_type variance_rs severity",
+        mart: "kpi_date courier_id geo_id orders disputed_awbs leakage_rs",
+    }
+    label = {found: found, mart: "fct_daily_kpis"}
+    parts = [
+        f"select '{label[t]}.{n} not null' check_name, count(*) filter (where {n} is null) violations from {t}"
+        for t, names in required.items() for n in names.split()
+    ]
+    kinds = ",".join(f"'{kind}'" for kind in RULE_SQL)
+    parts += [
+        f"select '{found}.discrepancy_type in enum', count(*) filter (where discrepancy_type not in ({kinds})) from {found}",
+        f"select '{found}.severity in enum', count(*) filter (where severity not in ('HIGH','MEDIUM','LOW')) from {found}",
+        f"select '{found}.discrepancy_id unique', count(*)-count(distinct discrepancy_id) from {found}",
+        "select 'fct_daily_kpis.kpi_date+courier_id+geo_id unique', count(*)-count(distinct (kpi_date,courier_id,geo_id)) from mart",
+    ]
+    for child in (found, mart):
+        for key, parent in (("courier_id", "dim_courier"), ("merchant_id", "dim_merchant"), ("geo_id", "dim_geography")):
+            if (child, key) != (mart, "merchant_id"):
+                parts.append(
+                    f"select '{label[child]}.{key} in {parent}', count(*) from {child} c"
+                    f" where {key} is not null and not exists (select 1 from {parent} p where p.{key}=c.{key})"
+                )
+    return "\nunion all ".join(parts)
+
+
 def _measures(filter_d: str = "true", filter_m: str = "true", filter_s: str = "true") -> str:
     return _with(
         f"""select total_leakage, disputed_awbs, settled_awbs,
@@ -380,6 +408,12 @@ from fact_discrepancies group by 1"""
     sql["batch_rerun"] = _with(
         """select batch_id, discrepancy_type, count(*) cases, cast(sum(variance_rs) as double) leakage_rs
 from fact_discrepancies group by 1, 2"""
+    )
+    sql["batch_rerun_changed"] = _with(
+        """select case batch_id when 'RUN-1996' then '0096' when 'RUN-1997' then '1997-01-06' when 'RUN-1998' then 'श्री 8'
+    else batch_id end batch_id, discrepancy_type, count(*) cases, cast(sum(variance_rs) as double) leakage_rs
+from fact_discrepancies where discrepancy_type<>'DUPLICATE_SETTLEMENT' and batch_id<>'RUN-1995'
+  and (batch_id<>'RUN-1996' or courier_id<>1) group by 1, 2"""
     )
     sql["attached_trend"] = _with(f"""select cast(s.settlement_date as varchar) kpi_date, {_TREND}
 from {S_D} group by 1""")
@@ -410,6 +444,16 @@ from (select *, row_number() over (partition by review_id order by review_creati
   clean_message desc nulls last, clean_title desc nulls last, review_score desc) rn from raw_reviews)
 where rn=1 group by 1"""
     )
+    sql["load_positional_csv"] = """select cast(r_regionkey+1 as bigint) courier_id, r_name courier_name,
+  cast(35+8*r_regionkey as double) base_rate_rs, cast(48+24*(r_regionkey%3) as bigint) sla_hours from region"""
+    sql["split_bad_rows_csv"] = """select 'good' kind, count(*) filter (where c_custkey%7<>0) found from customer
+union all select 'bad', count(*) filter (where c_custkey%7=0) from customer"""
+    sql["calendar_growth"] = _with(
+        f"""select cast(date_id as varchar) date_id, cast({_wk('date_id')} as varchar) week_id,
+  strftime(date_id,'%Y-%m') month_id, cast(date_diff('day', date_id, case when date_id < date '1996-01-01'
+    then date '1996-01-01' else date '2001-08-01' end) between 30 and 37 as bigint) is_festival from dim_date"""
+    )
+    sql["dq_results"] = _with(_dq_results(), MART)
     sql["analyst_sql"] = _with(
         """select batch_id, severity, count(*) cases, cast(sum(variance_rs) as double) leakage_rs
 from fact_discrepancies where discrepancy_type='OVERDUE_REMITTANCE' and variance_rs>1000 group by 1, 2"""
@@ -499,13 +543,7 @@ from {source}"""
     ]
     names = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
     sql["radar"] = _with(
-        "\nunion all ".join(
-            f"select '{m}' metric, "
-            + ", ".join(f"round(round(max({v}) filter (where courier_name='{n}'),9),1) \"{n}\"" for n in names)
-            + " from scored"
-            for m, v in radar
-        ),
-        SCORE,
+        "\nunion all ".join(f"select '{m}' metric, courier_name, round(round({v},9),1) as value from scored" for m, v in radar), SCORE
     )
     pct_gmv = "round(round(100.0::double*leakage_rs/nullif(gmv,0),9),2) leakage_pct_of_gmv"
     sql["tier_entry"] = _with(
@@ -566,6 +604,11 @@ from (select courier_name, cast(sum(cases) as bigint) cases, round(sum(leakage_r
     as bigint) type_total,
   row_number() over (partition by discrepancy_type order by size desc, tier, courier_name) as "position"
 from (select *, cast(floor(leakage_rs+0.5) as bigint) size from cells)""", CELLS
+    )
+    sql["treemap_nested"] = _with(
+        """select discrepancy_type, cast(sum(size) as bigint) type_total,
+  string_agg(concat(tier,':',cast(size as varchar)), ',' order by size desc, tier, courier_name) children
+from (select *, cast(floor(leakage_rs+0.5) as bigint) size from cells) group by 1""", CELLS
     )
     sql["scatter"] = _with(
         """select discrepancy_type, courier_name, tier, cases x,
@@ -801,13 +844,16 @@ from (select cast(sum(late_orders) as double)/sum(orders) late_rate from monthly
     sql["stream_duplicates"] = sql["rule_duplicate_settlement"]
     sql["stream_dedup"] = sql["discrepancy_events"]
     sql["event_publication"] = sql["discrepancy_events"]
-    closed = "(select max(settlement_date) from fact_settlements)"
-    sql["stream_daily"] = _with(
-        f"""select cast(s.settlement_date as varchar) kpi_date, {_TREND} from {S_D}
-where s.settlement_date + 1 <= {closed} - 1 group by 1"""
-    )
-    sql["stream_weekly"] = _with(
-        f"""select cast({_wk('s.settlement_date')} as varchar) wk, {_TREND} from {S_D}
-where {_wk('s.settlement_date')} + 6 <= {closed} - 1 group by 1"""
-    )
+    # Exports, written and read back.
+    sql["whole_run"] = sql["csv_kpi_daily"] = sql["export_kpi_daily"]
+    sql["csv_discrepancies"] = sql["export_discrepancies"]
+    sql["csv_review_impact"] = sql["review_impact_latest"]
+    sql["csv_monthly"] = f"select * exclude (month) from ({sql['monthly_late']})"
+    sql["csv_seller_late"] = sql["seller_late"]
+    sql["json_trend"] = sql["weekly_trend"]
+    sql["json_scorecard"] = sql["scorecard_export"]
+    sql["json_rca_cells"] = sql["rca_cells_export"]
+
+    sql["stream_daily"] = sql["daily_trend"]
+    sql["stream_weekly"] = sql["weekly_trend"]
     return sql

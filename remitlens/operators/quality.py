@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens import settings
+from remitlens.schema import DAILY_KPIS, FACT_DISCREPANCIES
 
 
 def _report(df: DataFrame, check: str, count) -> DataFrame:
@@ -72,3 +73,19 @@ def warehouse_violations(tables: dict[str, DataFrame], schemas: dict[str, T.Stru
         reference_check(tables[child], child, key, tables[parent], parent) for child, key, parent in references
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def result_violations(discrepancies: DataFrame, mart: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per constraint of the discrepancies and of the daily mart."""
+    enums = {"discrepancy_type": settings.DISCREPANCY_TYPES, "severity": settings.SEVERITIES}
+    parts = [
+        row_checks(discrepancies, "fact_discrepancies", FACT_DISCREPANCIES, enums),
+        unique_check(discrepancies, "fact_discrepancies", ["discrepancy_id"]),
+        row_checks(mart, "fct_daily_kpis", DAILY_KPIS, {}),
+        unique_check(mart, "fct_daily_kpis", ["kpi_date", "courier_id", "geo_id"]),
+    ]
+    for key, parent in (("courier_id", "dim_courier"), ("merchant_id", "dim_merchant"), ("geo_id", "dim_geography")):
+        parts.append(reference_check(discrepancies, "fact_discrepancies", key, tables[parent], parent))
+        if key in mart.columns:
+            parts.append(reference_check(mart, "fct_daily_kpis", key, tables[parent], parent))
+    return reduce(DataFrame.unionByName, parts)

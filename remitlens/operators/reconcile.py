@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitlens.operators.rules import listed, with_disputes
-from remitlens.operators.skew import SHARE, heavy_keys, repeat_rows, spread_rows
+from remitlens.operators.rules import listed, one_sided, with_disputes
+from remitlens.operators.skew import SHARE, heavy_buckets, repeat_rows, spread_rows
 from remitlens.settings import RULES, SKEW, RuleSettings, SkewSettings
 
 SETTLEMENT_COLUMNS = (
@@ -46,13 +46,13 @@ def match_orders(settlements: DataFrame, orders: DataFrame, batch_id: str | None
         # The filter that the joins would infer stands here for all uses, so they share one shuffle.
         named = settlements.where(F.col("awb_number").isNotNull())
         counts = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    heavy = heavy_keys(counts, keys, "copies", skew)
+    heavy = heavy_buckets(counts, keys, "copies", skew)
     rows = settlements.select(*SETTLEMENT_COLUMNS)
     if batch_id is not None:
         rows = rows.where(F.col("batch_id") == batch_id)
-    rows = spread_rows(rows, heavy, keys, F.col("settlement_id"))
-    partners = repeat_rows(order_side(orders), heavy, keys)
-    repeated = repeat_rows(counts.where(F.col("copies") > 1), heavy, keys)
+    rows = spread_rows(rows, heavy, keys, F.col("settlement_id"), skew)
+    partners = repeat_rows(order_side(orders), heavy, keys, skew)
+    repeated = repeat_rows(counts.where(F.col("copies") > 1), heavy, keys, skew)
     on = [*keys, SHARE]
     return (
         rows.join(partners, on, "left")
@@ -63,6 +63,39 @@ def match_orders(settlements: DataFrame, orders: DataFrame, batch_id: str | None
     )
 
 
+def match_for(settlements: DataFrame, orders: DataFrame, names: tuple[str, ...], batch_id: str | None = None,
+              rules: RuleSettings = RULES, skew: SkewSettings = SKEW) -> DataFrame:
+    """The matched rows on which the named rules may fire.
+
+    What all of them ask of one side is asked before the join, and copies are joined only for the duplicate rule. All
+    rules need an order, so settlements without one drop out.
+    """
+    keys, duplicates = ["awb_number"], "DUPLICATE_SETTLEMENT" in names
+    of_settlement, of_order = one_sided(names, rules)
+    rows = settlements.select(*SETTLEMENT_COLUMNS).where(F.col("awb_number").isNotNull())
+    partners = order_side(orders)
+    if of_settlement is not None:
+        rows = rows.where(of_settlement)
+    if of_order is not None:
+        partners = partners.where(of_order)
+    if batch_id is not None and not duplicates:
+        rows = rows.where(F.col("batch_id") == batch_id)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    if batch_id is not None and duplicates:
+        rows = rows.where(F.col("batch_id") == batch_id)
+    heavy = heavy_buckets(counts, keys, "copies", skew)
+    on = [*keys, SHARE]
+    rows = spread_rows(rows, heavy, keys, F.col("settlement_id"), skew)
+    if duplicates:
+        repeated = repeat_rows(counts.where(F.col("copies") > 1), heavy, keys, skew)
+        # If only copies count, settlements without any drop out before they meet their orders.
+        rows = rows.join(repeated, on, "inner" if names == ("DUPLICATE_SETTLEMENT",) else "left")
+        rows = rows.withColumn("copies", F.coalesce("copies", F.lit(1)))
+    else:
+        rows = rows.withColumn("copies", F.lit(1).cast("long"))
+    return rows.join(repeat_rows(partners, heavy, keys, skew), on).drop(SHARE)
+
+
 def outcomes(settlements: DataFrame, orders: DataFrame, batch_id: str | None = None, rules: RuleSettings = RULES,
              skew: SkewSettings = SKEW) -> DataFrame:
     """One row per settlement: its order, its copies and its discrepancies."""
@@ -93,6 +126,8 @@ def find_discrepancies(matched: DataFrame, names: tuple[str, ...] | None = None,
 def reconcile(settlements: DataFrame, orders: DataFrame, batch_id: str | None = None, rules: RuleSettings = RULES,
               skew: SkewSettings = SKEW, names: tuple[str, ...] | None = None) -> DataFrame:
     """All discrepancies of all batches, or of one; under all rules, or some."""
+    if names is not None:
+        return find_discrepancies(match_for(settlements, orders, names, batch_id, rules, skew), names, rules)
     return find_discrepancies(match_orders(settlements, orders, batch_id, skew), names, rules)
 
 
@@ -117,10 +152,10 @@ def attach_discrepancies(settlements: DataFrame, orders: DataFrame, discrepancie
     )
     matched = match_orders(settlements, orders, skew=skew)
     counts = settlements.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = heavy_keys(counts, keys, "_rows", skew)
-    rows = spread_rows(matched, heavy, keys, F.col("settlement_id"))
+    heavy = heavy_buckets(counts, keys, "_rows", skew)
+    rows = spread_rows(matched, heavy, keys, F.col("settlement_id"), skew)
     return (
-        rows.join(repeat_rows(folded, heavy, keys), [*keys, SHARE], "left")
+        rows.join(repeat_rows(folded, heavy, keys, skew), [*keys, SHARE], "left")
         .withColumn("dispute_count", F.coalesce("dispute_count", F.lit(0)))
         .withColumn("leakage_rs", F.coalesce("leakage_rs", F.lit(0)).cast("decimal(14,2)"))
         .drop(SHARE)

@@ -5,6 +5,7 @@ Each rule yields a struct or null; a settlement row is tested against all rules
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -26,13 +27,19 @@ PER_ROW_RULES = (
 
 
 class Rule(NamedTuple):
-    """When a rule fires, and what it then reports."""
+    """When a rule fires, and what it then reports.
+
+    ``of_settlement`` and ``of_order`` are what the rule asks of one side alone, if anything; rows that lack it need not
+    be joined.
+    """
 
     fires: Column
     expected: Column
     actual: Column
     variance: Column
     severity: Column
+    of_settlement: Column | None = None
+    of_order: Column | None = None
 
     def amount(self) -> Column:
         return self.variance.cast("decimal(12,2)")
@@ -62,14 +69,17 @@ def all_rules(limits: RuleSettings = RULES) -> dict[str, Rule]:
     copies = F.col("copies")
     return {
         "COD_SHORT_REMITTANCE": Rule(
-            is_cod_short(cod, settled, limits), cod, settled, cod - settled, severity_of(cod - settled, limits)
+            is_cod_short(cod, settled, limits), cod, settled, cod - settled, severity_of(cod - settled, limits),
+            of_order=cod > 0,
         ),
         # Graded on the unrounded amount.
         "WEIGHT_DISPUTE": Rule(
             is_overweight(declared, charged, limits), declared, charged, F.round(extra_weight, 0),
             severity_of(extra_weight, limits),
         ),
-        "PHANTOM_RTO_CHARGE": Rule((rto > 0) & delivered, F.lit(0), rto, rto, severity_of(rto, limits)),
+        "PHANTOM_RTO_CHARGE": Rule(
+            (rto > 0) & delivered, F.lit(0), rto, rto, severity_of(rto, limits), rto > 0, delivered
+        ),
         # The cash that is late, graded by days.
         "OVERDUE_REMITTANCE": Rule(
             days > limits.overdue_days, F.lit(limits.overdue_days), days, settled,
@@ -78,7 +88,8 @@ def all_rules(limits: RuleSettings = RULES) -> dict[str, Rule]:
         "DUPLICATE_SETTLEMENT": Rule(F.col("has_order") & (copies > 1), F.lit(1), copies, settled, F.lit("HIGH")),
         # No money, but it counts as a dispute.
         "ETA_SLA_BREACH": Rule(
-            delivered & (actual > promised * F.lit(limits.eta_tolerance)), promised, actual, F.lit(0), F.lit("LOW")
+            delivered & (actual > promised * F.lit(limits.eta_tolerance)), promised, actual, F.lit(0), F.lit("LOW"),
+            of_order=delivered & (actual > promised * F.lit(limits.eta_tolerance)),
         ),
         "EXCESS_FORWARD_CHARGE": Rule(
             forward > slab * F.lit(limits.forward_tolerance), slab, forward, forward - slab,
@@ -87,6 +98,16 @@ def all_rules(limits: RuleSettings = RULES) -> dict[str, Rule]:
     }
 
 
+def one_sided(names: tuple[str, ...] | None, limits: RuleSettings = RULES) -> tuple[Column | None, Column | None]:
+    """What all named rules together need of a settlement and of its order; None if any row may count."""
+    rules = all_rules(limits)
+    sides = []
+    for side in ("of_settlement", "of_order"):
+        asked = [getattr(rules[name], side) for name in (names or tuple(rules))]
+        sides.append(None if any(c is None for c in asked) else reduce(lambda a, b: a | b, asked))
+    return sides[0], sides[1]
+
+
 def listed(df: DataFrame, keep: tuple[str, ...], names: tuple[str, ...] | None = None,
            limits: RuleSettings = RULES) -> DataFrame:
     """One row per finding of the named rules (all by default) with the ``keep`` columns of its settlement.

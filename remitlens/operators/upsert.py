@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def merge_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -14,10 +13,3 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 def insert_missing(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Keep every old row; add the new rows whose key is not there yet."""
     return old.unionByName(new.join(old.select(*keys), keys, "left_anti"))
-
-
-def replace_batch(old: DataFrame, new: DataFrame, batch_id: str | None) -> DataFrame:
-    """Drop the batch's old rows (all rows without a batch) and add the new ones."""
-    if batch_id is None:
-        return new
-    return old.where(F.col("batch_id") != batch_id).unionByName(new)

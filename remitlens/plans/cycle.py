@@ -1,16 +1,19 @@
-"""A reconciliation run over stored tables: outcomes, mart, events."""
+"""A reconciliation run: load, checks, outcomes, mart, events, exports."""
 
 from __future__ import annotations
 
 import datetime
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from remitlens.operators.quality import result_violations, warehouse_violations
 from remitlens.operators.reconcile import list_discrepancies, outcomes, summarise
 from remitlens.plans.marts import daily_kpis, upsert_daily_kpis
 from remitlens.plans.warehouse import from_tables
+from remitlens.schema import WAREHOUSE_TABLES
+from remitlens.sources import csv_tables, exports
 from remitlens.sources.events import event_rows, write_events
 from remitlens.sources.store import TableStore
 
@@ -19,15 +22,54 @@ def run_cycle(store: TableStore, tables: dict[str, DataFrame], as_of: datetime.d
               version: int, batch_id: str | None = None) -> DataFrame:
     """Reconcile all batches or one, refresh the mart, write the events; returns the summary by type.
 
-    Each step reads what the step before wrote. Mart cells that no settlement supports any more are kept.
+    Each step reads what the step before wrote. One batch's run recomputes the days that its old or new settlements
+    touch and no others. Mart cells that no settlement supports any more are kept.
     """
-    store.write_outcomes(outcomes(tables["fact_settlements"], tables["fact_orders"], batch_id), batch_id)
-    stored = store.read("outcomes")
-    fresh = daily_kpis(replace(from_tables(tables, as_of), outcomes=stored))
-    if version > 1:
-        fresh = upsert_daily_kpis(store.read_latest("daily_kpis"), fresh)
-    store.write_version("daily_kpis", fresh, version)
-    touched = stored if batch_id is None else stored.where(F.col("batch_id") == batch_id)
+    wh = from_tables(tables, as_of)
+    found = outcomes(tables["fact_settlements"], tables["fact_orders"], batch_id)
+    if batch_id is None:
+        store.write_outcomes(found)
+        mart = daily_kpis(replace(wh, outcomes=store.read("outcomes")))
+        store.write("daily_kpis", mart, "kpi_date", folders=False)
+        touched = store.read("outcomes")
+    else:
+        before = store.read("outcomes", batch_id).select("settlement_date").distinct().collect()
+        store.write_outcomes(found, batch_id)
+        touched = store.read("outcomes", batch_id)
+        # A batch settles a bounded number of days, whatever its rows.
+        days = sorted({r[0] for r in [*before, *touched.select("settlement_date").distinct().collect()] if r[0]})
+        refresh_mart(store, replace(wh, outcomes=store.read("outcomes")), days)
     found = list_discrepancies(touched)
     write_events(event_rows(found, detected_at), store.path(f"events/version={version}"))
     return summarise(found)
+
+
+def refresh_mart(store: TableStore, wh, days: list[datetime.date]) -> None:
+    """Recompute the mart's cells of some days from the outcomes of these days."""
+    if days:
+        of_days = wh.outcomes.where(F.col("settlement_date").isin(*days))
+        fresh = daily_kpis(replace(wh, outcomes=of_days))
+        store.replace("daily_kpis", upsert_daily_kpis(store.read("daily_kpis", *days), fresh), days)
+
+
+def run_all(spark: SparkSession, source: str, folder: str, as_of: datetime.date,
+            detected_at: datetime.datetime) -> dict[str, DataFrame]:
+    """From a folder of CSV files to the written exports.
+
+    Loads the warehouse, keeps its tables, checks them, reconciles all batches, builds the mart, writes events and the
+    serving and report exports below ``folder``. Returns ``violations`` of the given and the resulting tables, and
+    ``summary``. Violations do not stop the run.
+    """
+    store = TableStore(spark, folder)
+    for name, table in csv_tables.load_warehouse(spark, source).items():
+        store.write(name, table)
+    tables = {name: store.read(name) for name in WAREHOUSE_TABLES}
+    summary = run_cycle(store, tables, as_of, detected_at, 1)
+    wh = replace(from_tables(tables, as_of), outcomes=store.read("outcomes"))
+    mart = store.read("daily_kpis")
+    exports.write_json(exports.serving_frames(wh), f"{folder}/serving")
+    exports.write_csv(exports.report_frames(wh, mart), f"{folder}/report")
+    violations = warehouse_violations(tables, WAREHOUSE_TABLES).unionByName(
+        result_violations(wh.discrepancies, mart, tables)
+    )
+    return {"violations": violations, "summary": summary}

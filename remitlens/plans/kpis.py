@@ -252,7 +252,7 @@ def dispute_share_by_courier(wh: Warehouse) -> DataFrame:
 
 
 def radar(wh: Warehouse) -> DataFrame:
-    """Four score parts as rows, couriers as columns."""
+    """Four score parts as rows, each with its value by courier, of the couriers that the scorecard has."""
     long = courier_scorecard_frame(wh, 1).select(
         "courier_name",
         F.inline(
@@ -269,9 +269,14 @@ def radar(wh: Warehouse) -> DataFrame:
             )
         ),
     )
-    # The courier key is a small integer, so its names are few; naming them spares a pass over the facts.
-    names = sorted(row.courier_name for row in wh.couriers.select("courier_name").collect())
-    return long.groupBy("metric").pivot("courier_name", names).agg(F.first("value"))
+    return long.groupBy("metric").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("courier_name", "value")))).alias("values")
+    )
+
+
+def radar_long(wh: Warehouse) -> DataFrame:
+    """The radar as one row per metric and courier."""
+    return radar(wh).select("metric", F.explode("values").alias("courier_name", "value"))
 
 
 def tier_entry(wh: Warehouse, grain: str = "joined") -> DataFrame:
@@ -318,20 +323,19 @@ def _regroup(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("cases").alias("cases"), F.sum("leakage_rs").alias("leakage_rs"))
 
 
-def rca_cells(wh: Warehouse, limit: int = 20, rounded: Rounding = half_up, courier: str | None = None,
+def rca_cells(wh: Warehouse, limit: int | None = 20, rounded: Rounding = half_up, courier: str | None = None,
               tier: str | None = None) -> DataFrame:
-    """Courier, tier and type cells by leakage, largest first, for one courier or tier if given."""
+    """Courier, tier and type cells by leakage, largest first, for one courier or tier if given; all without a limit."""
     rows = _regroup(cells(wh), "courier_name", "tier", "discrepancy_type")
     if courier is not None:
         rows = rows.where(F.col("courier_name") == courier)
     if tier is not None:
         rows = rows.where(F.col("tier") == tier)
     mean = ratio(F.col("leakage_rs"), F.col("cases"))
-    return (
-        rows.withColumn("avg_loss", rounded(mean, 0))
-        .orderBy(F.col("leakage_rs").desc(), "courier_name", "tier", "discrepancy_type")
-        .limit(limit)
+    ordered = rows.withColumn("avg_loss", rounded(mean, 0)).orderBy(
+        F.col("leakage_rs").desc(), "courier_name", "tier", "discrepancy_type"
     )
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def rca_workbench(wh: Warehouse, courier: str | None = None, tier: str | None = None) -> DataFrame:
@@ -425,7 +429,7 @@ def nested_treemap(wh: Warehouse) -> DataFrame:
 
 def scatter(wh: Warehouse) -> DataFrame:
     """Cases against mean loss per cell, grouped by type, largest type first."""
-    rows = rca_cells(wh, limit=2**31 - 1, rounded=half_even)
+    rows = rca_cells(wh, None, half_even)
     z = F.floor(F.col("leakage_rs").cast("double") + 0.5)
     return rows.select(
         "discrepancy_type",

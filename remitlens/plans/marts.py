@@ -42,11 +42,6 @@ def upsert_daily_kpis(stored: DataFrame, fresh: DataFrame) -> DataFrame:
     return merge_rows(stored, fresh, MART_KEYS)
 
 
-def refresh_days(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Replace whole days: stored cells of a day that ``fresh`` holds go, also those without a fresh one."""
-    return merge_rows(stored, fresh, ["kpi_date"])
-
-
 def kpi_daily_export(wh: Warehouse, mart: DataFrame) -> DataFrame:
     places = wh.geography.select("geo_id", "city", "tier")
     return wh.named_courier(mart).join(places, "geo_id").select(

@@ -87,13 +87,20 @@ def from_tables(tables: dict[str, DataFrame], as_of: datetime.date) -> LoadedWar
     )
 
 
-_staged: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+_staged: dict[tuple, tuple[str, T.StructType]] = {}
 
 
-def _stage(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame],
+def _files(tables: BenchmarkTables, names: tuple[str, ...]) -> tuple:
+    """The given files with their sizes and times, so that changed files are staged anew."""
+    paths = [f"{tables.folder}/{name}.parquet" for name in names]
+    rows = tables.spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+    return tuple(sorted(tuple(r) for r in rows.collect()))
+
+
+def _stage(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame],
            partition_by: str | None = None) -> DataFrame:
-    """Write a derived table once per application to the shared folder and read it from there."""
-    key = (spark.sparkContext.applicationId, folder, name)
+    """Write a derived table once per application and state of the given files, and read it from there."""
+    key = (*key, name)
     if key not in _staged:
         df, path = build(), new_folder(spark, name)
         write_table(df, path, partition_by)
@@ -108,6 +115,11 @@ class BenchmarkWarehouse(Warehouse):
         self.spark, self.folder = spark, folder
         self.tables = BenchmarkTables(spark, folder)
 
+    @cached_property
+    def _key(self) -> tuple:
+        files = _files(self.tables, ("orders", "lineitem", "customer", "region"))
+        return (self.spark.sparkContext.applicationId, self.folder, files)
+
     @cached_property
     def couriers(self) -> DataFrame:
         return self.tables.couriers()
@@ -126,7 +138,7 @@ class BenchmarkWarehouse(Warehouse):
 
     @cached_property
     def _keyed_orders(self) -> DataFrame:
-        return _stage(self.spark, self.folder, "orders", self.tables.orders)
+        return _stage(self.spark, self._key, "orders", self.tables.orders)
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -137,19 +149,19 @@ class BenchmarkWarehouse(Warehouse):
         def build() -> DataFrame:
             return self.tables.settlements(self._keyed_orders)
 
-        return _stage(self.spark, self.folder, "settlements", build, "batch_id")
+        return _stage(self.spark, self._key, "settlements", build, "batch_id")
 
     @cached_property
     def outcomes(self) -> DataFrame:
         def build() -> DataFrame:
             return outcomes(self.settlements, self.orders)
 
-        return _stage(self.spark, self.folder, "outcomes", build, "batch_id")
+        return _stage(self.spark, self._key, "outcomes", build, "batch_id")
 
     def written_folder(self, name: str) -> str:
         """Where the orders, settlements or outcomes were written, for a stream to read."""
         getattr(self, name)
-        return _staged[(self.spark.sparkContext.applicationId, self.folder, name)][0]
+        return _staged[*self._key, name][0]
 
 
 def unstaged_warehouse(spark: SparkSession, folder: str) -> LoadedWarehouse:

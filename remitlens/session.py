@@ -30,16 +30,27 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="remitlens-")
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def own_folder(spark: SparkSession) -> str:
+    """Where this application writes below the shared folder."""
+    return f"{shared_folder(spark)}/remitlens/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, unique to this call."""
-    return f"{shared_folder(spark)}/remitlens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete all that this application has written below the shared folder, once its results are no longer read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:

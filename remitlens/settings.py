@@ -53,15 +53,14 @@ class ScoreWeights:
 
 @dataclass(frozen=True)
 class SkewSettings:
-    """When a join key counts as heavy, and how finely its rows are spread.
+    """When a join key counts as heavy, how finely its rows are spread, and into how many buckets keys fall.
 
-    At most ``max_heavy_keys`` keys are treated as heavy, the heaviest first, so the broadcast list
-    is bounded whatever the data. A key beyond that list holds less than 1/max_heavy_keys of the rows.
+    ``buckets`` bounds what is sent to every task: a row of two integers per bucket that holds a heavy key.
     """
 
     heavy_rows: int = 200_000
     rows_per_share: int = 100_000
-    max_heavy_keys: int = 10_000
+    buckets: int = 1 << 20
 
 
 RULES = RuleSettings()

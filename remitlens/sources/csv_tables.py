@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,13 +19,37 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+def by_header(spark: SparkSession, path: str, **options: object) -> list[DataFrame]:
+    """The text columns of CSV files, one frame for each distinct header, since Spark reads all files by the first one's.
+
+    Only the files' names and header lines come to the driver.
+    """
+    options = {"header": True, **options}
+    # The first line of a file; quoted line breaks in column names are not supported.
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"), "value",
+    )
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header")).collect()
+    files: dict[str, list[str]] = {}
+    for row in first:
+        files.setdefault(row.header, []).append(row.file)
+    return [spark.read.options(**options).csv(sorted(group)) for _, group in sorted(files.items())]
+
+
+def _named(frames: list[DataFrame], columns: Callable[[], list[Column]], schema: T.StructType, spark: SparkSession) -> DataFrame:
+    if not frames:
+        return spark.createDataFrame([], _nullable(schema))
+    return reduce(DataFrame.unionByName, [frame.select(*columns()) for frame in frames])
+
+
 def read_named(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV whose header names the columns in any order; empty text is null.
+    """CSV whose header names the columns in any order, in each file its own; empty text is null.
 
     Text is cast under the schema, and a value that does not fit raises.
     """
-    rows = spark.read.option("header", True).option("nullValue", "").csv(path)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    cast = lambda: [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return _named(by_header(spark, path, nullValue=""), cast, schema, spark)
 
 
 def read_positional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -65,10 +92,14 @@ def coerce(text: Column, data_type: T.DataType) -> Column:
 
 
 def read_coerced(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    # Review texts hold line breaks; a file read so cannot be split, so the other tables are read line by line.
+    """Lenient read by each file's own header.
+
+    Review texts hold line breaks, and a file with quoted breaks cannot be split: each is one task, so a large load of
+    reviews should come as many files. The other tables are read line by line.
+    """
     free_text = "review_comment_message" in schema.fieldNames()
-    rows = spark.read.options(header=True, multiLine=free_text, quote='"', escape='"').csv(path)
-    return rows.select(*[coerce(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+    frames = by_header(spark, path, multiLine=free_text, quote='"', escape='"')
+    return _named(frames, lambda: [coerce(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields], schema, spark)
 
 
 def latest_reviews(reviews: DataFrame) -> DataFrame:

@@ -1,13 +1,24 @@
-"""Parquet tables in one folder, with batch replacement for outcomes."""
+"""Parquet tables in one folder whose parts are replaced by commits.
+
+Data is written to a new folder first and becomes part of the table by one more row in the table's commits, a file of its
+own. A write that fails leaves no such row, so readers go on seeing the table as it was. Batch and day values are data
+and never part of a path; where a table is split by them, the split is on their hexadecimal form.
+"""
 
 from __future__ import annotations
 
-from urllib.parse import quote
+import json
+import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+COMMITS = "version long, schema string, split_by string, folders boolean, parts array<struct<folder:string,without:array<string>>>"
+SPLIT = "_split"
+
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace a table.
@@ -26,8 +37,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def _split_of(value: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("x"), F.hex(F.encode(value.cast("string"), "utf-8"))), F.lit("none"))
+
+
+def _split_name(value: object) -> str:
+    return "none" if value is None else "x" + str(value).encode().hex().upper()
+
+
 class TableStore:
-    """Named tables below one folder that all executors share."""
+    """Named tables below one folder that all executors share; one writer at a time."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -35,31 +54,81 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def write(self, name: str, df: DataFrame, partition_by: str | None = None) -> None:
-        write_table(df, self.path(name), partition_by)
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+    def _latest(self, name: str):
+        try:
+            commits = self.spark.read.schema(COMMITS).json(f"{self.path(name)}/commits")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return commits.orderBy(F.col("version").desc()).limit(1).first()
+
+    def _write_part(self, name: str, df: DataFrame, split_by: str | None, folders: bool) -> str:
+        folder = f"data-{uuid.uuid4().hex}"
+        path = f"{self.path(name)}/{folder}"
+        if split_by is None:
+            write_table(df, path)
+        elif folders:
+            write_table(df.withColumn(SPLIT, _split_of(F.col(split_by))), path, SPLIT)
+        else:
+            # Sorted, so that the files' statistics tell where a value may be.
+            write_table(df.withColumn(SPLIT, _split_of(F.col(split_by))).sortWithinPartitions(SPLIT), path)
+        return folder
+
+    def _commit(self, name: str, schema: T.StructType, split_by: str | None, folders: bool, parts: list, version: int) -> None:
+        row = self.spark.createDataFrame([(version, json.dumps(schema.jsonValue()), split_by, folders, parts)], COMMITS)
+        row.coalesce(1).write.mode("append").json(f"{self.path(name)}/commits")
+
+    def write(self, name: str, df: DataFrame, split_by: str | None = None, folders: bool = True) -> None:
+        """Replace the whole table; ``split_by`` names the column by whose values parts of it will be read or replaced.
+
+        Each value gets a folder of its own, unless ``folders`` is false, as for columns of many values with few rows.
+        """
+        latest = self._latest(name)
+        part = self._write_part(name, df, split_by, folders)
+        self._commit(name, df.schema, split_by, folders, [(part, [])], 1 if latest is None else latest.version + 1)
 
-    def write_outcomes(self, outcome_rows: DataFrame, batch_id: str | None = None) -> None:
-        """Replace all outcomes, or one batch's folder.
+    def replace(self, name: str, df: DataFrame, values: Iterable[object]) -> None:
+        """Replace the rows of some values of the table's split column by ``df``, which may read the table.
 
-        The batch's folder is overwritten as a whole, so a batch that lost its rows keeps none.
+        ``df`` holds rows of these values only. A value of which it has no row has none afterwards.
         """
+        latest = self._latest(name)
+        names = sorted({_split_name(v) for v in values})
+        part = self._write_part(name, df, latest.split_by, latest.folders)
+        parts = [(p.folder, sorted({*p.without, *names})) for p in latest.parts]
+        schema = T.StructType.fromJson(json.loads(latest.schema))
+        self._commit(name, schema, latest.split_by, latest.folders, [*parts, (part, [])], latest.version + 1)
+
+    def read(self, name: str, *values: object) -> DataFrame:
+        """The table, or its rows of some values of the split column, whose other folders are then not read."""
+        latest = self._latest(name)
+        if latest is None:
+            raise FileNotFoundError(f"no commit of {name} in {self.folder}")
+        schema = T.StructType.fromJson(json.loads(latest.schema))
+        wide = schema if latest.split_by is None else T.StructType([*schema.fields, T.StructField(SPLIT, T.StringType())])
+        whole = None
+        for part in latest.parts:
+            rows = self.spark.read.schema(wide).parquet(f"{self.path(name)}/{part.folder}")
+            if part.without:
+                rows = rows.where(~F.col(SPLIT).isin(*part.without))
+            if values:
+                rows = rows.where(F.col(SPLIT).isin(*[_split_name(v) for v in values]))
+            rows = rows.select(*schema.fieldNames())
+            whole = rows if whole is None else whole.unionByName(rows)
+        return whole
+
+    def compact(self, name: str) -> None:
+        """Write the table's present rows as one part."""
+        latest = self._latest(name)
+        self.write(name, self.read(name), latest.split_by, latest.folders)
+
+    def write_outcomes(self, outcome_rows: DataFrame, batch_id: str | None = None) -> None:
+        """Replace all outcomes, or those of one batch; a batch that lost its rows keeps none."""
         if batch_id is None:
-            self.write("outcomes", outcome_rows, partition_by="batch_id")
-            return
-        folder = f"{self.path('outcomes')}/batch_id={quote(batch_id, safe=' -_.')}"
-        outcome_rows.drop("batch_id").write.mode("overwrite").parquet(folder)
-
-    def write_version(self, name: str, df: DataFrame, version: int) -> None:
-        """Write a whole table beside its earlier versions, so that ``df`` may read those."""
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/version={version}")
-
-    def read_latest(self, name: str) -> DataFrame:
-        versions = self.read(name)
-        latest = versions.agg(F.max("version")).scalar()
-        return versions.where(F.col("version") == latest).drop("version")
+            self.write("outcomes", outcome_rows, "batch_id")
+        else:
+            self.replace("outcomes", outcome_rows, [batch_id])
 
     def register_views(self, *names: str) -> None:
         """Make stored tables known to ``spark.sql``."""

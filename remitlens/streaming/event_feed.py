@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.operators.reconcile import list_discrepancies
-from remitlens.sources.events import PRODUCER_OPTIONS, TOPIC, event_messages, event_rows, parse_messages
+from remitlens.sources.events import EVENT_SCHEMA, PRODUCER_OPTIONS, TOPIC, event_messages, event_rows, parse_messages
+from remitlens.streaming.jobs import EpochTable, each_batch
 
 
 def outgoing_messages(outcome_rows: DataFrame, detected_at: datetime.datetime) -> DataFrame:
@@ -28,7 +29,23 @@ def publish_stream(messages: DataFrame, bootstrap_servers: str, checkpoint: str,
     )
 
 
-def consume_once(messages: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Parsed events without the repeats that at-least-once delivery brings within ``delay``."""
-    events = parse_messages(messages).withColumn("detected_ts", F.to_timestamp("detected_at"))
-    return events.withWatermark("detected_ts", delay).dropDuplicatesWithinWatermark(["idempotency_key"])
+def consumed(spark: SparkSession, folder: str) -> EpochTable:
+    """The events taken so far."""
+    return EpochTable(spark, folder, EVENT_SCHEMA)
+
+
+def consume_once(messages: DataFrame, taken: EpochTable) -> None:
+    """Take each event at its first delivery, however late that or a repeat of it comes.
+
+    A micro-batch is folded by key and compared with the stored events of its own keys. Nothing is kept in memory
+    between micro-batches, and no first delivery is too old.
+    """
+
+    def take(batch: DataFrame, epoch: int) -> None:
+        fresh = parse_messages(batch).dropDuplicates(["idempotency_key"])
+        # Stored keys shrink to the micro-batch's before they are compared, so they need no shuffle while it is small.
+        stored = taken.read(batch.sparkSession, before=epoch).select("idempotency_key")
+        known = stored.join(fresh.select("idempotency_key"), "idempotency_key", "left_semi")
+        taken.write(fresh.join(known, "idempotency_key", "left_anti"), epoch)
+
+    each_batch(messages, take, f"{taken.path}-progress")

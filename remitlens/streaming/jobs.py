@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.session import new_folder
 
+EPOCH = "epoch"
 
-def table_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Rows of a folder as they arrive; folders below it that name a partition add its column."""
-    return spark.readStream.schema(schema).format(fmt).load(path)
 
+def table_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+                 files_per_trigger: int | None = None) -> DataFrame:
+    """Rows of a folder as they arrive; folders below it that name a partition add its column.
 
-def event_time(df: DataFrame, day: str, name: str, delay: str) -> DataFrame:
-    """A watermark needs a timestamp, so the day becomes its midnight."""
-    return df.withColumn(name, F.col(day).cast("timestamp")).withWatermark(name, delay)
+    ``files_per_trigger`` bounds a micro-batch, as for a backfill that must not be one.
+    """
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(path)
 
 
 def run_available(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "append") -> str:
@@ -31,3 +37,48 @@ def run_available(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "a
     )
     query.awaitTermination()
     return out
+
+
+class EpochTable:
+    """Rows that micro-batches leave, a folder each.
+
+    A micro-batch that is tried again overwrites its folder and reads those before it only, so a retry changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str):
+        self.path = path
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        # The folder of no micro-batch makes the table readable before the first one.
+        self.write(spark.createDataFrame([], self.schema), -1)
+
+    def write(self, rows: DataFrame, epoch: int) -> None:
+        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/{EPOCH}={epoch}")
+
+    def read(self, spark: SparkSession, before: int | None = None, only: int | None = None) -> DataFrame:
+        """All rows, those of micro-batches before one, or those of one."""
+        wide = T.StructType([*self.schema.fields, T.StructField(EPOCH, T.IntegerType())])
+        rows = spark.read.schema(wide).parquet(self.path)
+        if before is not None:
+            rows = rows.where(F.col(EPOCH) < before)
+        if only is not None:
+            rows = rows.where(F.col(EPOCH) == only)
+        return rows.drop(EPOCH)
+
+    def read_last(self, spark: SparkSession) -> DataFrame:
+        """Rows of the last micro-batch, where each writes the whole result anew."""
+        last = spark.read.schema(f"{EPOCH} int").parquet(self.path).agg(F.max(EPOCH)).scalar()
+        wide = T.StructType([*self.schema.fields, T.StructField(EPOCH, T.IntegerType())])
+        rows = spark.read.schema(wide).parquet(self.path)
+        return rows.where(F.col(EPOCH) == last).drop(EPOCH)
+
+
+def each_batch(df: DataFrame, act: Callable[[DataFrame, int], None], progress: str, mode: str = "append") -> None:
+    """Process everything that is there now, a micro-batch at a time."""
+    query = (
+        df.writeStream.outputMode(mode)
+        .foreachBatch(act)
+        .option("checkpointLocation", progress)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

@@ -1,17 +1,20 @@
-"""Leakage over tumbling windows of the settlement date."""
+"""Leakage over tumbling windows of the settlement date.
+
+The state has one row per day or week of the whole history, so no window is ever closed: a settlement that arrives years
+late still counts in its window. Each micro-batch leaves the windows as they are then.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.streaming.jobs import event_time
+from remitlens.streaming.jobs import EpochTable, each_batch
 
 
-def _windowed(outcome_rows: DataFrame, span: Column, label: Column, name: str, delay: str) -> DataFrame:
-    rows = event_time(outcome_rows, "settlement_date", "settled_at", delay)
+def _windowed(outcome_rows: DataFrame, span: Column, label: Column, name: str) -> DataFrame:
     return (
-        rows.groupBy(span.alias("w"))
+        outcome_rows.groupBy(span.alias("w"))
         .agg(
             F.sum(F.greatest("dispute_count", F.lit(1))).alias("settlements"),
             F.sum("dispute_count").alias("disputes"),
@@ -21,14 +24,21 @@ def _windowed(outcome_rows: DataFrame, span: Column, label: Column, name: str, d
     )
 
 
-def daily_leakage(outcome_rows: DataFrame, delay: str = "1 day") -> DataFrame:
-    """A day is emitted once no settlement within ``delay`` can still fall into it; later ones are dropped."""
-    span = F.window("settled_at", "1 day")
-    return _windowed(outcome_rows, span, F.col("w.start").cast("date"), "kpi_date", delay)
+def daily_leakage(outcome_rows: DataFrame) -> DataFrame:
+    """Running totals by day."""
+    span = F.window(F.col("settlement_date").cast("timestamp"), "1 day")
+    return _windowed(outcome_rows, span, F.col("w.start").cast("date"), "kpi_date")
 
 
-def weekly_leakage(outcome_rows: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Weeks from Sunday to Saturday, labelled by their Monday."""
+def weekly_leakage(outcome_rows: DataFrame) -> DataFrame:
+    """Running totals of weeks from Sunday to Saturday, labelled by their Monday."""
     # Windows count from a Thursday, so three days of offset make them start on Sundays.
-    span = F.window("settled_at", "7 days", "7 days", "3 days")
-    return _windowed(outcome_rows, span, F.date_add(F.col("w.start").cast("date"), 1), "wk", delay)
+    span = F.window(F.col("settlement_date").cast("timestamp"), "7 days", "7 days", "3 days")
+    return _windowed(outcome_rows, span, F.date_add(F.col("w.start").cast("date"), 1), "wk")
+
+
+def keep_windows(windows: DataFrame, spark: SparkSession, folder: str) -> EpochTable:
+    """Write the windows after each micro-batch; the last one's are the present totals."""
+    table = EpochTable(spark, folder, windows.schema)
+    each_batch(windows, table.write, f"{folder}-progress", "complete")
+    return table

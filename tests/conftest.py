@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from remitlens.schema import FACT_ORDERS, FACT_SETTLEMENTS
-from remitlens.session import local_session
+from remitlens.session import local_session, remove_written
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -14,6 +14,7 @@ def spark():
     session = local_session(8, "8g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_written(session)
     session.stop()
 
 

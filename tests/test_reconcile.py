@@ -12,7 +12,7 @@ from remitlens.settings import SkewSettings
 from remitlens.sources.store import TableStore
 from tests.conftest import SMALL, day
 
-EAGER = SkewSettings(heavy_rows=3, rows_per_share=2, max_heavy_keys=2)
+EAGER = SkewSettings(heavy_rows=3, rows_per_share=2, buckets=2)
 
 
 @pytest.fixture(scope="module")
@@ -27,13 +27,13 @@ def rows_of(df):
 def test_counts_of_the_small_tables(spark):
     found = {r[0]: (r[1], float(r[2])) for r in rec.summarise(unstaged_warehouse(spark, SMALL).discrepancies).collect()}
     assert found == {
-        "COD_SHORT_REMITTANCE": (42, 534975.74),
-        "WEIGHT_DISPUTE": (55, 3516.0),
-        "PHANTOM_RTO_CHARGE": (93, 16374.0),
-        "OVERDUE_REMITTANCE": (33, 5093929.56),
-        "DUPLICATE_SETTLEMENT": (60, 12161263.28),
-        "ETA_SLA_BREACH": (200, 0.0),
-        "EXCESS_FORWARD_CHARGE": (95, 1589.0),
+        "COD_SHORT_REMITTANCE": (227, 1510955.50),
+        "WEIGHT_DISPUTE": (26, 743.0),
+        "PHANTOM_RTO_CHARGE": (52, 20107.0),
+        "OVERDUE_REMITTANCE": (251, 38962522.14),
+        "DUPLICATE_SETTLEMENT": (154, 21950445.0),
+        "ETA_SLA_BREACH": (209, 0.0),
+        "EXCESS_FORWARD_CHARGE": (115, 1824.4),
     }
 
 
@@ -72,7 +72,7 @@ def test_spreading_heavy_keys_changes_no_row(orders_of, settlements_of):
 
 def test_attached_discrepancies_equal_outcomes(benchmark):
     whole = benchmark.outcomes.select("settlement_id", "dispute_count", "leakage_rs")
-    for skew in (rec.SKEW, SkewSettings(heavy_rows=2, rows_per_share=1, max_heavy_keys=5)):
+    for skew in (rec.SKEW, SkewSettings(heavy_rows=2, rows_per_share=1, buckets=5)):
         joined = rec.attach_discrepancies(benchmark.settlements, benchmark.orders, benchmark.discrepancies, skew)
         assert rows_of(joined.select(whole.columns)) == rows_of(whole)
 
@@ -108,6 +108,37 @@ def test_batch_reruns_are_idempotent(spark, orders_of, settlements_of):
     assert stored() == []
 
 
+ODD = ["A+B", "B(1)", "a/b", "a=b", "50%", "%2F", "0023", "2026-01-06", "श्री", " lead", "trail ", "", "null", "__HIVE_DEFAULT_PARTITION__", None]
+
+
+def test_batches_of_any_name_are_replaced(spark):
+    rows = [(b, i, "old") for b in ODD for i in range(3)]
+    store = TableStore(spark, new_folder(spark, "store"))
+    store.write("t", spark.createDataFrame(rows, "b string, i int, v string"), "b")
+    assert rows_of(store.read("t")) == sorted(rows, key=str)
+    for batch in ODD:
+        store.replace("t", spark.createDataFrame([(batch, 9, "new")], "b string, i int, v string"), [batch])
+    want = sorted(((b, 9, "new") for b in ODD), key=str)
+    assert rows_of(store.read("t")) == want
+    assert [tuple(r) for r in store.read("t", "0023").collect()] == [("0023", 9, "new")]
+    assert [tuple(r) for r in store.read("t", None).collect()] == [(None, 9, "new")]
+    store.compact("t")
+    assert rows_of(store.read("t")) == want
+
+
+def test_a_failed_write_changes_nothing(spark):
+    store = TableStore(spark, new_folder(spark, "store"))
+    rows = spark.createDataFrame([("B1", 1), ("B2", 2)], "b string, i int")
+    store.write("t", rows, "b", folders=False)
+    broken = rows.where("b = 'B1'").withColumn("i", F.raise_error(F.lit("lost")).cast("int"))
+    for write in (lambda: store.replace("t", broken, ["B1"]), lambda: store.write("t", broken, "b")):
+        with pytest.raises(Exception, match="lost"):
+            write()
+        assert rows_of(store.read("t")) == [("B1", 1), ("B2", 2)]
+    store.replace("t", store.read("t").where("b = 'B1'").withColumn("i", F.lit(5)), ["B1"])
+    assert rows_of(store.read("t")) == [("B1", 5), ("B2", 2)]
+
+
 def test_a_cycle_refreshes_mart_and_events(spark, orders_of, settlements_of):
     couriers = spark.sql("select 1 courier_id, 'A' courier_name")
     tables = {
@@ -120,13 +151,13 @@ def test_a_cycle_refreshes_mart_and_events(spark, orders_of, settlements_of):
     store, at = TableStore(spark, new_folder(spark, "store")), datetime.datetime(2026, 9, 14)
     summary = run_cycle(store, tables, day(40), at, 1).collect()
     assert [(r.discrepancy_type, r.cases, int(r.leakage_rs)) for r in summary] == [("PHANTOM_RTO_CHARGE", 2, 350)]
-    assert [int(r.leakage_rs) for r in store.read_latest("daily_kpis").collect()] == [350]
+    assert [int(r.leakage_rs) for r in store.read("daily_kpis").collect()] == [350]
     # Batch B1 moves to another day without its charge; the day's cell shrinks to B2, the new day appears.
     tables["fact_settlements"] = settlements_of(
         dict(awb_number="A", batch_id="B1", settlement_date=day(6)), dict(awb_number="B", batch_id="B2", rto_charge=200)
     )
     assert run_cycle(store, tables, day(40), at, 2, "B1").collect() == []
-    mart = {r.kpi_date: (r.orders, int(r.leakage_rs)) for r in store.read_latest("daily_kpis").collect()}
+    mart = {r.kpi_date: (r.orders, int(r.leakage_rs)) for r in store.read("daily_kpis").collect()}
     assert mart == {day(5): (1, 200), day(6): (1, 0)}
     assert spark.read.text(store.path("events/version=1")).count() == 2
     assert spark.read.text(store.path("events/version=2")).count() == 0
@@ -142,14 +173,8 @@ def test_one_batch_counts_copies_over_all(orders_of, settlements_of):
     assert [(r.batch_id, r.discrepancy_type) for r in found] == [("B2", "DUPLICATE_SETTLEMENT")]
 
 
-def test_replace_batch_and_merges(spark):
+def test_merges(spark):
     old = spark.createDataFrame([("a", "B1", 1), ("b", "B2", 2)], "k string, batch_id string, v int")
-    new = spark.createDataFrame([("c", "B1", 3)], old.schema)
-    assert rows_of(upsert.replace_batch(old, new, "B1")) == rows_of(
-        spark.createDataFrame([("b", "B2", 2), ("c", "B1", 3)], old.schema)
-    )
-    assert upsert.replace_batch(old, new.limit(0), "B2").count() == 1
-    assert rows_of(upsert.replace_batch(old, new, None)) == rows_of(new)
     changed = spark.createDataFrame([("b", "B2", 9), ("d", "B3", 4)], old.schema)
     merged = {r.k: r.v for r in upsert.merge_rows(old, changed, ["k"]).collect()}
     assert merged == {"a": 1, "b": 9, "d": 4}

@@ -1,7 +1,8 @@
 import datetime
+from functools import reduce
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from remitlens.operators.reconcile import outcomes, reconcile
 from remitlens.plans import kpis
@@ -16,34 +17,40 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=str)
 
 
+def arriving(spark, name, *parts):
+    """Files in the order of ``parts``, one to a micro-batch."""
+    path = new_folder(spark, name)
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+    return jobs.table_stream(spark, path, parts[0].schema, files_per_trigger=1)
+
+
 def test_per_row_rules_equal_the_batch(spark, orders_of, settlements_of):
     orders = orders_of(*[dict(awb_number=f"A{i}") for i in range(5)])
     first = settlements_of(dict(awb_number="A0", rto_charge=150), dict(awb_number="A1"), dict(awb_number="X"))
     second = settlements_of(dict(awb_number="A2", settlement_date=day(20)), dict(awb_number="A0", batch_id="B2"))
-    path = new_folder(spark, "arriving")
-    first.write.parquet(path)
-    second.write.mode("append").parquet(path)
-    arriving = jobs.table_stream(spark, path, first.schema)
-    found = spark.read.parquet(jobs.run_available(settlement_feed.check_against_table(arriving, orders), "found"))
+    stream = arriving(spark, "arriving", first, second)
+    found = settlement_feed.check_against_table(stream, orders, spark, new_folder(spark, "found")).read(spark)
     batch = reconcile(first.unionByName(second), orders).where("discrepancy_type <> 'DUPLICATE_SETTLEMENT'")
     assert rows_of(found) == rows_of(batch)
 
 
-def test_orders_and_settlements_as_streams(spark, orders_of, settlements_of):
-    orders = orders_of(*[dict(awb_number=f"A{i}") for i in range(3)])
-    settled = settlements_of(
-        dict(awb_number="A0", rto_charge=150), dict(awb_number="A1", settlement_date=day(60)),
-        dict(awb_number="A2", settlement_date=day(61)),
-    )
-    paths = [new_folder(spark, name) for name in ("orders", "settled")]
-    orders.write.parquet(paths[0])
-    settled.write.parquet(paths[1])
-    found = settlement_feed.check_against_stream(
-        jobs.table_stream(spark, paths[1], settled.schema), jobs.table_stream(spark, paths[0], orders.schema)
+def test_orders_and_settlements_in_any_order(spark, orders_of, settlements_of):
+    orders = [orders_of(dict(awb_number="A0")), orders_of(dict(awb_number="A2"), dict(awb_number="A4")), orders_of(dict(awb_number="A1"))]
+    settled = [
+        settlements_of(dict(awb_number="A1", rto_charge=150), dict(awb_number="A2", settlement_date=day(900))),
+        settlements_of(dict(awb_number="A0", settlement_date=day(-3), rto_charge=90), dict(awb_number="A3", rto_charge=5)),
+        settlements_of(dict(awb_number="A1", batch_id="B2", rto_charge=70)),
+        settlements_of(dict(awb_number="A4", rto_charge=10)),
+    ]
+    tables = settlement_feed.check_against_stream(
+        arriving(spark, "settled", *settled), arriving(spark, "orders", *orders), spark, new_folder(spark, "joined")
     )
-    got = spark.read.parquet(jobs.run_available(found, "joined")).collect()
-    # A settlement later than the bound stays unmatched.
-    assert sorted(r.awb_number for r in got) == ["A0", "A1"]
+    whole = [reduce(DataFrame.unionByName, parts) for parts in (settled, orders)]
+    batch = reconcile(*whole).where("discrepancy_type <> 'DUPLICATE_SETTLEMENT'")
+    # A settlement before its order, one years after it and one that waited are all found, each once.
+    assert rows_of(tables["found"].read(spark)) == rows_of(batch)
+    assert "A3" in {r.awb_number for r in tables["waiting"].read(spark).collect()}
 
 
 def test_a_late_copy_flags_the_earlier_one(spark, orders_of, settlements_of):
@@ -54,33 +61,40 @@ def test_a_late_copy_flags_the_earlier_one(spark, orders_of, settlements_of):
         settlements_of(dict(awb_number="A0", batch_id="B3", settlement_id="T2"),
                        dict(awb_number="A1", batch_id="B3", settlement_id="T3")),
     ]
-    path, folder, seen = new_folder(spark, "arriving"), new_folder(spark, "touched"), None
+    path, folder, seen = new_folder(spark, "arriving"), new_folder(spark, "copies"), None
     for part in parts:
         part.write.mode("append").parquet(path)
-        settlement_feed.keep_touched(jobs.table_stream(spark, path, part.schema), folder)
+        stream = jobs.table_stream(spark, path, part.schema)
+        touched = settlement_feed.keep_touched(stream, spark, folder)["touched"].read(spark)
         seen = part if seen is None else seen.unionByName(part)
-        touched = spark.read.schema("awb_number string, copies long").parquet(folder)
         now = settlement_feed.duplicate_findings(seen, orders, touched)
         assert rows_of(now) == rows_of(reconcile(seen, orders).where("discrepancy_type = 'DUPLICATE_SETTLEMENT'"))
     assert touched.where("awb_number = 'A0'").count() == 2
     assert now.count() == 5
 
 
-def test_repeated_events_are_taken_once(spark, orders_of, settlements_of):
-    orders = orders_of(dict(awb_number="A"), dict(awb_number="B"))
-    settled = settlements_of(dict(awb_number="A", rto_charge=150), dict(awb_number="B", charged_weight=3))
+def test_touched_awbs_meet_no_whole_fact(spark, orders_of, settlements_of):
+    touched = spark.createDataFrame([("A0", 2)], "awb_number string, copies long")
+    settled, orders = settlements_of(dict(awb_number="A0")), orders_of(dict(awb_number="A0"))
+    plan = settlement_feed.duplicate_findings(settled, orders, touched)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 2
+
+
+def test_events_are_taken_once_however_late(spark, orders_of, settlements_of):
     at = datetime.datetime(2026, 9, 14, 12)
-    messages = events.event_messages(events.event_rows(reconcile(settled, orders), at))
-    again = events.event_messages(
-        events.event_rows(reconcile(settled, orders), at + datetime.timedelta(minutes=5))
-    )
-    path = new_folder(spark, "delivered")
-    messages.write.parquet(path)
-    for part in (again, messages):
-        part.write.mode("append").parquet(path)
-    taken = event_feed.consume_once(jobs.table_stream(spark, path, messages.schema))
-    got = spark.read.parquet(jobs.run_available(taken, "taken"))
-    assert sorted(r.idempotency_key for r in got.collect()) == ["A|B1|PHANTOM_RTO_CHARGE", "B|B1|WEIGHT_DISPUTE"]
+
+    def messages(awb, when):
+        found = reconcile(settlements_of(dict(awb_number=awb, rto_charge=150)), orders_of(dict(awb_number=awb)))
+        return events.event_messages(events.event_rows(found, when))
+
+    parts = [
+        messages("A", at), messages("A", at + datetime.timedelta(minutes=5)), messages("B", at - datetime.timedelta(days=30)),
+        messages("A", at + datetime.timedelta(days=400)), messages("C", at).unionByName(messages("C", at)), messages("B", at),
+    ]
+    taken = event_feed.consumed(spark, new_folder(spark, "taken"))
+    event_feed.consume_once(arriving(spark, "delivered", *parts), taken)
+    got = taken.read(spark).collect()
+    assert sorted(r.idempotency_key for r in got) == [f"{a}|B1|PHANTOM_RTO_CHARGE" for a in "ABC"]
 
 
 def test_published_messages_carry_every_discrepancy(spark):
@@ -94,31 +108,28 @@ def test_published_messages_carry_every_discrepancy(spark):
     assert rows_of(sent.select("key")) == rows_of(wh.discrepancies.select("discrepancy_id"))
 
 
-@pytest.mark.parametrize("build, batch, label, last", [
-    (leakage_windows.daily_leakage, kpis.daily_trend, "kpi_date", 0),
-    (leakage_windows.weekly_leakage, kpis.weekly_trend, "wk", 5),
+@pytest.mark.parametrize("build, batch", [
+    (leakage_windows.daily_leakage, kpis.daily_trend), (leakage_windows.weekly_leakage, kpis.weekly_trend),
 ])
-def test_closed_windows_equal_the_batch_trend(spark, build, batch, label, last):
+def test_windows_equal_the_batch_trend(spark, build, batch):
     wh = BenchmarkWarehouse(spark, SMALL)
-    path = new_folder(spark, "outcomes")
-    wh.outcomes.write.parquet(path)
-    windows = spark.read.parquet(jobs.run_available(build(jobs.table_stream(spark, path, wh.outcomes.schema)), "w"))
-    newest = wh.outcomes.agg(F.max("settlement_date")).first()[0]
-    closed = newest - datetime.timedelta(days=2 + last)
-    assert rows_of(windows) == rows_of(batch(wh).where(F.col(label) <= F.lit(closed)))
+    parts = [wh.outcomes.where(f"pmod(hash(settlement_id), 3) = {n}") for n in range(3)]
+    windows = leakage_windows.keep_windows(build(arriving(spark, "outcomes", *parts)), spark, new_folder(spark, "w"))
+    assert rows_of(windows.read_last(spark)) == rows_of(batch(wh))
 
 
-def test_rows_behind_the_watermark_are_dropped(spark, orders_of, settlements_of):
+def test_late_rows_count_in_their_window(spark, orders_of, settlements_of):
     orders = orders_of(dict(awb_number="A"))
-    rows = [outcomes(settlements_of(dict(awb_number="A", settlement_date=day(n))), orders) for n in (9, 5, 20, 30)]
-    path, out = new_folder(spark, "arriving"), new_folder(spark, "out")
-    for part in rows:
-        part.write.mode("append").parquet(path)
-        query = (
-            leakage_windows.daily_leakage(jobs.table_stream(spark, path, part.schema))
-            .writeStream.format("parquet").option("checkpointLocation", f"{out}-progress")
-            .trigger(availableNow=True).start(out)
-        )
-        query.awaitTermination()
-    # Day 5 arrived after day 9 had passed with a delay of one day; day 30 is still open.
-    assert sorted(r.kpi_date for r in spark.read.parquet(out).collect()) == [day(9), day(20)]
+    parts = [outcomes(settlements_of(dict(awb_number="A", settlement_date=day(n))), orders) for n in (9, 5, 20, 5)]
+    windows = leakage_windows.daily_leakage(arriving(spark, "arriving", *parts))
+    table = leakage_windows.keep_windows(windows, spark, new_folder(spark, "w"))
+    assert {r.kpi_date: r.settlements for r in table.read_last(spark).collect()} == {day(5): 2, day(9): 1, day(20): 1}
+
+
+def test_a_repeated_micro_batch_changes_nothing(spark):
+    table = jobs.EpochTable(spark, new_folder(spark, "epochs"), "x int")
+    one = lambda x: spark.createDataFrame([(x,)], "x int")
+    for epoch, x in ((0, 1), (1, 2), (1, 3)):
+        table.write(one(x), epoch)
+    assert sorted(r.x for r in table.read(spark).collect()) == [1, 3]
+    assert [r.x for r in table.read(spark, before=1).collect()] == [1] and table.read(spark, only=1).first().x == 3
