@@ -17,8 +17,8 @@ _SLICE = "_slice"
 
 
 def _sliced(df: DataFrame, order: list[Column]) -> DataFrame:
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return written(df.repartitionByRange(slices, *order).withColumn(_SLICE, F.spark_partition_id()), "sliced")
+    # Without a number, Spark sizes the slices by the volume that arrives.
+    return written(df.repartitionByRange(*order).withColumn(_SLICE, F.spark_partition_id()), "sliced")
 
 
 def running_total(df: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:
@@ -64,32 +64,36 @@ def grouped_row_number(df: DataFrame, group: list[str], order: list[Column], nam
     )
 
 
-def exact_quantiles(df: DataFrame, value: str, shares: dict[str, float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, shares: dict[str, float], accuracy: int = 10_000) -> DataFrame:
     """One row with the linearly interpolated quantiles of a numeric column, named by ``shares``' keys.
 
-    Equal values are folded into one row with a count before the range shuffle, so neither a repeated
-    value nor the number of distinct values ends up in one task.
+    Approximate quantiles a little to either side, whose error in ranks is bounded by ``accuracy``, enclose each exact one.
+    Rows below the band are counted and only the band, a few parts in ``accuracy`` of the rows, is sorted; equal values
+    fold into one row first, so a repeated value does not end up in one task. ``df`` is read for the bounds and for each
+    share.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    upto = running_total(counted, [F.col("v")], F.col("n"), "upto")
-    total = upto.agg(F.sum("n")).scalar()
-
-    def holds(index: Column) -> Column:
-        return (F.col("upto") > index) & (F.col("upto") - F.col("n") <= index)
-
-    marked = upto.withColumn("_last", total - 1)
-    ends, result = [], []
-    for name, share in shares.items():
-        place = F.lit(share) * F.col("_last")
-        ends += [
-            F.max(F.when(holds(F.floor(place)), F.col("v"))).alias(f"{name}_lo"),
-            F.max(F.when(holds(F.ceil(place)), F.col("v"))).alias(f"{name}_hi"),
-            F.max(place - F.floor(place)).alias(f"{name}_at"),
-        ]
-        low, high, at = (F.col(f"{name}_{part}") for part in ("lo", "hi", "at"))
-        result.append((low + (high - low) * at).alias(name))
-    return marked.agg(*ends).select(*result)
+    rows = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("v"))
+    names, total = list(shares), rows.count()
+    if not total:
+        return df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(name) for name in names])
+    # The bound on the ranks' error, and two ranks for rounding.
+    margin = 2.0 / accuracy + 2.0 / total
+    ends = [min(max(shares[n] + side, 0.0), 1.0) for n in names for side in (-margin, margin)]
+    found = rows.agg(F.percentile_approx("v", F.array(*map(F.lit, ends)), accuracy).alias("ends")).first()["ends"]
+    result = None
+    for i, name in enumerate(names):
+        low, high = found[2 * i], found[2 * i + 1]
+        place = shares[name] * (total - 1)
+        below = rows.where(F.col("v") < low).agg(F.count(F.lit(1))).scalar()
+        band = rows.where(F.col("v").between(low, high)).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        upto = running_total(band, [F.col("v")], F.col("n"), "upto").withColumn("upto", F.col("upto") + below)
+
+        def at(index: int) -> Column:
+            return F.max(F.when((F.col("upto") > index) & (F.col("upto") - F.col("n") <= index), F.col("v")))
+
+        lower, upper = int(place), min(int(place) + 1, total - 1)
+        one = upto.agg(at(lower).alias("a"), at(upper).alias("b")).select(
+            (F.col("a") + (F.col("b") - F.col("a")) * F.lit(place - lower)).alias(name)
+        )
+        result = one if result is None else result.withColumn(name, one.scalar())
+    return result

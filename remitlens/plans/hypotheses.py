@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.functions.probability import chi2_p_value, student_p_value
@@ -14,13 +14,8 @@ def decision(p: Column, alpha: float = 0.05) -> Column:
     return F.when(p < alpha, "reject").otherwise("no signal")
 
 
-def welch(df: DataFrame, value: Column, in_group: Column) -> DataFrame:
-    """Welch's t with a one-sided p for a larger mean in the group than in the rest."""
-    rows = df.select(value.cast("double").alias("x"), in_group.alias("g"))
-    parts = []
-    for side, member in (("a", F.col("g")), ("b", ~F.col("g"))):
-        x = F.when(member, F.col("x"))
-        parts += [F.count(x).alias(f"n_{side}"), F.avg(x).alias(f"mean_{side}"), F.var_samp(x).alias(f"var_{side}")]
+def _tested(moments: DataFrame) -> DataFrame:
+    """Welch's t from both sides' number, mean and variance on one row."""
     err_a, err_b = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
     spread = err_a + err_b
     t = F.try_divide(F.col("mean_a") - F.col("mean_b"), F.sqrt(spread))
@@ -28,10 +23,45 @@ def welch(df: DataFrame, value: Column, in_group: Column) -> DataFrame:
         spread * spread,
         F.try_divide(err_a * err_a, F.col("n_a") - 1) + F.try_divide(err_b * err_b, F.col("n_b") - 1),
     )
-    tested = rows.agg(*parts).withColumn("t", t).withColumn("df", df_)
+    tested = moments.withColumn("t", t).withColumn("df", df_)
     return tested.withColumn("p_value", student_p_value("t", "df")).withColumn("decision", decision(F.col("p_value")))
 
 
+def welch(df: DataFrame, value: Column, in_group: Column) -> DataFrame:
+    """Welch's t with a one-sided p for a larger mean in the group than in the rest."""
+    rows = df.select(value.cast("double").alias("x"), in_group.alias("g"))
+    parts = []
+    for side, member in (("a", F.col("g")), ("b", ~F.col("g"))):
+        x = F.when(member, F.col("x"))
+        parts += [F.count(x).alias(f"n_{side}"), F.avg(x).alias(f"mean_{side}"), F.var_samp(x).alias(f"var_{side}")]
+    return _tested(rows.agg(*parts))
+
+
+def folded_moments(df: DataFrame, value: Column, keys: list[str]) -> DataFrame:
+    """Number, mean and sum of squared distances of a value by key, from which those of any union of keys follow."""
+    x = value.cast("double")
+    return df.groupBy(*keys).agg(F.count(x).alias("n"), F.avg(x).alias("m"), (F.var_pop(x) * F.count(x)).alias("s"))
+
+
+def welch_of_moments(folded: DataFrame, in_group: Column) -> DataFrame:
+    """Welch's t from folded moments, few rows whatever was folded."""
+    side = Window.partitionBy("g")
+    centred = folded.where("n > 0").withColumn("g", in_group).withColumn(
+        "mean", F.sum(F.col("n") * F.col("m")).over(side) / F.sum("n").over(side)
+    )
+    gap = F.col("m") - F.col("mean")
+    parts = []
+    for name, member in (("a", F.col("g")), ("b", ~F.col("g"))):
+        size = F.coalesce(F.sum(F.when(member, F.col("n"))), F.lit(0))
+        squares = F.sum(F.when(member, F.col("s") + F.col("n") * gap * gap))
+        parts += [
+            size.alias(f"n_{name}"),
+            F.max(F.when(member, F.col("mean"))).alias(f"mean_{name}"),
+            F.try_divide(squares, size - 1).alias(f"var_{name}"),
+        ]
+    return _tested(centred.agg(*parts))
+
+
 def chi2_counts(counts: DataFrame, a: str, b: str, c: str, d: str) -> DataFrame:
     """Chi-square of the table [[a, b], [c, d]] with the continuity correction, on each row of ``counts``."""
     a_, b_, c_, d_ = (F.col(name).cast("double") for name in (a, b, c, d))
@@ -62,11 +92,10 @@ def weight_inflation_test(wh: Warehouse, courier: str, tier: str) -> DataFrame:
     """Is weight inflation in one courier-tier cell larger than elsewhere? Settlement grain."""
     declared = F.col("declared_weight").cast("double")
     inflation = (F.col("charged_weight").cast("double") - declared) / F.nullif(declared, F.lit(0.0)) * 100
-    rows = wh.outcomes.where(F.col("has_order")).select(
-        F.col("order_courier_id").alias("courier_id"), "geo_id", inflation.alias("inflation")
-    )
-    named = wh.with_tier(wh.named_courier(rows))
-    return welch(named, F.col("inflation"), (F.col("courier_name") == courier) & (F.col("tier") == tier))
+    rows = wh.outcomes.where(F.col("has_order")).withColumn("courier_id", F.col("order_courier_id"))
+    folded = folded_moments(rows, inflation, ["courier_id", "geo_id"])
+    named = wh.with_tier(wh.named_courier(folded))
+    return welch_of_moments(named, (F.col("courier_name") == courier) & (F.col("tier") == tier))
 
 
 def festival_dispute_test(wh: Warehouse) -> DataFrame:
