@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from remitlens.functions.calendar import week_start
 from remitlens.functions.numbers import average_rank, half_even, half_up, percent, ratio
 from remitlens.operators.reconcile import list_discrepancies
-from remitlens.plans.warehouse import Warehouse
+from remitlens.plans.warehouse import LoadedWarehouse, Warehouse
+from remitlens.session import written
 from remitlens.settings import SCORE, ScoreWeights
 
 
@@ -47,6 +48,8 @@ def disputes_by_awb(outcome_rows: DataFrame) -> DataFrame:
 
 def disputed_orders(wh: Warehouse) -> DataFrame:
     """Orders left-joined with their folded discrepancies."""
+    if wh.disputed is not None:
+        return wh.disputed
     return (
         wh.orders.join(disputes_by_awb(wh.outcomes), "awb_number", "left")
         .withColumn("dispute_count", F.coalesce("dispute_count", F.lit(0)))
@@ -55,6 +58,12 @@ def disputed_orders(wh: Warehouse) -> DataFrame:
     )
 
 
+def with_disputed(wh: Warehouse) -> LoadedWarehouse:
+    """The warehouse with that join written, for runs that read it more than once."""
+    frames = (wh.couriers, wh.geography, wh.merchants, wh.dates, wh.orders, wh.outcomes)
+    return LoadedWarehouse(*frames, written(disputed_orders(wh), "disputed"))
+
+
 # -- header and trends -----------------------------------------------------------------------------
 
 

@@ -48,6 +48,8 @@ class Warehouse:
     dates: DataFrame
     orders: DataFrame
     outcomes: DataFrame
+    #: Orders with their folded discrepancies, where these have been written for several queries to read.
+    disputed: DataFrame | None = None
 
     @property
     def discrepancies(self) -> DataFrame:
@@ -72,6 +74,7 @@ class LoadedWarehouse(Warehouse):
     dates: DataFrame
     orders: DataFrame
     outcomes: DataFrame
+    disputed: DataFrame | None = None
 
 
 def from_tables(tables: dict[str, DataFrame], as_of: datetime.date) -> LoadedWarehouse:

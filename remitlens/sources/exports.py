@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,27 +17,29 @@ Builders = dict[str, Callable[[], DataFrame]]
 
 
 def serving_frames(wh: Warehouse) -> Builders:
-    """What the dashboard reads, one small aggregate per name."""
+    """What the dashboard reads, one small aggregate per name; orders meet their discrepancies once for all of them."""
+    joined = cache(lambda: kpis.with_disputed(wh))
     return {
         "kpis": lambda: kpis.header_kpis(wh),
         "trend": lambda: kpis.weekly_trend(wh),
         "pareto": lambda: kpis.pareto_couriers(wh, rounded=half_even),
         "funnel": lambda: kpis.funnel(wh),
-        "scorecard": lambda: kpis.courier_scorecard_frame(wh, 1),
+        "scorecard": lambda: kpis.courier_scorecard_frame(joined(), 1),
         "rca_cells": lambda: kpis.rca_cells(wh, 60, rounded=half_even),
-        "merchants": lambda: segments.merchant_health(wh),
-        "tier_entry": lambda: kpis.tier_entry(wh),
+        "merchants": lambda: segments.merchant_health(joined()),
+        "tier_entry": lambda: kpis.tier_entry(joined()),
         "forecast": lambda: forecast.actual_and_forecast(forecast.weekly_series(wh)),
     }
 
 
 def report_frames(wh: Warehouse, mart: DataFrame) -> Builders:
     """What the report tool loads as CSV."""
+    joined = cache(lambda: kpis.with_disputed(wh))
     return {
         "kpi_daily": lambda: marts.kpi_daily_export(wh, mart),
         "discrepancies": lambda: marts.discrepancies_export(wh),
-        "courier_scorecard": lambda: kpis.courier_scorecard_frame(wh, 1),
-        "merchant_health": lambda: segments.merchant_health(wh),
+        "courier_scorecard": lambda: kpis.courier_scorecard_frame(joined(), 1),
+        "merchant_health": lambda: segments.merchant_health(joined()),
     }
 
 
