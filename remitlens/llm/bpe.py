@@ -10,16 +10,17 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
+import struct
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from remitlens.llm.common import texts, tokenizer_file
+from remitlens.llm.common import slices, texts, tokenizer_file
 
 #: Longest word whose ranks are scanned, in bytes; words that a worker remembers before it drops half of them.
 SCANNED, REMEMBERED = 256, 600_000
@@ -68,16 +69,26 @@ class ByteBPE(dict):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks[vocabulary[left], vocabulary[right]] = rank
             self.merged.append(vocabulary[left + right])
+        # The same by left id, so that a lookup makes no pair.
+        self.follow: list[dict[int, int]] = [{} for _ in range(max(self.bytes_of) + 1)]
+        for (left, right), rank in self.ranks.items():
+            self.follow[left][right] = rank
         self.words = regex.compile(WORDS)
         self.cuts = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
 
     # -- words -------------------------------------------------------------------------------------
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.merge(word.encode()), "<u4").tobytes()
-        if len(word) <= SCANNED:
-            self[word] = ids
+    def __missing__(self, text: str) -> bytes:
+        if "<" in text and self.cuts is not None and self.cuts.search(text):
+            return self.encode(text)
+        words = self.words.findall(text)
+        if len(words) != 1:
+            return b"".join(map(self.__getitem__, words))
+        parts = self.merge(text.encode())
+        ids = struct.pack(f"<{len(parts)}I", *parts)
+        if len(text) <= SCANNED:
+            self[text] = ids
         return ids
 
     def merge(self, word: bytes) -> list[int]:
@@ -85,19 +96,16 @@ class ByteBPE(dict):
         return self._scan(parts) if len(parts) <= SCANNED else self._heap(parts)
 
     def _scan(self, parts: list[int]) -> list[int]:
-        rank_of, merged = self.ranks.get, self.merged
-        ranks = [rank_of(pair, NEVER) for pair in zip(parts, parts[1:], strict=False)]
-        while ranks:
-            least = min(ranks)
-            if least == NEVER:
-                break
+        follow, merged = self.follow, self.merged
+        ranks = [follow[a].get(b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks and (least := min(ranks)) != NEVER:
             i = ranks.index(least)
-            parts[i] = merged[least]
+            parts[i] = new = merged[least]
             del parts[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = rank_of((parts[i - 1], parts[i]), NEVER)
+                ranks[i - 1] = follow[parts[i - 1]].get(new, NEVER)
             if i < len(ranks):
-                ranks[i] = rank_of((parts[i], parts[i + 1]), NEVER)
+                ranks[i] = follow[new].get(parts[i + 1], NEVER)
         return parts
 
     def _heap(self, parts: list[int]) -> list[int]:
@@ -123,12 +131,7 @@ class ByteBPE(dict):
     # -- texts -------------------------------------------------------------------------------------
 
     def _plain(self, text: str) -> bytes:
-        found = b"".join(map(self.__getitem__, self.words.findall(text)))
-        if len(self) > REMEMBERED:
-            # Words that came first are the frequent ones.
-            for word in [*islice(self, REMEMBERED // 2, None)]:
-                del self[word]
-        return found
+        return b"".join(map(self.__getitem__, self.words.findall(text)))
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids; special tokens in the text become their ids."""
@@ -140,6 +143,36 @@ class ByteBPE(dict):
             start = special.end()
         return b"".join([*found, self._plain(text[start:])])
 
+    def encode_all(self, column: pa.Array) -> list[bytes]:
+        """Ids of a column of texts, null as empty. What stands between blanks is looked up once for all texts.
+
+        A blank between two other characters always begins a word, so a text is encoded piece by piece, each with the
+        blank before it. Texts where white space meets a blank are encoded as a whole.
+        """
+        column = column.fill_null("")
+        pieces = pc.split_pattern(column, " ")
+        coded = pieces.flatten().dictionary_encode()
+        unique, bounds = coded.dictionary.to_pylist(), pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+        odd = np.fromiter((not p or p[0].isspace() or p[-1].isspace() for p in unique), bool, len(unique))
+        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        whole = np.add.reduceat(odd[index], bounds[:-1]) > 0 if len(column) else np.zeros(0, bool)
+        # Texts' first pieces have no blank before them, so they get entries of their own.
+        firsts = [unique[i] for i in index[bounds[:-1]]]
+        found = [b"" if o else self[" " + p] for p, o in zip(unique, odd, strict=True)] + [self[p] if p else b"" for p in firsts]
+        index[bounds[:-1]] = len(unique) + np.arange(len(firsts))
+        order = index.tolist()
+        out = []
+        for number, (start, end) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            if whole[number]:
+                out.append(self.encode(column[number].as_py()))
+            else:
+                out.append(b"".join([found[i] for i in order[start:end]]))
+        if len(self) > REMEMBERED:
+            # Words that came first are the frequent ones.
+            for word in [*islice(self, REMEMBERED // 2, None)]:
+                del self[word]
+        return out
+
     def decode(self, ids: bytes) -> str:
         """The text of ids, with a replacement character for bytes that are no UTF-8; unknown ids say nothing."""
         numbers = np.frombuffer(ids, "<u4")
@@ -158,17 +191,13 @@ def byte_bpe(name: str) -> ByteBPE:
     return _loaded[name]
 
 
-def _each(values: Iterator, kind: pa.DataType) -> pa.Array:
-    return pa.array(list(values), kind)
-
-
 def encode(text: Column, tokenizer: str) -> Column:
     """Token ids of a text column as little-endian unsigned 32-bit integers; null counts as empty."""
 
     @F.arrow_udf("binary")
     def of(column: pa.Array) -> pa.Array:
         bpe = byte_bpe(tokenizer)
-        return _each((bpe.encode(t.decode()) for t in texts(column)), pa.binary())
+        return pa.array([ids for _, part in slices(column) for ids in bpe.encode_all(part)], pa.binary())
 
     return of(text)
 
@@ -179,6 +208,6 @@ def decode(ids: Column, tokenizer: str) -> Column:
     @F.arrow_udf("string")
     def of(column: pa.Array) -> pa.Array:
         bpe = byte_bpe(tokenizer)
-        return _each((bpe.decode(t) for t in texts(column)), pa.string())
+        return pa.array([bpe.decode(t) for t in texts(column)], pa.string())
 
     return of(ids)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.llm.bpe import byte_letters
-from remitlens.llm.common import LOWER, tokenizer_file
+from remitlens.llm.common import LOWER, slices, tokenizer_file
 from remitlens.llm.cutting_stock import cutting_stock
 from remitlens.session import written
 
@@ -96,19 +96,6 @@ class WordEncoder(dict):
                 del self[word]
 
 
-def slices(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
-    """A text column in runs of rows of about so many bytes, with the number of the first row."""
-    sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
-    start, held = 0, 0
-    for row, size in enumerate(sizes):
-        if held and held + size > most:
-            yield start, column.slice(start, row - start)
-            start, held = row, 0
-        held += size
-    if start < len(column):
-        yield start, column.slice(start)
-
-
 def word_encoder(name: str) -> WordEncoder:
     if name not in _encoders:
         _encoders[name] = WordEncoder(name)

@@ -4,12 +4,13 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from remitlens.llm import bpe, queries
-from remitlens.llm.common import tokenizer_file
+from remitlens.llm.common import slices, tokenizer_file
 from tests.llm.samples import texts
 
 FILE = queries.BYTE_TOKENIZER
@@ -36,6 +37,14 @@ def test_encode_and_decode(library):
         assert ours.decode(got) == library.decode(ids, skip_special_tokens=False) == (text or "")
 
 
+def test_columns_of_texts(library):
+    ours, found = bpe.byte_bpe(FILE), [*texts(), *random_texts(), " a", "a ", "a  b", "a \nb", "a\n b", "a\n\nb c", "x <|endoftext|> y", "<|endoftext|> z"]
+    column = pa.array(found)
+    got = [ids for size in (1, 50_000) for _, part in slices(column, size) for ids in ours.encode_all(part)]
+    want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in found]
+    assert got == 2 * want and ours.encode_all(column.slice(0, 0)) == []
+
+
 def test_broken_ids(library):
     rng = random.Random(2)
     ours = bpe.byte_bpe(FILE)
