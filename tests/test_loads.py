@@ -102,3 +102,14 @@ def test_a_value_of_the_wrong_type_raises(spark, tmp_path):
     path = write(tmp_path, "c.csv", "courier_id,courier_name,base_rate_rs,sla_hours\nx,A,45,72\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         csv_tables.read_named(spark, path, schema.DIM_COURIER).collect()
+
+
+def test_files_with_headers_of_their_own(spark, tmp_path):
+    folder = tmp_path / "g"
+    folder.mkdir()
+    write(folder, "a.csv", "geo_id,city,tier,zone\n1,Mumbai,Tier-1,West\n")
+    write(folder, "b.csv", "zone,tier,city,geo_id\nEast,Tier-2,Kolkata,2\n")
+    rows = sorted(tuple(r) for r in csv_tables.read_named(spark, str(folder), schema.DIM_GEOGRAPHY).collect())
+    assert rows == [(1, "Mumbai", "Tier-1", "West"), (2, "Kolkata", "Tier-2", "East")]
+    coerced = sorted(tuple(r) for r in csv_tables.read_coerced(spark, str(folder), schema.DIM_GEOGRAPHY).collect())
+    assert coerced == rows
