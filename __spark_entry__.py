@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
 
 import oracle_queries  # noqa: E402
 from remitlens.functions.numbers import half_even  # noqa: E402
@@ -548,10 +549,23 @@ def warehouse_queries() -> dict[str, Query]:
     return found
 
 
+def _importable(query: Query) -> Query:
+    """The query, with this folder on the path of the Python processes beside the executors too."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        own = spark.sparkContext.environment
+        if HERE not in own.get("PYTHONPATH", "").split(os.pathsep):
+            own["PYTHONPATH"] = os.pathsep.join(filter(None, [HERE, own.get("PYTHONPATH")]))
+        return query(spark, folder)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     found = warehouse_queries()
     if text_queries:
-        found |= text_queries.queries() | {"pipeline": corpus_pipeline.run}
+        text = text_queries.queries() | {"pipeline": corpus_pipeline.run}
+        found |= {name: _importable(query) for name, query in text.items()}
     return found
 
 
