@@ -211,3 +211,20 @@ def decode(ids: Column, tokenizer: str) -> Column:
         return pa.array([bpe.decode(t) for t in texts(column)], pa.string())
 
     return of(ids)
+
+
+def round_trip(text: Column, tokenizer: str) -> Column:
+    """A struct of ``ids`` as ``encode`` gives them and of ``decoded``, the text that ``decode`` makes of them.
+
+    Spark evaluates nested Python functions of one column side by side, the inner one twice; this encodes once.
+    """
+
+    @F.arrow_udf("ids binary, decoded string")
+    def of(column: pa.Array) -> pa.Array:
+        bpe = byte_bpe(tokenizer)
+        ids = [x for _, part in slices(column) for x in bpe.encode_all(part)]
+        return pa.StructArray.from_arrays(
+            [pa.array(ids, pa.binary()), pa.array([bpe.decode(x) for x in ids], pa.string())], ["ids", "decoded"]
+        )
+
+    return of(text)

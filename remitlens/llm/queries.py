@@ -39,12 +39,12 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    encoded = docs.select("doc_id", bpe.encode(F.col("text"), BYTE_TOKENIZER).alias("ids"))
-    return encoded.select(
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), BYTE_TOKENIZER).alias("x"))
+    return coded.select(
         "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), BYTE_TOKENIZER), 256).alias("decoded_sha256"),
+        (F.octet_length("x.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("x.ids", 256).alias("ids_sha256"),
+        F.sha2("x.decoded", 256).alias("decoded_sha256"),
     )
 
 

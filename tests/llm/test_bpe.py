@@ -75,4 +75,6 @@ def test_query(spark, library):
 def test_columns(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "a b")], "ids long, text string")
     rows = docs.select("ids", bpe.encode(docs.text, FILE).alias("x")).select("ids", "x", bpe.decode(F.col("x"), FILE).alias("t")).collect()
+    both = docs.select("ids", bpe.round_trip(docs.text, FILE).alias("x")).select("ids", "x.ids", "x.decoded").collect()
+    assert [tuple(r) for r in both] == [tuple(r) for r in rows]
     assert [(r.ids, len(r.x), r.t) for r in rows] == [(1, 0, ""), (2, 0, ""), (None, 8, "a b")]
