@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from remitlens.llm import bpe, chat, exact, line_dedup, maxent, packing, quality_model, quality_rules, secret_scan, simhash
 from remitlens.llm.common import table
+from remitlens.llm.twins import oracle_sql as oracle_sql
 from remitlens.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,36 +125,3 @@ def queries() -> dict[str, Query]:
         "op9_secrets": op9_secrets,
         "op10_line_dedup": op10_line_dedup,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_SQL, "op10_line_dedup": LINES_SQL}
-
-
-EXACT_SQL = r"""
-with plain as (
-  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t, from documents
-), ranked as (
-  select doc_id, t, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
-         row_number() over (partition by t order by doc_id) as n
-  from plain
-)
-select doc_id, keep_id, group_size, n = 1 as kept, sha256(t) as text_sha256 from ranked
-"""
-
-LINES_SQL = r"""
-with lines as (
-  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as n
-  from documents
-), keyed as (
-  select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
-                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
-  from lines
-), owned as (
-  select *, length(k) >= 10 and doc_id > min(doc_id) over (partition by k) as gone from keyed
-)
-select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) order by n) filter (not gone), '')) as kept_sha256
-from owned group by doc_id
-"""
