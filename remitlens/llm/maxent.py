@@ -16,17 +16,17 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from remitlens.llm.common import LOWER, texts
+from remitlens.llm.common import slices
 from remitlens.session import written
 
 #: Word that ends each text; no word has a line break.
@@ -35,14 +35,33 @@ END = b"\n"
 HEAD, CLASSES, INNER, ENDINGS = 1 << 17, 16, 32, 16
 #: Rows of the hashed tables, tokens of an update, step, rounds, slices in which changes are summed.
 ROWS, BATCH, STEP, ROUNDS, SLICES = 1 << 13, 8192, 0.3, 3, 16
-#: Words that a counting task holds before it hands them on, tokens that are scored at once.
-HELD, BLOCK = 200_000, 1 << 15
+#: Bytes of text whose words are counted at once.
+COUNTED = 16 << 20
 
 _MARKS = b""".,;:!?'"()[]{}|#*$%&<>-"""
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.translate(LOWER).split(), END]
+def tokens(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words of a text column with A-Z lower-cased and an end after each text, null as empty.
+
+    Returns the distinct words (the end first), the tokens as indexes into them, and where each text begins and the last
+    one ends.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(column.fill_null("")))
+    coded = split.flatten().dictionary_encode()
+    words = [END, *coded.dictionary.cast(pa.binary()).to_pylist()]
+    index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    bounds = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+    if b"" in words:  # where white space begins or ends a text
+        real = index != words.index(b"")
+        bounds = np.r_[0, np.cumsum(real)][bounds]
+        index = index[real]
+    first = bounds + np.arange(len(bounds))
+    whole = np.zeros(first[-1], np.int64)
+    inside = np.ones(len(whole), bool)
+    inside[first[1:] - 1] = False
+    whole[inside] = index
+    return words, whole, first
 
 
 def ending(word: bytes) -> int:
@@ -58,22 +77,16 @@ def is_held_out(doc_id: Column) -> Column:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter[bytes] = Counter()
-
-    def out() -> pa.RecordBatch:
-        words = list(held)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(map(ending, words), pa.int32()), pa.array(held.values(), pa.int64())],
-            ["word", "ending", "count"],
-        )
-
     for batch in batches:
-        for text in texts(batch.column(0)):
-            held.update(tokens(text))
-            if len(held) > HELD:
-                yield out()
-                held.clear()
-    yield out()
+        for _, column in slices(batch.column(0), COUNTED):
+            words, index, _ = tokens(column)
+            counts = np.bincount(index, minlength=len(words))
+            seen = np.flatnonzero(counts)
+            words = [words[i] for i in seen]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(map(ending, words), pa.int32()), pa.array(counts[seen], pa.int64())],
+                ["word", "ending", "count"],
+            )
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -142,8 +155,8 @@ class Block:
     first: np.ndarray  # where each text begins
 
     @classmethod
-    def of(cls, found: list[list[bytes]], vocabulary: Vocabulary) -> Block:
-        words = [w for text in found for w in text]
+    def of(cls, words: list[bytes], index: np.ndarray, first: np.ndarray, vocabulary: Vocabulary) -> Block:
+        """Tokens as ``tokens`` gives them; each distinct word is looked up once."""
         get = vocabulary.index.get
         known = np.array([get(w, -1) for w in words], np.int64)
         hashes, classes, places = vocabulary.hashes[known], vocabulary.classes[known], vocabulary.places[known]
@@ -153,11 +166,10 @@ class Block:
             hashes[other] = [zlib.crc32(w) for w in rest]
             classes[other] = [CLASSES + ending(w) for w in rest]
             places[other] = -1
-        first = np.cumsum([0, *[len(text) for text in found]])
-        return cls(hashes, classes, places, known, first)
+        return cls(hashes[index], classes[index], places[index], known[index], first)
 
     def features(self) -> np.ndarray:
-        """For each token the rows of its last word, its last two words, and the word before the last."""
+        """For each token the rows of the last word and of the word before that."""
         last, second = np.zeros_like(self.hashes), np.zeros_like(self.hashes)
         last[1:] = self.hashes[:-1] + np.uint64(1)
         second[2:] = self.hashes[:-2] + np.uint64(1)
@@ -168,13 +180,11 @@ class Block:
         second[after[after < len(second)]] = 0
         with np.errstate(over="ignore"):
             mixed = np.stack([
-                last * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1),
-                last * np.uint64(0xC2B2AE3D27D4EB4F) ^ second * np.uint64(0x165667B19E3779F9),
-                second * np.uint64(0xD6E8FEB86659FD93) + np.uint64(3),
-            ], 1)
+                last * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1), second * np.uint64(0xD6E8FEB86659FD93) + np.uint64(3),
+            ], 1)
             mixed ^= mixed >> np.uint64(29)
             mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        return (mixed >> np.uint64(64 - int(math.log2(ROWS)))).astype(np.int64)
+        return (mixed >> np.uint64(64 - int(math.log2(ROWS)))).astype(np.int32)
 
 
 @dataclass
@@ -218,18 +228,16 @@ def _inner_rows(features: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 def _chances(weights: Weights, features: np.ndarray, classes: np.ndarray, inside: np.ndarray):
     """Probabilities of all classes for each token, and of all words of its class for the tokens ``inside``."""
-    outer = weights.outer[features[:, 0]] + weights.outer[features[:, 1]] + weights.outer[features[:, 2]]
-    outer += weights.outer[ROWS]
+    outer = weights.outer[features[:, 0]] + weights.outer[features[:, 1]] + weights.outer[ROWS]
     rows = _inner_rows(features[inside], classes[inside])
-    inner = weights.inner[rows[:, 0]] + weights.inner[rows[:, 1]] + weights.inner[rows[:, 2]]
-    inner += weights.inner[ROWS + classes[inside]]
+    inner = weights.inner[rows[:, 0]] + weights.inner[rows[:, 1]] + weights.inner[ROWS + classes[inside]]
     return _softmax(outer), _softmax(inner), rows
 
 
 def _update(table: np.ndarray, squares: np.ndarray, updates: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
     """One step for every row: its slopes summed, and divided by the root of all squares so far."""
     for feature in rows.T:
-        order = np.argsort(feature, kind="stable")
+        order = np.argsort(feature.astype(np.uint16), kind="stable")  # by radix
         ordered = feature[order]
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         summed, at = np.add.reduceat(slope[order], starts, axis=0), ordered[starts]
@@ -287,19 +295,6 @@ def _sum_changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _change_batch([(n, a.tobytes(), b.tobytes()) for n, (a, b) in held.items()])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], column: int, vocabulary: Vocabulary) -> Iterator[Block]:
-    found, size = [], 0
-    for batch in batches:
-        for text in texts(batch.column(column)):
-            found.append(tokens(text))
-            size += len(found[-1])
-            if size >= BLOCK:
-                yield Block.of(found, vocabulary)
-                found, size = [], 0
-    if found:
-        yield Block.of(found, vocabulary)
-
-
 @dataclass
 class Model:
     vocabulary: Vocabulary
@@ -320,8 +315,9 @@ def train(docs: DataFrame, head: int = HEAD, rounds: int = ROUNDS) -> Model:
 
         def learn(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             learner = Learner(sent.value)
-            for block in _blocks(batches, 0, shared.value):
-                learner.learn(block)
+            for batch in batches:
+                for _, column in slices(batch.column(0)):
+                    learner.learn(Block.of(*tokens(column), shared.value))
             yield _change_batch(list(learner.changes()))
 
         changes = docs.filter(turn == number).select("text").mapInArrow(learn, CHANGE)
@@ -366,42 +362,33 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     context = docs.sparkSession.sparkContext
     shared, sent = context.broadcast(model.vocabulary), context.broadcast(model.weights)
-    schema = pa.schema([
-        ("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("smoothed", pa.float64()),
-        ("model", pa.float64()), ("others", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
-    ])
+    names = [c.split()[0] for c in SCORED.split(", ")]
 
-    def rows_of(found: list[list[bytes]], weights: Weights, vocabulary: Vocabulary) -> Iterator[tuple]:
-        block = Block.of(found, vocabulary)
+    def rows_of(column: pa.Array, vocabulary: Vocabulary, weights: Weights) -> list[pa.Array]:
+        words, index, first = tokens(column)
+        block = Block.of(words, index, first, vocabulary)
         model_part = chances(block, weights, vocabulary)
         # Counts of words in the head are at hand; those of others are joined later.
-        logs = np.where(block.known >= 0, np.log10(vocabulary.counts[block.known] + 1.0), 0.0)
+        counts = np.where(block.known >= 0, vocabulary.counts[block.known], 0)
+        logs = np.log10(counts + 1.0)
         model_part += np.where(block.places < 0, logs, 0.0)
-        seen = (block.known >= 0) & (vocabulary.counts[block.known] > 0)
-        starts = block.first[:-1]
-        sums = [np.add.reduceat(x, starts) for x in (seen.astype(np.int64), logs, model_part)]
-        for number, text in enumerate(found):
-            a, b = block.first[number], block.first[number + 1]
-            others = Counter(text[i] for i in np.flatnonzero(block.known[a:b] < 0))
-            yield len(text), *[x[number].item() for x in sums], [{"word": w, "n": n} for w, n in others.items()]
+        sums = [np.add.reduceat(x, first[:-1]) for x in ((counts > 0).astype(np.int64), logs, model_part)]
+        # Other words of a text, each with how often it occurs there.
+        other = np.flatnonzero(block.known < 0)
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))[other]
+        pairs, times = np.unique(text * len(words) + index[other], return_counts=True)
+        kinds = pa.array(words, pa.binary()).take(pa.array(pairs % len(words), pa.int64()))
+        offsets = np.searchsorted(pairs // len(words), np.arange(len(first))).astype(np.int32)
+        others = pa.StructArray.from_arrays([kinds, pa.array(times, pa.int64())], ["word", "n"])
+        return [*[pa.array(x) for x in (np.diff(first), *sums)], pa.ListArray.from_arrays(offsets, others)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weights, row = shared.value, sent.value, TaskContext.get().partitionId() << 33
         for batch in batches:
-            found, size, rows = [], 0, []
-            for text in texts(batch.column(1)):
-                found.append(tokens(text))
-                size += len(found[-1])
-                if size >= BLOCK:
-                    rows += rows_of(found, weights, vocabulary)
-                    found, size = [], 0
-            if found:
-                rows += rows_of(found, weights, vocabulary)
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            numbers = pa.array(range(row, row + len(rows)), pa.int64())
-            row += len(rows)
-            arrays = [numbers, batch.column(0), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:], strict=True)]]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+            for start, column in slices(batch.column(1)):
+                ids, numbers = batch.column(0).slice(start, len(column)), pa.array(np.arange(row, row + len(column)))
+                row += len(column)
+                yield pa.RecordBatch.from_arrays([numbers, ids, *rows_of(column, vocabulary, weights)], names)
 
     scored = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCORED), "scored")
     others = scored.select("row", F.explode("others").alias("x")).select("row", "x.word", "x.n")

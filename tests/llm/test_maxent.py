@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from remitlens.llm import maxent, queries
@@ -54,6 +55,19 @@ def test_query_beats_the_base_on_held_out_texts(spark):
     assert len({r.train_tokens for r in rows}) == 1 and all(r.score < 0 for r in rows)
 
 
+def block_of(found, vocabulary):
+    words = sorted({w for text in found for w in text})
+    index = np.array([words.index(w) for text in found for w in text])
+    return maxent.Block.of(words, index, np.cumsum([0, *map(len, found)]), vocabulary)
+
+
+def test_tokens():
+    found = texts()
+    words, index, first = maxent.tokens(pa.array(found))
+    got = [[words[i].decode() for i in index[a:b]] for a, b in zip(first, first[1:], strict=False)]
+    assert got == [plain_tokens(t) for t in found]
+
+
 @pytest.mark.parametrize("head", [5, 1 << 17])
 def test_probabilities_sum_to_one(spark, head):
     rows = [(i, "a b c d " * 5 + f"word{i} of{i % 3} tail{i}tion end{i}eux") for i in range(300)]
@@ -63,7 +77,7 @@ def test_probabilities_sum_to_one(spark, head):
     assert np.abs(model.weights.outer[: maxent.ROWS]).max() > 0
     for context in ([], [b"a"], [b"word7", b"of1"], [b"never", b"seen"]):
         words = list(counts)
-        found = maxent.Block.of([[*context, w] for w in words], vocabulary)
+        found = block_of([[*context, w] for w in words], vocabulary)
         logs = maxent.chances(found, model.weights, vocabulary)[found.first[1:] - 1]
         places = found.places[found.first[1:] - 1]
         known = sum(10**x * (1 if p >= 0 else counts[w] + 1) for x, p, w in zip(logs, places, words, strict=True))
@@ -71,7 +85,7 @@ def test_probabilities_sum_to_one(spark, head):
         endings = {}
         for n in range(2000):
             endings.setdefault(maxent.ending(b"zz%d" % n), b"zz%d" % n)
-        block = maxent.Block.of([[*context, w] for w in endings.values()], vocabulary)
+        block = block_of([[*context, w] for w in endings.values()], vocabulary)
         unseen = sum(10 ** maxent.chances(block, model.weights, vocabulary)[block.first[1:] - 1])
         assert len(endings) == maxent.ENDINGS and known + unseen == pytest.approx(1, abs=1e-3)
 
