@@ -35,8 +35,10 @@ END = b"\n"
 HEAD, CLASSES, INNER, ENDINGS = 1 << 17, 16, 32, 16
 #: Rows of the hashed tables, tokens of an update, step, rounds, slices in which changes are summed.
 ROWS, BATCH, STEP, ROUNDS, SLICES = 1 << 13, 8192, 0.3, 3, 16
-#: Bytes of text whose words are counted at once.
-COUNTED = 16 << 20
+#: Bytes of text whose words are counted at once, tokens that are scored at once: few, so that their scores stay cached.
+COUNTED, SCORED_AT_ONCE = 16 << 20, 2048
+#: Largest score, so that a row's exponentials add up in single precision.
+LARGEST = 80.0
 
 _MARKS = b""".,;:!?'"()[]{}|#*$%&<>-"""
 
@@ -214,24 +216,44 @@ class Weights:
         return Weights(self.outer.copy(), self.inner.copy())
 
 
-def _softmax(scores: np.ndarray) -> np.ndarray:
-    scores -= scores.max(1, keepdims=True)
+def _powers(scores: np.ndarray) -> np.ndarray:
+    """Exponentials of scores in place, and their sums by row as a product, which is much faster than a sum over columns.
+
+    Scores are sums of logs of shares and a few weights; those beyond the limit, which no model of ours reaches, would
+    overflow and are cut.
+    """
+    np.minimum(scores, LARGEST, out=scores)
     np.exp(scores, out=scores)
-    scores /= scores.sum(1, keepdims=True)
+    return scores @ np.ones(scores.shape[1], np.float32) + np.float32(1e-30)
+
+
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    sums = _powers(scores)
+    scores *= (1 / sums)[:, None]
     return scores
 
 
+def _log_chance(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log10 of the softmax at one column of each row."""
+    own = np.minimum(scores[np.arange(len(scores)), chosen], LARGEST).astype(float)
+    return (own - np.log(_powers(scores))) / math.log(10)
+
+
 def _inner_rows(features: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Rows inside a class: those of the context, shifted by the class."""
     return (features + (classes * 2654435761 % ROWS)[:, None]) % ROWS
 
 
-def _chances(weights: Weights, features: np.ndarray, classes: np.ndarray, inside: np.ndarray):
-    """Probabilities of all classes for each token, and of all words of its class for the tokens ``inside``."""
-    outer = weights.outer[features[:, 0]] + weights.outer[features[:, 1]] + weights.outer[ROWS]
+def _scores(weights: Weights, features: np.ndarray, classes: np.ndarray, inside: np.ndarray):
+    """Scores of all classes for each token, and of all words of its class for the tokens ``inside``, with their rows."""
+    outer = weights.outer[features[:, 0]]
+    outer += weights.outer[features[:, 1]]
+    outer += weights.outer[ROWS]
     rows = _inner_rows(features[inside], classes[inside])
-    inner = weights.inner[rows[:, 0]] + weights.inner[rows[:, 1]] + weights.inner[ROWS + classes[inside]]
-    return _softmax(outer), _softmax(inner), rows
+    inner = weights.inner[rows[:, 0]]
+    inner += weights.inner[rows[:, 1]]
+    inner += weights.inner[ROWS + classes[inside]]
+    return outer, inner, rows
 
 
 def _update(table: np.ndarray, squares: np.ndarray, updates: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
@@ -241,7 +263,7 @@ def _update(table: np.ndarray, squares: np.ndarray, updates: np.ndarray, rows: n
         ordered = feature[order]
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         summed, at = np.add.reduceat(slope[order], starts, axis=0), ordered[starts]
-        squares[at] += (summed * summed).mean(1)
+        squares[at] += (summed * summed) @ np.full(summed.shape[1], 1 / summed.shape[1], np.float32)
         table[at] -= STEP * summed / np.sqrt(squares[at] + 1.0)[:, None]
         updates[at] += np.diff(np.r_[starts, len(ordered)])
 
@@ -259,7 +281,8 @@ class Learner:
         for i in range(0, len(features), BATCH):
             part, classes, places = features[i : i + BATCH], block.classes[i : i + BATCH], block.places[i : i + BATCH]
             inside = np.flatnonzero(places >= 0)
-            outer, inner, rows = _chances(self.weights, part, classes, inside)
+            outer, inner, rows = _scores(self.weights, part, classes, inside)
+            outer, inner = _softmax(outer), _softmax(inner)
             outer[np.arange(len(part)), classes] -= 1
             _update(self.weights.outer, self.squares[0], self.updates[0], part, outer)
             if len(inside):
@@ -339,15 +362,16 @@ def chances(block: Block, model_weights: Weights, vocabulary: Vocabulary) -> np.
     """Log10 probability of each token, short of the smoothed count of words in classes by ending."""
     features = block.features()
     found = np.empty(len(features))
-    for i in range(0, len(features), BATCH):
-        part, classes, places = features[i : i + BATCH], block.classes[i : i + BATCH], block.places[i : i + BATCH]
+    for i in range(0, len(features), SCORED_AT_ONCE):
+        last = i + SCORED_AT_ONCE
+        part, classes, places = features[i:last], block.classes[i:last], block.places[i:last]
         inside = np.flatnonzero(places >= 0)
-        outer, inner, _ = _chances(model_weights, part, classes, inside)
-        here = np.log10(outer[np.arange(len(part)), classes] + 1e-30).astype(float)
-        here[inside] += np.log10(inner[np.arange(len(inside)), places[inside]] + 1e-30)
+        outer, inner, _ = _scores(model_weights, part, classes, inside)
+        here = _log_chance(outer, classes)
+        here[inside] += _log_chance(inner, places[inside])
         outside = np.flatnonzero(places < 0)
         here[outside] -= np.log10(vocabulary.ending_sums[classes[outside] - CLASSES])
-        found[i : i + BATCH] = here
+        found[i:last] = here
     return found
 
 
@@ -358,7 +382,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """Every row of ``docs`` (``doc_id``, ``text``) with its scores, as log10 probabilities.
 
     Returns ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one smoothed
-    single words) and ``score`` (the model's). A null text counts as empty, which is its end alone.
+    single words) and ``score`` (the model's). A null text counts as empty, which is its end alone. Rows are scored one by
+    one, those that repeat others and those without an id too; columns beside these two are left out.
     """
     context = docs.sparkSession.sparkContext
     shared, sent = context.broadcast(model.vocabulary), context.broadcast(model.weights)
