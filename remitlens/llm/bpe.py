@@ -192,7 +192,10 @@ def byte_bpe(name: str) -> ByteBPE:
 
 
 def encode(text: Column, tokenizer: str) -> Column:
-    """Token ids of a text column as little-endian unsigned 32-bit integers; null counts as empty."""
+    """Token ids of a text column as little-endian unsigned 32-bit integers; null counts as empty.
+
+    A function of one row's text alone, so repeated rows and other columns make no difference.
+    """
 
     @F.arrow_udf("binary")
     def of(column: pa.Array) -> pa.Array:

@@ -106,7 +106,8 @@ def pieces(docs: DataFrame, tokenizer: str, end: int = END, length: int = LENGTH
     """Pieces of every document (``doc_id``, ``text``), as a written table with columns ``PIECES``.
 
     ``ids`` are little-endian unsigned 32-bit; ``size`` is the length in steps, rounded up; ``part`` and ``number`` say
-    where a piece stands among those of its size. A null or empty text is one piece with the end id alone.
+    where a piece stands among those of its size. A null or empty text is one piece with the end id alone. Rows are cut
+    one by one, those that repeat others and those without an id too; columns beside these two are left out.
     """
     names = [c.split()[0] for c in PIECES.split(", ")]
     last = np.array([end], "<u4").tobytes()
