@@ -171,7 +171,7 @@ class Block:
         return cls(hashes[index], classes[index], places[index], known[index], first)
 
     def features(self) -> np.ndarray:
-        """For each token the rows of the last word and of the word before that."""
+        """For each token the rows of its last word, its last two words, and the word before the last."""
         last, second = np.zeros_like(self.hashes), np.zeros_like(self.hashes)
         last[1:] = self.hashes[:-1] + np.uint64(1)
         second[2:] = self.hashes[:-2] + np.uint64(1)
@@ -182,8 +182,10 @@ class Block:
         second[after[after < len(second)]] = 0
         with np.errstate(over="ignore"):
             mixed = np.stack([
-                last * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1), second * np.uint64(0xD6E8FEB86659FD93) + np.uint64(3),
-            ], 1)
+                last * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1),
+                last * np.uint64(0xC2B2AE3D27D4EB4F) ^ second * np.uint64(0x165667B19E3779F9),
+                second * np.uint64(0xD6E8FEB86659FD93) + np.uint64(3),
+            ], 1)
             mixed ^= mixed >> np.uint64(29)
             mixed *= np.uint64(0xBF58476D1CE4E5B9)
         return (mixed >> np.uint64(64 - int(math.log2(ROWS)))).astype(np.int32)
@@ -248,10 +250,12 @@ def _scores(weights: Weights, features: np.ndarray, classes: np.ndarray, inside:
     """Scores of all classes for each token, and of all words of its class for the tokens ``inside``, with their rows."""
     outer = weights.outer[features[:, 0]]
     outer += weights.outer[features[:, 1]]
+    outer += weights.outer[features[:, 2]]
     outer += weights.outer[ROWS]
     rows = _inner_rows(features[inside], classes[inside])
     inner = weights.inner[rows[:, 0]]
     inner += weights.inner[rows[:, 1]]
+    inner += weights.inner[rows[:, 2]]
     inner += weights.inner[ROWS + classes[inside]]
     return outer, inner, rows
 

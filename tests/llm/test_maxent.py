@@ -90,6 +90,17 @@ def test_probabilities_sum_to_one(spark, head):
         assert len(endings) == maxent.ENDINGS and known + unseen == pytest.approx(1, abs=1e-3)
 
 
+def test_the_last_two_words_together_decide(spark):
+    # Neither word alone tells what follows, nor does any sum of what each tells.
+    follows = {("a", "c"): "p", ("a", "d"): "q", ("b", "c"): "q", ("b", "d"): "p"}
+    docs = spark.createDataFrame([(i, " ".join([*pair, word])) for i, (pair, word) in enumerate([*follows.items()] * 500)], "doc_id long, text string")
+    model = maxent.train(docs)
+    for (first, last), word in follows.items():
+        found = block_of([[first.encode(), last.encode(), w.encode()] for w in "pq"], model.vocabulary)
+        p, q = maxent.chances(found, model.weights, model.vocabulary)[found.first[1:] - 1]
+        assert (p - q if word == "p" else q - p) > 0.3
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert maxent.score(docs, maxent.train(docs)).count() == 0
