@@ -37,11 +37,22 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]{16,}"),
     Rule("hex", "[0-9a-f]{24,}"),
 )
+# A private key is all from its first line to its last, without another key's between. Where the last is missing, it is the
+# known fields and the base64 lines that follow, and a shorter line that ends these. Possessive, so that no text is read
+# twice and the stack does not grow with it.
+_BREAK = r"""(?:[\x20\t\r\n>"']|\\[nr])*+"""
+_PRIVATE = (
+    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:"
+    r"[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z ]{0,20}PRIVATE KEY-----|"
+    rf"(?:{_BREAK}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+"
+    rf"(?:(?:{_BREAK}[A-Za-z0-9+/]{{20,}}+={{0,2}}+)++"
+    rf"""(?:(?:[\r\n]|\\[nr]){_BREAK}[A-Za-z0-9+/]++={{0,2}}+[\x20\t]*+(?![^\r\n\\"']))?+)?+)"""
+)
 MORE = (
     Rule("forge", "gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("signed", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("private", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private", _PRIVATE),
 )
 
 

@@ -81,3 +81,12 @@ def test_odd_rows_and_no_rows(spark):
             rows = docs.collect()
             docs = spark.createDataFrame(rows, docs.schema)
         assert "sequence_id" in docs.columns
+
+
+def test_no_part_of_a_private_key_is_packed(spark):
+    prose = spark.read.parquet(f"{FOLDER}/documents.parquet").filter("lang = 'en' and n_chars > 3000").first()
+    body = [f"{n:02d}" + "Ab+/9" * 12 + "xY" for n in range(20)]
+    text = "\n".join([prose.text, "-----BEGIN PRIVATE KEY-----", *body, "-----END PRIVATE KEY-----", "The end."])
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    row = dict(corpus_pipeline.STAGES)["secret_scans"](spark, docs, FOLDER).first()
+    assert row.text == redacted(prose.text + "\n") + "[SECRET]\nThe end." and row.n_chars == len(row.text)
