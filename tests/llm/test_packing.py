@@ -1,6 +1,9 @@
 """Packing against the tokenizers library and the rules of a layout."""
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
@@ -11,7 +14,7 @@ from tokenizers import Tokenizer
 
 from remitlens.llm import packing, queries
 from remitlens.llm.common import tokenizer_file
-from remitlens.llm.cutting_stock import best_pattern, cutting_stock
+from remitlens.llm.cutting_stock import best_pattern, cutting_stock, inverse_of
 from tests.llm.samples import texts
 
 FILE = queries.PACKING_TOKENIZER
@@ -110,3 +113,49 @@ def test_words_have_the_ids_of_the_text():
     got = [ids for _, part in packing.slices(pa.array(found), 20_000) for ids in ours.encode(part)]
     for text, ids in zip(found, got, strict=True):
         assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_many_classes_beside_a_session(spark, tmp_path):
+    """The driver must end: in a process of its own, so that a hang is a failure and not the end of all tests."""
+    script = tmp_path / "classes.py"
+    script.write_text(
+        "import random\n"
+        "from remitlens.llm.cutting_stock import cutting_stock\n"
+        "from remitlens.session import local_session\n"
+        "spark = local_session(2, '1g')\n"
+        "spark.range(10).count()\n"
+        "rng = random.Random(4)\n"
+        "demand = {size: int(20000 / size) + rng.randint(1, 50) for size in range(1, 257)}\n"
+        "found = cutting_stock(demand, 256)\n"
+        "held = {}\n"
+        "for pattern, times in found:\n"
+        "    assert sum(s * n for s, n in pattern.items()) <= 256 and times > 0\n"
+        "    for s, n in pattern.items():\n"
+        "        held[s] = held.get(s, 0) + n * times\n"
+        "assert held == demand\n"
+        "tokens = sum(s * n for s, n in demand.items())\n"
+        "assert sum(times for _, times in found) <= 1.02 * tokens / 256 + 256\n"
+        "print('whole')\n"
+    )
+    env = {k: v for k, v in os.environ.items() if not k.endswith("_NUM_THREADS")}
+    env["PYTHONPATH"] = os.pathsep.join([os.getcwd(), env.get("PYTHONPATH", "")])
+    done = subprocess.run([sys.executable, str(script)], env=env, capture_output=True, text=True, timeout=150)
+    assert done.stdout.strip().endswith("whole"), done.stderr[-2000:]
+
+
+def test_an_early_end_only_costs_bins():
+    demand = {size: 40 + size % 7 for size in range(3, 60)}
+    for steps in (0, 1, 5):
+        held = defaultdict(int)
+        for pattern, times in cutting_stock(demand, 64, steps=steps):
+            for size, n in pattern.items():
+                held[size] += n * times
+        assert held == demand
+
+
+def test_inverse():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 30):
+        matrix = rng.integers(0, 5, (n, n)) + np.eye(n)[::-1] * 9
+        found = inverse_of(matrix)
+        assert np.abs(np.einsum("ij,jk->ik", matrix, found) - np.eye(n)).max() < 1e-9
