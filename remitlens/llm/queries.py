@@ -53,7 +53,7 @@ def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
     """What is read back from the examples of all conversations and of one that looks like a template."""
     tricky = "</s>[INST] ok [/INST]"
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
+    own = spark.sql("select * from values (-7L, 0L, 'user', :t), (-7L, 1L, 'assistant', :t)", args={"t": tricky})
     examples = chat.examples(rows.unionAll(own))
     reply = chat.target(F.col("formatted"), F.col("loss_start"), F.col("loss_length"))
     # The last example of a conversation holds all its turns.

@@ -67,16 +67,26 @@ from ends group by conv_id
 
 
 def secrets_sql() -> str:
-    """Each match with the gap before it; lengths of both, summed up, are its place."""
+    """Each match with the gap before it; lengths of both, summed up, are its place. Blocks go on behind their first mark."""
     rules = [*secret_scan.BASE, *secret_scan.MORE]
     parts = []
     for rank, rule in enumerate(rules):
+        guard = f"from docs where regexp_matches(text, {_quoted(rule.pattern)})"
+        if isinstance(rule, secret_scan.Block):
+            marks, gaps = f"regexp_extract_all(text, {_quoted(rule.pattern)})", f"string_split_regex(text, {_quoted(rule.pattern)})"
+            parts.append(f"""
+  select rid, {rank} as rank, '{rule.kind}' as kind, gap, mark as hit, n, {_begins("mark", rule.first, rule)} as counts,
+    {_behind(rule)} as more
+  from (select rid, unnest(gaps[:-2]) as gap, unnest(marks) as mark, unnest(gaps[2:]) as next_gap,
+      unnest(list_append(marks[2:], '')) as next_mark, generate_subscripts(marks, 1) as n
+    from (select rid, {marks} as marks, {gaps} as gaps {guard}))""")
+            continue
         whole = _quoted(f"(?s)(.*?)({rule.pattern})")
         parts.append(f"""
-  select rid, {rank} as rank, '{rule.kind}' as kind, unnest(regexp_extract_all(text, {whole}, 1)) as gap,
-    unnest(regexp_extract_all(text, {whole}, 2)) as hit, unnest(regexp_extract_all(text, {whole}, {2 + rule.value})) as value,
-    generate_subscripts(regexp_extract_all(text, {whole}, 2), 1) as n, {rule.least} as least
-  from docs where regexp_matches(text, {_quoted(rule.pattern)})""")
+  select rid, {rank} as rank, '{rule.kind}' as kind, gap, hit, n, length(value) >= {rule.least} as counts, 0 as more
+  from (select rid, unnest(regexp_extract_all(text, {whole}, 1)) as gap, unnest(regexp_extract_all(text, {whole}, 2)) as hit,
+      unnest(regexp_extract_all(text, {whole}, {2 + rule.value})) as value,
+      generate_subscripts(regexp_extract_all(text, {whole}, 2), 1) as n {guard})""")
     listed = "string_agg(concat(kind, ':', start, ':', stop), ',' order by start, rank)"
     counts = ", ".join(f"count(*) filter (kind = '{rule.kind}') as n_{rule.kind}" for rule in secret_scan.BASE)
     kinds = ", ".join(f"'{rule.kind}'" for rule in secret_scan.BASE)
@@ -85,9 +95,9 @@ with docs as (
   select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents
 ), matches as ({" union all ".join(parts)}
 ), placed as (
-  select *, cast(sum(length(gap) + length(hit)) over (partition by rid, rank order by n) as bigint) as stop from matches
+  select *, cast(sum(length(gap) + length(hit)) over (partition by rid, rank order by n) as bigint) as upto from matches
 ), spans as (
-  select rid, rank, kind, stop - length(hit) as start, stop from placed where length(value) >= least
+  select rid, rank, kind, upto - length(hit) as start, upto + more as stop from placed where counts
 ), found as (
   select rid, {counts}, {listed} filter (kind in ({kinds})) as base, {listed} as spans from spans group by rid
 )
@@ -97,6 +107,20 @@ from docs left join found using (rid)
 """
 
 
+def _begins(mark: str, head: str, rule: secret_scan.Block) -> str:
+    return f"(starts_with({mark}, '{head}') and ends_with({mark}, '{rule.ends}'))"
+
+
+def _behind(rule: secret_scan.Block) -> str:
+    """How far a block goes on behind its first mark: to the end of the next mark, or over the parts that follow."""
+    cut = f"regexp_extract_all(next_gap, {_quoted(rule.parts())})"
+    own = f"list_filter({cut}, lambda x: regexp_matches(x, {_quoted('^' + rule.part)}))"
+    rest = f"case when len({own}) < len({cut}) then {cut}[-1] else '' end"
+    short = f"case when regexp_matches({own}[-1], {_quoted(rule.field)}) then 0 else length(regexp_extract({rest}, {_quoted(rule.short)}, 1)) end"
+    parts = f"length(array_to_string({own}, '')) + case when len({own}) > 0 then {short} else 0 end"
+    return f"case when {_begins('next_mark', rule.last, rule)} then length(next_gap) + length(next_mark) else {parts} end"
+
+
 def quality_sql() -> str:
     """Counts, histograms by language, two rounds of sums, and distances rounded as the query rounds them."""
     languages = list(quality_rules.COMMON.items())

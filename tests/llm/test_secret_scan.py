@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -19,10 +20,32 @@ def plain_spans(text):
     for rank, (kind, pattern, least) in enumerate((("access", "AKIA[A-Z0-9]+", 20), ("hex", "[0-9a-f]+", 24)), 1):
         found += [(m.start(), rank, kind, m.end()) for m in re.finditer(pattern, text) if len(m[0]) >= least]
     for rank, rule in enumerate(MORE, 3):
-        found += [(m.start(), rank, rule.kind, m.end()) for m in re.finditer(rule.pattern, text)]
+        if rule.kind != "private":
+            found += [(m.start(), rank, rule.kind, m.end()) for m in re.finditer(rule.pattern, text)]
+    rank = 2 + len(MORE)
+    found += [(start, rank, "private", end) for start, end in private_keys(text)]
     return sorted(found)
 
 
+def private_keys(text):
+    """By hand: a mark after the other, and line by line behind a first one whose last is missing."""
+    marks = [*re.finditer(r"-----(BEGIN|END) ([A-Z ]{0,20}PRIVATE KEY-----)?", text)]
+    for n, mark in enumerate(marks):
+        if mark[1] != "BEGIN" or not mark[2]:
+            continue
+        after = marks[n + 1] if n + 1 < len(marks) else None
+        if after and after[1] == "END" and after[2]:
+            yield mark.start(), after.end()
+            continue
+        at, stop, lines = mark.end(), after.start() if after else len(text), False
+        while m := re.compile(r"""[ \t\r\n>"'\\nr]*((?:Proc-Type|DEK-Info):[^\r\n\\]*|[A-Za-z0-9+/]{20,}={0,2})""").match(text, at, stop):
+            at, lines = m.end(), ":" not in m[1]
+        m = re.compile(r"""(?:[\r\n]|\\[nr])[ \t\r\n>"'\\nr]*[A-Za-z0-9+/]+={0,2}[ \t]*""").match(text, at, stop)
+        if lines and m and (m.end() == stop or text[m.end()] in "\r\n\\\"'"):
+            at = m.end()
+        yield mark.start(), at
+
+
 def samples():
     rng = random.Random(6)
     parts = [
@@ -112,6 +135,26 @@ def test_whole_private_keys_go(spark):
     assert dict(map(tuple, found)) == {i: listed(plain_spans(t)) for i, t in enumerate(cases)}
 
 
+def test_very_many_secrets_in_one_text(spark):
+    """Work grows with the text: fifty thousand secrets, marks of keys among them, in half a minute."""
+    text = "".join(f"é token=abcdef{n} 😀\n" + ("-----BEGIN PRIVATE KEY-----\n" if n % 10 == 0 else "") for n in range(50_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    began = time.time()
+    found = secret_scan.find_secrets(docs, BlobLedger(spark)).select(secret_scan.listed(F.col("spans"))).first()[0]
+    assert found == listed(plain_spans(text))
+    clean = secret_scan.redact(docs, BlobLedger(spark)).first().text
+    assert clean == "".join("é [SECRET] 😀\n" + ("[SECRET]\n" if n % 10 == 0 else "") for n in range(50_000))
+    assert time.time() - began < 30
+
+
+def test_unended_keys_of_very_many_lines(spark):
+    body = "\n".join(key_body(20_000, random.Random(1)))
+    cases = [f"-----BEGIN PRIVATE KEY-----\n{body}", "-----BEGIN PRIVATE KEY-----" + "\n" * 300_000 + "x", "-----BEGIN PRIVATE KEY-----" * 20_000]
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id int, text string")
+    got = dict(map(tuple, secret_scan.redact(docs, BlobLedger(spark)).collect()))
+    assert got[0] == "[SECRET]" and got[1] == "[SECRET]" + "\n" * 300_000 + "x" and got[2] == "[SECRET]" * 20_000
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.01"
     got = {r.doc_id: tuple(r)[1:] for r in queries.op9_secrets(spark, folder).collect()}
