@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, chat, exact, line_dedup, maxent, packing, quality_model, quality_rules, secret_scan, simhash
+from remitlens.llm import bpe, chat, exact, line_dedup, maxent, packing, prefix_trie, quality_model, quality_rules, secret_scan, simhash
 from remitlens.llm.common import table
 from remitlens.llm.twins import oracle_sql as oracle_sql
 from remitlens.session import written
@@ -112,6 +112,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, each with the first turns of its group's first one."""
+    convs = written(prefix_trie.packed(table(spark, folder, "conversations")), "conversations")
+    return prefix_trie.nodes(written(prefix_trie.with_shared_heads(convs), "rebuilt"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
@@ -124,4 +130,5 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_secrets": op9_secrets,
         "op10_line_dedup": op10_line_dedup,
+        "op11_prefix_trie": op11_prefix_trie,
     }

@@ -195,6 +195,42 @@ from last
 """
 
 
+# CRC-32 of a short text, a byte after the other and eight steps for each.
+_CRC = """xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split({0}, ''), lambda c: cast(ascii(c) as bigint))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+TRIE = f"""
+with own as (
+  select conv_id, list({{'role': role, 'text': text}} order by turn nulls first, role, text) as turns
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)
+  group by conv_id
+), counted as (
+  select *, {_CRC.format("cast(conv_id as varchar)")} % 6 as h from own
+), rebuilt as (
+  select c.conv_id, list_concat(coalesce(b.turns[1 : h], []), c.turns[h + 1 :]) as turns
+  from counted c left join own b on b.conv_id = c.conv_id - c.conv_id % 100
+), members as (
+  select conv_id, d, turns[1 : d] as node, d = len(turns) as ends
+  from (select *, unnest(range(0, len(turns) + 1)) as d from rebuilt)
+), nodes as (
+  select d, node, min(conv_id) as conv_id, count(*) as n_convs,
+    string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends) as ended
+  from members group by d, node
+), children as (
+  select d - 1 as d, node[1 : d - 1] as node, count(*) as n_children from nodes where d > 0 group by all
+), whole as (
+  select n.*, coalesce(n_children, 0) as n_children, coalesce((n_convs - 1) * length(n.node[d].text), 0) as saved
+  from nodes n left join children c using (d, node)
+), subtrees as (
+  select up as d, node[1 : up] as node, sum(saved) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+  from (select *, unnest(range(0, d + 1)) as up from whole) group by all
+)
+select w.conv_id, w.d as depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children, n_leaves,
+  cast(saved_tokens as bigint) as saved_tokens, sha256(coalesce(w.ended, '')) as ends_sha256
+from whole w join subtrees s using (d, node) left join nodes p on p.d = w.d - 1 and p.node = w.node[1 : w.d - 1]
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_exact_dedup": EXACT,
@@ -202,4 +238,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_quality_rules": quality_sql(),
         "op9_secrets": secrets_sql(),
         "op10_line_dedup": LINES,
+        "op11_prefix_trie": TRIE,
     }
