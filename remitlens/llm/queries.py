@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, chat, exact, line_dedup, maxent, packing, prefix_trie, quality_model, quality_rules, secret_scan, simhash
+from remitlens.llm import (
+    best_fit,
+    bpe,
+    chat,
+    exact,
+    line_dedup,
+    maxent,
+    packing,
+    prefix_trie,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    simhash,
+    whitening,
+)
 from remitlens.llm.common import table
 from remitlens.llm.twins import oracle_sql as oracle_sql
 from remitlens.session import written
@@ -118,6 +132,14 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.nodes(written(prefix_trie.with_shared_heads(convs), "rebuilt"))
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, folder, "embeddings"), F.col("vec_id"))
+
+
+def op13_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit.digests(table(spark, folder, "documents"), PACKING_TOKENIZER)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": op1_simhash,
@@ -131,4 +153,6 @@ def queries() -> dict[str, Query]:
         "op9_secrets": op9_secrets,
         "op10_line_dedup": op10_line_dedup,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_whitening": op12_whitening,
+        "op13_best_fit": op13_best_fit,
     }

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_names():
     names = list(entry.queries())
-    for number in range(1, 12):
+    for number in range(1, 14):
         assert len([n for n in names if n.startswith(f"op{number}_")]) == 1
     assert "pipeline" in names and set(queries.oracle_sql()) <= set(names)
 
