@@ -351,18 +351,30 @@ def _arriving(wh: BenchmarkWarehouse, name: str, files: int | None = None) -> Da
     return jobs.table_stream(wh.spark, path, rows.schema, files_per_trigger=1)
 
 
+#: Micro-batches of the streams over facts, and the buckets of what they keep.
+ARRIVALS, STREAM_BUCKETS = 20, 16
+
+
 def _stream_reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    facts = BenchmarkWarehouse(spark, folder)
-    settled = _arriving(facts, "settlements", 3)
-    found = settlement_feed.check_against_table(settled, facts.orders, spark, new_folder(spark, "stream-reconcile"))
-    return plain(found.read(spark))
+    """Half of the orders are stored at first; the others come when half of the settlements have been checked."""
+    facts, out, path = BenchmarkWarehouse(spark, folder), new_folder(spark, "stream-reconcile"), new_folder(spark, "arriving-settlements")
+    book = settlement_feed.order_book(spark, f"{out}/orders", STREAM_BUCKETS)
+    half = lambda key, n: F.pmod(F.xxhash64(key, F.lit(3)), F.lit(2)) == n
+    for load in range(2):
+        settlement_feed.add_orders(book, facts.orders.where(half("awb_number", load)), load)
+        rows = facts.settlements.where(half("settlement_id", load))
+        rows.repartition(ARRIVALS // 2, F.xxhash64("awb_number", F.lit(7))).write.mode("append").parquet(path)
+        settled = jobs.table_stream(spark, path, rows.schema, files_per_trigger=1)
+        tables = settlement_feed.check_against_table(settled, book, spark, f"{out}/checked")
+    return plain(tables["found"].read(spark))
 
 
 def _stream_join(spark: SparkSession, folder: str) -> DataFrame:
     """Orders and settlements come in files of random AWBs and days, one of each to a micro-batch."""
     facts = BenchmarkWarehouse(spark, folder)
-    settled, orders = _arriving(facts, "settlements", 3), _arriving(facts, "orders", 4)
-    tables = settlement_feed.check_against_stream(settled, orders, spark, new_folder(spark, "stream-join"))
+    settled, orders = _arriving(facts, "settlements", ARRIVALS), _arriving(facts, "orders", ARRIVALS - 3)
+    out = new_folder(spark, "stream-join")
+    tables = settlement_feed.check_against_stream(settled, orders, spark, out, STREAM_BUCKETS, ARRIVALS // 2)
     return plain(tables["found"].read(spark))
 
 
@@ -370,9 +382,9 @@ def _stream_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     facts = BenchmarkWarehouse(spark, folder)
     path, rows = new_folder(spark, "arriving-copies"), facts.settlements
     # Cut by id, so that the copies of an AWB come in several micro-batches.
-    rows.repartition(3, F.xxhash64("settlement_id")).write.parquet(path)
+    rows.repartition(ARRIVALS, F.xxhash64("settlement_id")).write.parquet(path)
     arriving = jobs.table_stream(spark, path, rows.schema, files_per_trigger=1)
-    tables = settlement_feed.keep_touched(arriving, spark, new_folder(spark, "copies"))
+    tables = settlement_feed.keep_touched(arriving, spark, new_folder(spark, "copies"), STREAM_BUCKETS, ARRIVALS // 2)
     return plain(settlement_feed.duplicate_findings(facts.settlements, facts.orders, tables["touched"].read(spark)))
 
 
@@ -390,10 +402,10 @@ def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every event delivered twice, each kept once, over several micro-batches."""
     sent = spark.read.schema("key string, value string").json(_published(spark, folder))
     twice = new_folder(spark, "delivered-twice")
-    sent.unionByName(sent).repartition(3, F.rand(5)).write.parquet(twice)
-    taken = event_feed.consumed(spark, new_folder(spark, "consumed"))
+    sent.unionByName(sent).repartition(ARRIVALS, F.rand(5)).write.parquet(twice)
+    taken = event_feed.consumed(spark, new_folder(spark, "consumed"), STREAM_BUCKETS)
     event_feed.consume_once(jobs.table_stream(spark, twice, sent.schema, files_per_trigger=1), taken)
-    return plain(taken.read(spark))
+    return plain(taken.read_last(spark))
 
 
 def _windows(build: Callable[[DataFrame], DataFrame]) -> Query:

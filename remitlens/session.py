@@ -47,10 +47,27 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path of the cluster's file system, and that file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it, if it is there."""
+    found, system = _folder(spark, path)
+    system.delete(found, True)
+
+
+def names_in(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files and folders of a folder; none if it is not there."""
+    found, system = _folder(spark, path)
+    return {status.getPath().getName() for status in system.listStatus(found)} if system.exists(found) else set()
+
+
 def remove_written(spark: SparkSession) -> None:
     """Delete all that this application has written below the shared folder, once its results are no longer read."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove_folder(spark, own_folder(spark))
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:

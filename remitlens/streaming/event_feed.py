@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from remitlens.operators.reconcile import list_discrepancies
 from remitlens.sources.events import EVENT_SCHEMA, PRODUCER_OPTIONS, TOPIC, event_messages, event_rows, parse_messages
-from remitlens.streaming.jobs import EpochTable, each_batch
+from remitlens.streaming.jobs import BUCKETS, KeyedTable, each_batch
 
 
 def outgoing_messages(outcome_rows: DataFrame, detected_at: datetime.datetime) -> DataFrame:
@@ -29,23 +29,23 @@ def publish_stream(messages: DataFrame, bootstrap_servers: str, checkpoint: str,
     )
 
 
-def consumed(spark: SparkSession, folder: str) -> EpochTable:
+def consumed(spark: SparkSession, folder: str, buckets: int = BUCKETS) -> KeyedTable:
     """The events taken so far."""
-    return EpochTable(spark, folder, EVENT_SCHEMA)
+    return KeyedTable(spark, folder, EVENT_SCHEMA, "idempotency_key", buckets)
 
 
-def consume_once(messages: DataFrame, taken: EpochTable) -> None:
+def consume_once(messages: DataFrame, taken: KeyedTable) -> None:
     """Take each event at its first delivery, however late that or a repeat of it comes.
 
-    A micro-batch is folded by key and compared with the stored events of its own keys. Nothing is kept in memory
+    A micro-batch is folded by key and compared with the stored events of its own buckets. Nothing is kept in memory
     between micro-batches, and no first delivery is too old.
     """
 
     def take(batch: DataFrame, epoch: int) -> None:
-        fresh = parse_messages(batch).dropDuplicates(["idempotency_key"])
-        # Stored keys shrink to the micro-batch's before they are compared, so they need no shuffle while it is small.
-        stored = taken.read(batch.sparkSession, before=epoch).select("idempotency_key")
-        known = stored.join(fresh.select("idempotency_key"), "idempotency_key", "left_semi")
-        taken.write(fresh.join(known, "idempotency_key", "left_anti"), epoch)
+        session, sent = batch.sparkSession, parse_messages(batch)
+        taken.begin(session, epoch)
+        fresh = sent.dropDuplicates(["idempotency_key"])
+        stored = taken.read(session, epoch, taken.buckets_of(sent))
+        taken.write(fresh.join(stored.select("idempotency_key"), "idempotency_key", "left_anti"), epoch)
 
     each_batch(messages, take, f"{taken.path}-progress")

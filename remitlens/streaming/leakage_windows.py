@@ -39,6 +39,6 @@ def weekly_leakage(outcome_rows: DataFrame) -> DataFrame:
 
 def keep_windows(windows: DataFrame, spark: SparkSession, folder: str) -> EpochTable:
     """Write the windows after each micro-batch; the last one's are the present totals."""
-    table = EpochTable(spark, folder, windows.schema)
+    table = EpochTable(spark, folder, windows.schema, keep=2)
     each_batch(windows, table.write, f"{folder}-progress", "complete")
     return table

@@ -1,13 +1,15 @@
 import datetime
+import re
 from functools import reduce
 
 import pytest
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from remitlens.operators.reconcile import outcomes, reconcile
 from remitlens.plans import kpis
 from remitlens.plans.warehouse import BenchmarkWarehouse
-from remitlens.session import new_folder
+from remitlens.session import names_in, new_folder
 from remitlens.sources import events
 from remitlens.streaming import event_feed, jobs, leakage_windows, settlement_feed
 from tests.conftest import SMALL, day
@@ -25,32 +27,119 @@ def arriving(spark, name, *parts):
     return jobs.table_stream(spark, path, parts[0].schema, files_per_trigger=1)
 
 
+NOT_COPIES = "discrepancy_type <> 'DUPLICATE_SETTLEMENT'"
+
+
+def files_of(df) -> set[str]:
+    """The buckets that a frame's files lie in."""
+    return {path.partition("/bucket=")[2].partition("/")[0] for path in df.inputFiles()}
+
+
 def test_per_row_rules_equal_the_batch(spark, orders_of, settlements_of):
     orders = orders_of(*[dict(awb_number=f"A{i}") for i in range(5)])
     first = settlements_of(dict(awb_number="A0", rto_charge=150), dict(awb_number="A1"), dict(awb_number="X"))
     second = settlements_of(dict(awb_number="A2", settlement_date=day(20)), dict(awb_number="A0", batch_id="B2"))
-    stream = arriving(spark, "arriving", first, second)
-    found = settlement_feed.check_against_table(stream, orders, spark, new_folder(spark, "found")).read(spark)
-    batch = reconcile(first.unionByName(second), orders).where("discrepancy_type <> 'DUPLICATE_SETTLEMENT'")
-    assert rows_of(found) == rows_of(batch)
+    book = settlement_feed.order_book(spark, new_folder(spark, "orders"))
+    settlement_feed.add_orders(book, orders, 0)
+    tables = settlement_feed.check_against_table(arriving(spark, "arriving", first, second), book, spark, new_folder(spark, "found"))
+    batch = reconcile(first.unionByName(second), orders).where(NOT_COPIES)
+    assert rows_of(tables["found"].read(spark)) == rows_of(batch)
+    assert [r.awb_number for r in tables["waiting"].read_last(spark).collect()] == ["X"]
 
 
-def test_orders_and_settlements_in_any_order(spark, orders_of, settlements_of):
-    orders = [orders_of(dict(awb_number="A0")), orders_of(dict(awb_number="A2"), dict(awb_number="A4")), orders_of(dict(awb_number="A1"))]
+def test_settlements_before_their_order_are_found_once_it_is_stored(spark, orders_of, settlements_of):
+    book, folder, path = (settlement_feed.order_book(spark, new_folder(spark, "orders"), 4), new_folder(spark, "found"), new_folder(spark, "arriving"))
+    parts = [
+        (orders_of(dict(awb_number="A0")), settlements_of(dict(awb_number="A0", rto_charge=150), dict(awb_number="A1", rto_charge=90))),
+        (orders_of(dict(awb_number="A0", cod_amount=9000)), settlements_of(dict(awb_number="A1", batch_id="B2", rto_charge=70))),
+        (orders_of(dict(awb_number="A1"), dict(awb_number="A2")), settlements_of(dict(awb_number="A3", rto_charge=5))),
+    ]
+    waiting = []
+    for number, (orders, settled) in enumerate(parts):
+        settlement_feed.add_orders(book, orders, number)
+        settled.coalesce(1).write.mode("append").parquet(path)
+        tables = settlement_feed.check_against_table(jobs.table_stream(spark, path, settled.schema), book, spark, folder)
+        waiting.append(sorted(str(r.awb_number) for r in tables["waiting"].read_last(spark).collect()))
+    # An order that comes again does not change what was found, nor repeat it.
+    orders = parts[0][0].unionByName(parts[2][0])
+    whole = reduce(DataFrame.unionByName, [settled for _, settled in parts])
+    assert rows_of(tables["found"].read(spark)) == rows_of(reconcile(whole, orders).where(NOT_COPIES))
+    assert waiting == [["A1"], ["A1", "A1"], ["A3"]]
+
+
+@pytest.mark.parametrize("generation", [2, 32])
+def test_orders_and_settlements_in_any_order(spark, orders_of, settlements_of, generation):
+    orders = [
+        orders_of(dict(awb_number="A0")), orders_of(dict(awb_number="A2"), dict(awb_number="A4")), orders_of(dict(awb_number="A1")),
+        orders_of(dict(awb_number="A0", cod_amount=5000), dict(awb_number="A9")), orders_of(dict(awb_number="A7")),
+    ]
     settled = [
         settlements_of(dict(awb_number="A1", rto_charge=150), dict(awb_number="A2", settlement_date=day(900))),
         settlements_of(dict(awb_number="A0", settlement_date=day(-3), rto_charge=90), dict(awb_number="A3", rto_charge=5)),
         settlements_of(dict(awb_number="A1", batch_id="B2", rto_charge=70)),
-        settlements_of(dict(awb_number="A4", rto_charge=10)),
+        settlements_of(dict(awb_number="A4", rto_charge=10), dict(awb_number="A7", rto_charge=20)),
+        settlements_of(dict(awb_number="A4", batch_id="B7", rto_charge=10)),
     ]
+    folder = new_folder(spark, "joined")
     tables = settlement_feed.check_against_stream(
-        arriving(spark, "settled", *settled), arriving(spark, "orders", *orders), spark, new_folder(spark, "joined")
+        arriving(spark, "settled", *settled), arriving(spark, "orders", *orders), spark, folder, 4, generation
     )
-    whole = [reduce(DataFrame.unionByName, parts) for parts in (settled, orders)]
-    batch = reconcile(*whole).where("discrepancy_type <> 'DUPLICATE_SETTLEMENT'")
-    # A settlement before its order, one years after it and one that waited are all found, each once.
+    first = [parts.where("cod_amount = 1000") for parts in orders]
+    batch = reconcile(*[reduce(DataFrame.unionByName, parts) for parts in (settled, first)]).where(NOT_COPIES)
+    # A settlement before its order, one years after it, one that waited and one whose order came twice: each found once.
     assert rows_of(tables["found"].read(spark)) == rows_of(batch)
-    assert "A3" in {r.awb_number for r in tables["waiting"].read(spark).collect()}
+    assert [r.awb_number for r in settlement_feed.still_waiting(tables, spark).collect()] == ["A3"]
+    # A generation keeps only what still waits.
+    if generation == 2:
+        tables["late"].begin(spark, 6)
+        tables["orders"].begin(spark, 6)
+        assert [r.awb_number for r in tables["late"].read_last(spark).collect()] == ["A3"]
+
+
+def numbers(spark, *keys):
+    return spark.createDataFrame([(f"K{k}", k) for k in keys], "k string, n int")
+
+
+def test_a_micro_batch_opens_its_own_buckets_only(spark):
+    table = jobs.KeyedTable(spark, new_folder(spark, "keyed"), "k string, n int", "k", 32)
+    for epoch in range(3):
+        table.begin(spark, epoch)
+        table.write(numbers(spark, *range(300)), epoch)
+    few = table.buckets_of(numbers(spark, 5, 9))
+    rows = table.read(spark, 3, few)
+    assert 1 <= len(few) <= 2 and files_of(rows) == {str(b) for b in few}
+    assert rows.where("k = 'K5'").count() == 3 and len(files_of(table.read(spark, 3))) == 32
+    # The scan is of these folders, and of the micro-batches before by their folders too.
+    plan = table.read(spark, 2, few)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(epoch#\d+\), \(epoch#\d+ < 2\)\]", plan)
+    assert table.read(spark, 3, [b for b in range(32) if b not in table.buckets_of(numbers(spark, *range(300)))]).count() == 0
+
+
+def test_later_micro_batches_open_no_more_files(spark):
+    """Keys that come once: what a micro-batch opens depends on its keys, not on how many came before."""
+    table, opened = jobs.KeyedTable(spark, new_folder(spark, "keyed"), "k string, n int", "k", 64, 5), []
+    for epoch in range(20):
+        fresh = numbers(spark, epoch, epoch + 100)
+        table.begin(spark, epoch)
+        opened.append(len(table.read(spark, epoch, table.buckets_of(fresh)).inputFiles()))
+        table.write(fresh, epoch)
+    assert max(opened) <= 6 and table.read_last(spark).count() == 40
+
+
+def test_generations_bound_the_files_and_may_be_tried_again(spark):
+    add_up = lambda rows, last: rows.groupBy("k").agg(F.sum("n").cast("int").alias("n"))
+    table = jobs.KeyedTable(spark, new_folder(spark, "keyed"), "k string, n int", "k", 2, 3, add_up)
+    for epoch in range(8):
+        for _ in range(2):  # every micro-batch is tried twice
+            table.begin(spark, epoch)
+            before = table.read(spark, epoch).agg(F.sum("n")).first()[0]
+            table.write(numbers(spark, 1, 2), epoch)
+        assert (before or 0) == 3 * epoch
+    assert sorted(map(tuple, add_up(table.read_last(spark), 0).collect())) == [("K1", 8), ("K2", 16)]
+    again = jobs.KeyedTable(spark, table.path, "k string, n int", "k", 2, 3, add_up)
+    assert again.read_last(spark).agg(F.sum("n")).first()[0] == 24
+    assert names_in(spark, table.path) == {"generation=1", "generation=2"}
+    assert len(table.read_last(spark).inputFiles()) <= 2 * 3
 
 
 def test_a_late_copy_flags_the_earlier_one(spark, orders_of, settlements_of):
@@ -65,7 +154,7 @@ def test_a_late_copy_flags_the_earlier_one(spark, orders_of, settlements_of):
     for part in parts:
         part.write.mode("append").parquet(path)
         stream = jobs.table_stream(spark, path, part.schema)
-        touched = settlement_feed.keep_touched(stream, spark, folder)["touched"].read(spark)
+        touched = settlement_feed.keep_touched(stream, spark, folder, 4, 2)["touched"].read(spark)
         seen = part if seen is None else seen.unionByName(part)
         now = settlement_feed.duplicate_findings(seen, orders, touched)
         assert rows_of(now) == rows_of(reconcile(seen, orders).where("discrepancy_type = 'DUPLICATE_SETTLEMENT'"))
@@ -93,7 +182,7 @@ def test_events_are_taken_once_however_late(spark, orders_of, settlements_of):
     ]
     taken = event_feed.consumed(spark, new_folder(spark, "taken"))
     event_feed.consume_once(arriving(spark, "delivered", *parts), taken)
-    got = taken.read(spark).collect()
+    got = taken.read_last(spark).collect()
     assert sorted(r.idempotency_key for r in got) == [f"{a}|B1|PHANTOM_RTO_CHARGE" for a in "ABC"]
 
 
