@@ -115,8 +115,8 @@ def _batch_rerun(spark: SparkSession, folder: str) -> DataFrame:
     """Reconcile everything, then one batch again: the stored table must not change."""
     facts = BenchmarkWarehouse(spark, folder)
     store = TableStore(spark, new_folder(spark, "store"))
-    store.write_outcomes(rec.outcomes(facts.settlements, facts.orders))
-    store.write_outcomes(rec.outcomes(facts.settlements, facts.orders, "RUN-1997"), "RUN-1997")
+    for batch in (None, "RUN-1997"):
+        cycle.reconcile_into(store, facts.settlements, facts.orders, batch)
     return _by_batch_and_type(rec.list_discrepancies(store.read("outcomes")))
 
 
@@ -138,12 +138,11 @@ def _batch_rerun_changed(spark: SparkSession, folder: str) -> DataFrame:
         right.where(~F.col("batch_id").isin(*ODD_BATCHES.values()))
     )
     store = TableStore(spark, new_folder(spark, "store"))
-    store.write_outcomes(rec.outcomes(wrong, facts.orders))
+    cycle.reconcile_into(store, wrong, facts.orders)
     for batch in ODD_BATCHES.values():
-        store.write_outcomes(rec.outcomes(right, facts.orders, batch), batch)
-    # Copies are counted over all settlements, so batches that were not run again keep the copies of the first run.
-    found = rec.list_discrepancies(store.read("outcomes"))
-    return _by_batch_and_type(found.where(F.col("discrepancy_type") != "DUPLICATE_SETTLEMENT"))
+        cycle.reconcile_into(store, right, facts.orders, batch)
+    # Copies are those of all batches as they are then, so batches that were not run again keep those of the first run.
+    return _by_batch_and_type(rec.list_discrepancies(store.read("outcomes")))
 
 
 def _attached_trend(spark: SparkSession, folder: str) -> DataFrame:

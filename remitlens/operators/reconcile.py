@@ -38,8 +38,8 @@ def match_orders(settlements: DataFrame, orders: DataFrame, batch_id: str | None
                  skew: SkewSettings = SKEW, counts: DataFrame | None = None) -> DataFrame:
     """Each settlement with its order (null columns if unknown) and its number of copies.
 
-    Copies are counted over all settlements, also when only one batch is matched; ``counts`` brings
-    known copies per AWB, where an AWB it lacks has one.
+    Copies are counted over all settlements, also when only one batch is matched; ``counts`` brings known copies per AWB,
+    where an AWB it lacks has one, and then only the batch's settlements are read.
     """
     keys = ["awb_number"]
     if counts is None:
@@ -50,6 +50,8 @@ def match_orders(settlements: DataFrame, orders: DataFrame, batch_id: str | None
     rows = settlements.select(*SETTLEMENT_COLUMNS)
     if batch_id is not None:
         rows = rows.where(F.col("batch_id") == batch_id)
+        # Few AWBs of all: orders shrink to them before they meet.
+        orders = orders.join(rows.select(*keys).distinct(), keys, "left_semi")
     rows = spread_rows(rows, heavy, keys, F.col("settlement_id"), skew)
     partners = repeat_rows(order_side(orders), heavy, keys, skew)
     repeated = repeat_rows(counts.where(F.col("copies") > 1), heavy, keys, skew)
@@ -97,9 +99,9 @@ def match_for(settlements: DataFrame, orders: DataFrame, names: tuple[str, ...],
 
 
 def outcomes(settlements: DataFrame, orders: DataFrame, batch_id: str | None = None, rules: RuleSettings = RULES,
-             skew: SkewSettings = SKEW) -> DataFrame:
-    """One row per settlement: its order, its copies and its discrepancies."""
-    return with_disputes(match_orders(settlements, orders, batch_id, skew), rules)
+             skew: SkewSettings = SKEW, counts: DataFrame | None = None) -> DataFrame:
+    """One row per settlement: its order, its copies (known ones, if given) and its discrepancies."""
+    return with_disputes(match_orders(settlements, orders, batch_id, skew, counts), rules)
 
 
 def _identified(rows: DataFrame) -> DataFrame:

@@ -1,23 +1,22 @@
-"""Parquet tables in one folder whose parts are replaced by commits.
+"""Parquet tables in one folder, whole ones by version and parts of them by partition.
 
-Data is written to a new folder first and becomes part of the table by one more row in the table's commits, a file of its
-own. A write that fails leaves no such row, so readers go on seeing the table as it was. Batch and day values are data
-and never part of a path; where a table is split by them, the split is on their hexadecimal form.
+A whole table is written to a version folder of its own, which readers take once Spark has marked its end; a write that
+fails leaves the version before. Rows of one value, such as a batch's, are replaced inside of the version by Spark's
+overwrite of single partitions: it moves them in when all tasks have ended, and touches no other partition. Between the
+old rows' leaving and the new ones' coming lies that move alone; a writer that dies in it runs the value again.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMMITS = "version long, schema string, split_by string, folders boolean, parts array<struct<folder:string,without:array<string>>>"
-SPLIT = "_split"
+from remitlens.session import names_in, remove_folder
+
+SPLIT, HELD = "_split", "_held"
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -38,15 +37,20 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def _split_of(value: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("x"), F.hex(F.encode(value.cast("string"), "utf-8"))), F.lit("none"))
+    """A partition name that is never empty nor taken for a number: Spark itself escapes what a path must not hold."""
+    return F.coalesce(F.concat(F.lit("x"), value.cast("string")), F.lit("none"))
 
 
 def _split_name(value: object) -> str:
-    return "none" if value is None else "x" + str(value).encode().hex().upper()
+    return "none" if value is None else f"x{value}"
 
 
 class TableStore:
-    """Named tables below one folder that all executors share; one writer at a time."""
+    """Named tables below one folder that all executors share; one writer at a time.
+
+    Values by which a table is split (``split_by``, a column's name or an expression) should be a bounded number, each
+    with many rows: batches, months, hash buckets.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -54,81 +58,59 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def _latest(self, name: str):
-        try:
-            commits = self.spark.read.schema(COMMITS).json(f"{self.path(name)}/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return commits.orderBy(F.col("version").desc()).limit(1).first()
-
-    def _write_part(self, name: str, df: DataFrame, split_by: str | None, folders: bool) -> str:
-        folder = f"data-{uuid.uuid4().hex}"
-        path = f"{self.path(name)}/{folder}"
+    def _versions(self, name: str) -> list[int]:
+        """Versions whose write has ended."""
+        found = [f for f in names_in(self.spark, self.path(name)) if f.startswith("version=")]
+        return sorted(int(f[8:]) for f in found if "_SUCCESS" in names_in(self.spark, f"{self.path(name)}/{f}"))
+
+    def _last(self, name: str) -> str:
+        versions = self._versions(name)
+        if not versions:
+            raise FileNotFoundError(f"no version of {name} in {self.folder}")
+        return f"{self.path(name)}/version={versions[-1]}"
+
+    def _split(self, df: DataFrame, split_by: str | Column, names: Iterable[str]) -> DataFrame:
+        """The rows with their partition, and a row that holds nothing for each named one, so that it is there if empty."""
+        value = F.col(split_by) if isinstance(split_by, str) else split_by
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+        marks = self.spark.range(1).select(*blank, F.explode(F.array(*map(F.lit, names))).alias(SPLIT), F.lit(False).alias(HELD))
+        return df.withColumns({SPLIT: _split_of(value), HELD: F.lit(True)}).unionByName(marks)
+
+    def write(self, name: str, df: DataFrame, split_by: str | Column | None = None) -> None:
+        """Replace the whole table. The version before stays until the next."""
+        versions = self._versions(name)
+        path = f"{self.path(name)}/version={versions[-1] + 1 if versions else 1}"
         if split_by is None:
             write_table(df, path)
-        elif folders:
-            write_table(df.withColumn(SPLIT, _split_of(F.col(split_by))), path, SPLIT)
         else:
-            # Sorted, so that the files' statistics tell where a value may be.
-            write_table(df.withColumn(SPLIT, _split_of(F.col(split_by))).sortWithinPartitions(SPLIT), path)
-        return folder
-
-    def _commit(self, name: str, schema: T.StructType, split_by: str | None, folders: bool, parts: list, version: int) -> None:
-        row = self.spark.createDataFrame([(version, json.dumps(schema.jsonValue()), split_by, folders, parts)], COMMITS)
-        row.coalesce(1).write.mode("append").json(f"{self.path(name)}/commits")
-
-    def write(self, name: str, df: DataFrame, split_by: str | None = None, folders: bool = True) -> None:
-        """Replace the whole table; ``split_by`` names the column by whose values parts of it will be read or replaced.
-
-        Each value gets a folder of its own, unless ``folders`` is false, as for columns of many values with few rows.
-        """
-        latest = self._latest(name)
-        part = self._write_part(name, df, split_by, folders)
-        self._commit(name, df.schema, split_by, folders, [(part, [])], 1 if latest is None else latest.version + 1)
+            write_table(self._split(df, split_by, ["none"]), path, SPLIT)
+        for old in versions[:-1]:
+            remove_folder(self.spark, f"{self.path(name)}/version={old}")
 
-    def replace(self, name: str, df: DataFrame, values: Iterable[object]) -> None:
-        """Replace the rows of some values of the table's split column by ``df``, which may read the table.
+    def replace(self, name: str, df: DataFrame, split_by: str | Column, values: Iterable[object]) -> None:
+        """Replace the rows of some of the table's values by ``df``, which may read the table.
 
         ``df`` holds rows of these values only. A value of which it has no row has none afterwards.
         """
-        latest = self._latest(name)
-        names = sorted({_split_name(v) for v in values})
-        part = self._write_part(name, df, latest.split_by, latest.folders)
-        parts = [(p.folder, sorted({*p.without, *names})) for p in latest.parts]
-        schema = T.StructType.fromJson(json.loads(latest.schema))
-        self._commit(name, schema, latest.split_by, latest.folders, [*parts, (part, [])], latest.version + 1)
+        rows = self._split(df, split_by, sorted({_split_name(v) for v in values}))
+        writer = rows.hint("rebalance", SPLIT).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(SPLIT).parquet(self._last(name))
 
     def read(self, name: str, *values: object) -> DataFrame:
-        """The table, or its rows of some values of the split column, whose other folders are then not read."""
-        latest = self._latest(name)
-        if latest is None:
-            raise FileNotFoundError(f"no commit of {name} in {self.folder}")
-        schema = T.StructType.fromJson(json.loads(latest.schema))
-        wide = schema if latest.split_by is None else T.StructType([*schema.fields, T.StructField(SPLIT, T.StringType())])
-        whole = None
-        for part in latest.parts:
-            rows = self.spark.read.schema(wide).parquet(f"{self.path(name)}/{part.folder}")
-            if part.without:
-                rows = rows.where(~F.col(SPLIT).isin(*part.without))
-            if values:
-                rows = rows.where(F.col(SPLIT).isin(*[_split_name(v) for v in values]))
-            rows = rows.select(*schema.fieldNames())
-            whole = rows if whole is None else whole.unionByName(rows)
-        return whole
-
-    def compact(self, name: str) -> None:
-        """Write the table's present rows as one part."""
-        latest = self._latest(name)
-        self.write(name, self.read(name), latest.split_by, latest.folders)
+        """The table, or its rows of some values, whose other folders are then not read."""
+        rows = self.spark.read.parquet(self._last(name))
+        if SPLIT not in rows.columns:
+            return rows
+        if values:
+            rows = rows.where(F.col(SPLIT).isin(*[_split_name(v) for v in values]))
+        return rows.where(HELD).drop(SPLIT, HELD)
 
     def write_outcomes(self, outcome_rows: DataFrame, batch_id: str | None = None) -> None:
         """Replace all outcomes, or those of one batch; a batch that lost its rows keeps none."""
         if batch_id is None:
             self.write("outcomes", outcome_rows, "batch_id")
         else:
-            self.replace("outcomes", outcome_rows, [batch_id])
+            self.replace("outcomes", outcome_rows, "batch_id", [batch_id])
 
     def register_views(self, *names: str) -> None:
         """Make stored tables known to ``spark.sql``."""

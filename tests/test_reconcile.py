@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from remitlens.operators import reconcile as rec
 from remitlens.operators import upsert
+from remitlens.plans import cycle
+from remitlens.plans.copies import refresh_copies
 from remitlens.plans.cycle import run_cycle
 from remitlens.plans.warehouse import BenchmarkWarehouse, unstaged_warehouse
-from remitlens.session import new_folder
+from remitlens.session import names_in, new_folder
 from remitlens.settings import SkewSettings
 from remitlens.sources.store import TableStore
 from tests.conftest import SMALL, day
@@ -115,28 +117,93 @@ def test_batches_of_any_name_are_replaced(spark):
     rows = [(b, i, "old") for b in ODD for i in range(3)]
     store = TableStore(spark, new_folder(spark, "store"))
     store.write("t", spark.createDataFrame(rows, "b string, i int, v string"), "b")
+    assert store.read("t", "0023").schema["b"].dataType.typeName() == "string"
     assert rows_of(store.read("t")) == sorted(rows, key=str)
     for batch in ODD:
-        store.replace("t", spark.createDataFrame([(batch, 9, "new")], "b string, i int, v string"), [batch])
+        store.replace("t", spark.createDataFrame([(batch, 9, "new")], "b string, i int, v string"), "b", [batch])
     want = sorted(((b, 9, "new") for b in ODD), key=str)
     assert rows_of(store.read("t")) == want
     assert [tuple(r) for r in store.read("t", "0023").collect()] == [("0023", 9, "new")]
     assert [tuple(r) for r in store.read("t", None).collect()] == [(None, 9, "new")]
-    store.compact("t")
-    assert rows_of(store.read("t")) == want
+    store.replace("t", store.read("t").limit(0), "b", ["a/b", None])
+    assert rows_of(store.read("t")) == [r for r in want if r[0] not in ("a/b", None)]
+    assert rows_of(store.read("t", "a/b")) == []
 
 
 def test_a_failed_write_changes_nothing(spark):
     store = TableStore(spark, new_folder(spark, "store"))
     rows = spark.createDataFrame([("B1", 1), ("B2", 2)], "b string, i int")
-    store.write("t", rows, "b", folders=False)
+    store.write("t", rows, "b")
     broken = rows.where("b = 'B1'").withColumn("i", F.raise_error(F.lit("lost")).cast("int"))
-    for write in (lambda: store.replace("t", broken, ["B1"]), lambda: store.write("t", broken, "b")):
+    for write in (lambda: store.replace("t", broken, "b", ["B1"]), lambda: store.write("t", broken, "b")):
         with pytest.raises(Exception, match="lost"):
             write()
         assert rows_of(store.read("t")) == [("B1", 1), ("B2", 2)]
-    store.replace("t", store.read("t").where("b = 'B1'").withColumn("i", F.lit(5)), ["B1"])
+    store.replace("t", store.read("t", "B1").withColumn("i", F.lit(5)), "b", ["B1"])
     assert rows_of(store.read("t")) == [("B1", 5), ("B2", 2)]
+    # Only the last two versions stay.
+    for i in range(3):
+        store.write("t", rows.withColumn("i", F.lit(i)), "b")
+    assert rows_of(store.read("t")) == [("B1", 2), ("B2", 2)]
+    assert len([n for n in names_in(spark, store.path("t")) if n.startswith("version=")]) <= 3
+
+
+def test_one_value_reads_its_partition(spark):
+    store = TableStore(spark, new_folder(spark, "store"))
+    store.write("t", spark.createDataFrame([(f"B{i}", i) for i in range(20)], "b string, i int"), "b")
+    assert len(store.read("t", "B3").inputFiles()) == 21
+    plan = store.read("t", "B3")._jdf.queryExecution().executedPlan().toString()
+    assert "(_split#" in plan and "= xB3" in plan and plan.count("PartitionFilters: []") == 0
+
+
+def counts_of(store):
+    return {(r.awb_number, r.batch_id): r.copies for r in store.read("copies").collect()}
+
+
+def test_copies_are_kept_by_batch_and_changed_by_difference(spark, orders_of, settlements_of):
+    orders = orders_of(*[dict(awb_number=f"A{i}") for i in range(6)])
+    rows = [dict(awb_number=f"A{i % 6}", batch_id=f"B{i % 4}") for i in range(24)]
+    settled = settlements_of(*rows)
+    store = TableStore(spark, new_folder(spark, "store"))
+    cycle.reconcile_into(store, settled, orders)
+    assert rows_of(rec.list_discrepancies(store.read("outcomes"))) == rows_of(rec.reconcile(settled, orders))
+    # Batch B2 loses an AWB, gains another and gets a third copy of a third.
+    changed = [dict(awb_number=a, batch_id="B2") for a in ("A1", "A4", "A4", "A4")]
+    now = settlements_of(*[r for r in rows if r["batch_id"] != "B2"], *changed)
+    for _ in range(2):
+        cycle.reconcile_into(store, now, orders, "B2")
+        want = {}
+        for r in now.collect():
+            want[r.awb_number, r.batch_id] = want.get((r.awb_number, r.batch_id), 0) + 1
+        assert counts_of(store) == want
+        got = rec.list_discrepancies(store.read("outcomes", "B2"))
+        assert rows_of(got) == rows_of(rec.reconcile(now, orders, "B2"))
+    cycle.reconcile_into(store, now.where("batch_id <> 'B2'"), orders, "B2")
+    assert not [key for key in counts_of(store) if key[1] == "B2"] and store.read("outcomes", "B2").count() == 0
+
+
+def test_an_unchanged_batch_writes_no_counts(spark, orders_of, settlements_of):
+    store = TableStore(spark, new_folder(spark, "store"))
+    settled = settlements_of(*[dict(awb_number=f"A{i}", batch_id=f"B{i % 3}") for i in range(30)])
+    cycle.reconcile_into(store, settled, orders_of(dict(awb_number="A0")))
+    before = sorted(store.read("copies").inputFiles())
+    cycle.reconcile_into(store, settled, orders_of(dict(awb_number="A0")), "B1")
+    assert sorted(store.read("copies").inputFiles()) == before
+    more = settled.unionByName(settlements_of(dict(awb_number="A1", batch_id="B1", settlement_id="T")))
+    cycle.reconcile_into(store, more, orders_of(dict(awb_number="A0")), "B1")
+    assert len(set(store.read("copies").inputFiles()) - set(before)) == 1
+
+
+def test_one_batch_reads_its_own_settlements(spark, benchmark):
+    """Neither the counts nor the outcomes of one batch scan the settlements of another."""
+    wh, store = BenchmarkWarehouse(spark, SMALL), TableStore(spark, new_folder(spark, "store"))
+    cycle.reconcile_into(store, wh.settlements, wh.orders)
+    copies = refresh_copies(store, wh.settlements, "RUN-1997")
+    plan = rec.outcomes(wh.settlements, wh.orders, "RUN-1997", counts=copies)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "settlement_id#" in line and "FileScan" in line]
+    scans += [line for line in plan.splitlines() if "FileScan" in line and "/settlements-" in line]
+    assert scans and all("= RUN-1997)" in line.partition("PartitionFilters")[2] for line in scans)
+    assert "LeftSemi" in plan
 
 
 def test_a_cycle_refreshes_mart_and_events(spark, orders_of, settlements_of):
