@@ -26,6 +26,7 @@ from remitlens.plans import (  # noqa: E402
     marketplace,
     marts,
     measures,
+    periods,
     segments,
 )
 from remitlens.plans.warehouse import (  # noqa: E402
@@ -515,6 +516,14 @@ def warehouse_queries() -> dict[str, Query]:
             lambda wh: measures.measures_overview(wh, marts.daily_kpis(wh), "AMERICA", "Tier-3", "LOW")
         ),
         "leakage_vs_week_before": on(lambda wh: measures.leakage_vs_week_before(marts.daily_kpis(wh))),
+        # What was in force, and seasons.
+        "tariff_in_force": lambda spark, folder: plain(
+            periods.charged_and_agreed(BenchmarkWarehouse(spark, folder).settlements, BenchmarkTables(spark, folder).tariffs())
+        ),
+        "season_kpis": lambda spark, folder: plain(
+            periods.seasons_kpis(BenchmarkWarehouse(spark, folder).outcomes, BenchmarkTables(spark, folder).seasons())
+        ),
+        "overdue_intervals": facts(periods.overdue_settlements),
         # Statistics.
         "welch_weight": on(
             lambda wh: hypotheses.weight_inflation_test(wh, "AMERICA", "Tier-3")

@@ -424,6 +424,32 @@ from (
     from fact_settlements)
   where {left} and case when batch_id in ('RUN-1996','RUN-1997','RUN-1998') then after else before end > 1)
 group by 1, 2"""
+    )
+    sql["tariff_in_force"] = _with(
+        """select s.settlement_id, cast(s.courier_id as bigint) courier_id, cast(s.settlement_date as varchar) settlement_date,
+  cast(t.effective_from as varchar) effective_from, cast(t.agreed_rate as double) agreed_rate,
+  case when t.agreed_rate is not null then cast(greatest(s.forward_charge - t.agreed_rate, 0) as double) end beyond_rs
+from fact_settlements s asof left join (
+  select cast(o_orderkey%5+1 as int) courier_id, cast(o_orderdate as date) effective_from,
+    cast(max(30+o_orderkey%61) as decimal(10,2)) agreed_rate from orders where o_orderkey%97=0 group by 1, 2) t
+on t.courier_id=s.courier_id and t.effective_from<=s.settlement_date"""
+    )
+    sql["season_kpis"] = _with(
+        """select cast(s.courier_id as bigint) courier_id, cast(season_start as varchar) season_start,
+  cast(season_end as varchar) season_end, count(*) settlements, cast(sum(n) as bigint) disputes, cast(sum(rs) as double) leakage_rs
+from (select distinct cast(o_orderkey%5+1 as int) courier_id, cast(o_orderdate as date)-3 season_start,
+    cast(o_orderdate as date) + cast(case when o_orderkey%10=0 then 1500 else o_orderkey%40 end as int) season_end
+  from orders where o_orderkey%83=0) z
+join (select s.settlement_id, s.courier_id, s.settlement_date, count(d.discrepancy_id) n, coalesce(sum(d.variance_rs),0) rs
+  from fact_settlements s left join fact_discrepancies d on d.awb_number=s.awb_number and d.batch_id=s.batch_id group by 1, 2, 3) s
+on s.courier_id=z.courier_id and s.settlement_date between season_start and season_end
+group by 1, 2, 3"""
+    )
+    sql["overdue_intervals"] = _with(
+        """select s.settlement_id, s.awb_number, cast(s.settlement_date as varchar) settlement_date,
+  cast(s.settled_cod as double) settled_cod, cast(o.order_date+15 as varchar) overdue_from, cast(o.order_date+28 as varchar) overdue_to
+from fact_settlements s join fact_orders o on o.awb_number=s.awb_number
+  and s.settlement_date between o.order_date+15 and o.order_date+28"""
     )
     sql["attached_trend"] = _with(f"""select cast(s.settlement_date as varchar) kpi_date, {_TREND}
 from {S_D} group by 1""")
