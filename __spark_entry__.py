@@ -16,7 +16,7 @@ sys.path.insert(0, HERE)
 
 import oracle_queries  # noqa: E402
 from remitlens.functions.numbers import half_even  # noqa: E402
-from remitlens.operators import quality, reconcile as rec, upsert  # noqa: E402
+from remitlens.operators import cubes, multisets, quality, reconcile as rec, upsert  # noqa: E402
 from remitlens.plans import (  # noqa: E402
     cycle,
     forecast,
@@ -28,6 +28,7 @@ from remitlens.plans import (  # noqa: E402
     measures,
     periods,
     segments,
+    sketches,
 )
 from remitlens.plans.warehouse import (  # noqa: E402
     BenchmarkWarehouse,
@@ -43,7 +44,7 @@ from remitlens.settings import DISCREPANCY_TYPES  # noqa: E402
 from remitlens.sources import csv_tables, events, exports  # noqa: E402
 from remitlens.sources.benchmark_tables import AS_OF, BenchmarkTables  # noqa: E402
 from remitlens.sources.store import TableStore  # noqa: E402
-from remitlens.streaming import event_feed, jobs, leakage_windows, settlement_feed  # noqa: E402
+from remitlens.streaming import bursts, event_feed, jobs, leakage_windows, settlement_feed  # noqa: E402
 
 try:  # the text operators and their pipeline are one part of the library that may be taken out
     import corpus_pipeline
@@ -331,6 +332,51 @@ def _whole_run(spark: SparkSession, folder: str) -> DataFrame:
     return plain(rows.withColumns({c: F.col(c).cast(kind) for c, kind in wide.items()}))
 
 
+def _whole_run_results(spark: SparkSession, folder: str) -> DataFrame:
+    """What a run from CSV files leaves beside its exports: its events as read back, its summary and its violations."""
+    source, out = new_folder(spark, "source"), new_folder(spark, "run")
+    for name, table in _tables(spark, folder).items():
+        table.write.options(header=True, quote='"', escape='"').csv(f"{source}/{name}.csv")
+    run = cycle.run_all(spark, source, out, AS_OF, DETECTED_AT)
+    sent = events.parse_messages(spark.read.text(f"{out}/events/version=1")).groupBy("discrepancy_type").agg(
+        F.count(F.lit(1)).alias("found"), F.sum("variance_rs").alias("amount")
+    )
+    listed = lambda df, part, name, found, amount: df.select(
+        F.lit(part).alias("part"), F.col(name).alias("name"), F.col(found).alias("found"), amount.cast("double").alias("amount")
+    )
+    parts = [
+        listed(sent, "events", "discrepancy_type", "found", F.round("amount", 2)),
+        listed(run["summary"], "summary", "discrepancy_type", "cases", F.col("leakage_rs")),
+        listed(run["violations"], "violations", "check_name", "violations", F.lit(None)),
+    ]
+    return plain(parts[0].unionAll(parts[1]).unionAll(parts[2]))
+
+
+def _run_difference(spark: SparkSession, folder: str) -> DataFrame:
+    """The discrepancies of a batch before and after a correction: a courier left out, another charged less, one copy twice."""
+    facts = BenchmarkWarehouse(spark, folder)
+    right = rec.reconcile(facts.settlements, facts.orders, "RUN-1996")
+    kept = right.where(F.col("courier_id") != 1)
+    dearer = F.when(F.col("courier_id") == 2, F.col("variance_rs") + 10).otherwise(F.col("variance_rs")).cast("decimal(12,2)")
+    before = kept.withColumn("variance_rs", dearer).unionByName(kept.where(F.col("courier_id") == 3))
+    return plain(multisets.difference(before, right, ["discrepancy_id"]))
+
+
+def _discrepancy_cube(wh: Warehouse) -> DataFrame:
+    found = wh.with_tier(wh.named_courier(wh.discrepancies))
+    dims = ["courier_name", "tier", "discrepancy_type", "severity"]
+    return cubes.grouped(found, dims, "awb_number", {"leakage_rs": F.sum("variance_rs")}).select(
+        "grouping_id", *dims, F.col("rows_n").alias("cases"), F.col("distinct_n").alias("awbs"), "leakage_rs"
+    )
+
+
+def _sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """From a written mart of sketches, for some years."""
+    wh = BenchmarkWarehouse(spark, folder)
+    mart = written(sketches.sketch_mart(wh), "sketch-mart")
+    return plain(sketches.sketch_check(wh, mart, datetime.date(1994, 3, 1), datetime.date(1997, 10, 31)))
+
+
 def _nested_treemap(wh: Warehouse) -> DataFrame:
     """The children of each type as text, in order."""
     return kpis.nested_treemap(wh).select(
@@ -390,7 +436,9 @@ def _stream_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 def _published(spark: SparkSession, folder: str) -> str:
     messages = event_feed.outgoing_messages(_arriving(BenchmarkWarehouse(spark, folder), "outcomes"), DETECTED_AT)
-    return jobs.run_available(messages, "published", fmt="json")
+    path = new_folder(spark, "published")
+    event_feed.publish_stream(messages, event_feed.FolderSink(path), f"{path}-progress")
+    return path
 
 
 def _event_publication(spark: SparkSession, folder: str) -> DataFrame:
@@ -416,6 +464,12 @@ def _windows(build: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def _bursts(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of random days, so that sessions grow at both ends and meet."""
+    arriving = _arriving(BenchmarkWarehouse(spark, folder), "outcomes", 6)
+    return plain(leakage_windows.keep_windows(bursts.bursts(arriving), spark, new_folder(spark, "bursts")).read_last(spark))
+
+
 def warehouse_queries() -> dict[str, Query]:
     on, facts, market = _on_warehouse, _on_facts, _on_market
     found: dict[str, Query] = {
@@ -441,6 +495,8 @@ def warehouse_queries() -> dict[str, Query]:
         "calendar_growth": _calendar_growth,
         "dq_results": _result_checks,
         "whole_run": _whole_run,
+        "whole_run_results": _whole_run_results,
+        "run_difference": _run_difference,
         "analyst_sql": _analyst_sql,
         "discrepancy_events": _events(),
         "batch_events": _events("RUN-1996"),
@@ -473,6 +529,8 @@ def warehouse_queries() -> dict[str, Query]:
         "rca_workbench": on(lambda wh: kpis.rca_workbench(wh, tier="Tier-3")),
         "rca_workbench_courier": on(lambda wh: kpis.rca_workbench(wh, courier="ASIA")),
         "rca_rollup": on(kpis.rca_rollup),
+        "discrepancy_cube": on(_discrepancy_cube),
+        "sketch_check": _sketches,
         "leakage_by_type": on(lambda wh: kpis.leakage_by(wh, "discrepancy_type")),
         "leakage_by_courier": on(lambda wh: kpis.leakage_by(wh, "courier_name")),
         "leakage_by_tier": on(lambda wh: kpis.leakage_by(wh, "tier")),
@@ -511,6 +569,14 @@ def warehouse_queries() -> dict[str, Query]:
         "json_trend": _json_of("trend"),
         "json_scorecard": _json_of("scorecard"),
         "json_rca_cells": _json_of("rca_cells"),
+        "json_kpis": _json_of("kpis"),
+        "json_pareto": _json_of("pareto"),
+        "json_funnel": _json_of("funnel"),
+        "json_merchants": _json_of("merchants"),
+        "json_tier_entry": _json_of("tier_entry"),
+        "json_forecast": _json_of("forecast"),
+        "csv_courier_scorecard": _csv_of(_report_frames, "courier_scorecard"),
+        "csv_merchant_health": _csv_of(_report_frames, "merchant_health"),
         "measures_overview": on(lambda wh: measures.measures_overview(wh, marts.daily_kpis(wh))),
         "measures_sliced": on(
             lambda wh: measures.measures_overview(wh, marts.daily_kpis(wh), "AMERICA", "Tier-3", "LOW")
@@ -563,6 +629,7 @@ def warehouse_queries() -> dict[str, Query]:
         "event_publication": _event_publication,
         "stream_daily": _windows(leakage_windows.daily_leakage),
         "stream_weekly": _windows(leakage_windows.weekly_leakage),
+        "stream_bursts": _bursts,
     }
     for kind in DISCREPANCY_TYPES:
         found[f"rule_{kind.lower()}"] = _one_rule(kind)

@@ -889,6 +889,64 @@ from (select cast(sum(late_orders) as double)/sum(orders) late_rate from monthly
     sql["json_trend"] = sql["weekly_trend"]
     sql["json_scorecard"] = sql["scorecard_export"]
     sql["json_rca_cells"] = sql["rca_cells_export"]
+    sql["json_kpis"] = sql["header_kpis_dso"]
+    sql["json_pareto"] = sql["pareto_export"]
+    sql["json_funnel"] = sql["funnel"]
+    sql["json_merchants"] = sql["csv_merchant_health"] = sql["merchant_health"]
+    sql["json_tier_entry"] = sql["tier_entry_export"]
+    sql["json_forecast"] = sql["actual_and_forecast"]
+    sql["csv_courier_scorecard"] = sql["scorecard_export"]
+    sql["whole_run_results"] = _with(
+        f"""select 'events' part, discrepancy_type as name, count(*) found, cast(sum(variance_rs) as double) amount
+from fact_discrepancies group by 2
+union all select 'summary', discrepancy_type, count(*), cast(sum(variance_rs) as double) from fact_discrepancies group by 2
+union all select 'violations', check_name, violations, null from ({_dq()})
+union all select 'violations', check_name, violations, null from ({_dq_results()})""", MART
+    )
+    sql["run_difference"] = _with(
+        """, right_run as (select * from fact_discrepancies where batch_id='RUN-1996'),
+before_run as (
+  select * replace (cast(case when courier_id=2 then variance_rs+10 else variance_rs end as decimal(12,2)) as variance_rs)
+  from right_run where courier_id<>1
+  union all select * from right_run where courier_id=3),
+gained as (select *, count(*) times from (select * from right_run except all select * from before_run) group by all),
+lost as (select *, count(*) times from (select * from before_run except all select * from right_run) group by all),
+apart as (select *, 'gained' side from gained union all select *, 'lost' side from lost)
+select discrepancy_id, awb_number, batch_id, cast(courier_id as bigint) courier_id, merchant_id, cast(geo_id as bigint) geo_id,
+  discrepancy_type, cast(expected_value as double) expected_value, cast(actual_value as double) actual_value,
+  cast(variance_rs as double) variance_rs, severity, times,
+  case when count(distinct side) over (partition by discrepancy_id)=1 then side
+    when side='gained' then 'changed_to' else 'changed_from' end as change from apart"""
+    )
+    dims = "courier_name, tier, discrepancy_type, severity"
+    sql["discrepancy_cube"] = _with(
+        f"""select cast(grouping({dims}) as bigint) grouping_id, {dims}, count(*) cases, count(distinct awb_number) awbs,
+  cast(sum(variance_rs) as double) leakage_rs
+from fact_discrepancies d join dim_courier c on c.courier_id=d.courier_id join dim_geography g on g.geo_id=d.geo_id
+group by cube ({dims})"""
+    )
+    sql["sketch_check"] = _with(
+        """select cast(s.courier_id as bigint) courier_id, count(distinct s.awb_number) exact_awbs,
+  count(distinct d.awb_number) exact_disputed, cast(1 as bigint) awbs_near, cast(1 as bigint) disputed_near, cast(1 as bigint) median_near
+from fact_settlements s left join fact_discrepancies d on d.awb_number=s.awb_number and d.batch_id=s.batch_id
+where s.settlement_date between date '1994-03-01' and date '1997-10-31' group by 1"""
+    )
+    sql["stream_bursts"] = _with(
+        """, rows_of as (
+  select s.courier_id, o.geo_id, s.settlement_date, s.settlement_id, count(*) n, sum(d.variance_rs) rs
+  from fact_settlements s join fact_orders o on o.awb_number=s.awb_number
+  join fact_discrepancies d on d.awb_number=s.awb_number and d.batch_id=s.batch_id
+  group by 1, 2, 3, 4 having sum(d.variance_rs)>=5000),
+marked as (
+  select *, case when settlement_date - lag(settlement_date) over w <= 5 then 0 else 1 end starts
+  from rows_of window w as (partition by courier_id, geo_id order by settlement_date)),
+numbered as (
+  select *, sum(starts) over (partition by courier_id, geo_id order by settlement_date, starts desc rows unbounded preceding) burst
+  from marked)
+select cast(courier_id as bigint) courier_id, cast(geo_id as bigint) geo_id, cast(min(settlement_date) as varchar) burst_start,
+  cast(max(settlement_date) as varchar) burst_end, count(*) settlements, cast(sum(n) as bigint) disputes, cast(sum(rs) as double) leakage_rs
+from numbered group by courier_id, geo_id, burst"""
+    )
 
     sql["stream_daily"] = sql["daily_trend"]
     sql["stream_weekly"] = sql["weekly_trend"]

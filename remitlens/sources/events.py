@@ -53,9 +53,3 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 def write_events(events: DataFrame, path: str) -> None:
     """JSON lines below ``path``."""
     event_messages(events).select("value").write.mode("overwrite").text(path)
-
-
-def publish(events: DataFrame, bootstrap_servers: str, topic: str = TOPIC, **options: str) -> None:
-    """Send to a topic; needs the Kafka connector on the class path."""
-    writer = event_messages(events).write.format("kafka").options(**PRODUCER_OPTIONS)
-    writer.option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).options(**options).save()

@@ -27,7 +27,7 @@ def serving_frames(wh: Warehouse) -> Builders:
         "scorecard": lambda: kpis.courier_scorecard_frame(joined(), 1),
         "rca_cells": lambda: kpis.rca_cells(wh, 60, rounded=half_even),
         "merchants": lambda: segments.merchant_health(joined()),
-        "tier_entry": lambda: kpis.tier_entry(joined()),
+        "tier_entry": lambda: kpis.tier_entry(joined()).drop("leakage_pct_of_gmv", "avg_delay_hrs"),
         "forecast": lambda: forecast.actual_and_forecast(forecast.weekly_series(wh)),
     }
 

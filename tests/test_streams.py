@@ -3,6 +3,7 @@ import re
 from functools import reduce
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from remitlens.plans import kpis
 from remitlens.plans.warehouse import BenchmarkWarehouse
 from remitlens.session import names_in, new_folder
 from remitlens.sources import events
-from remitlens.streaming import event_feed, jobs, leakage_windows, settlement_feed
+from remitlens.streaming import bursts, event_feed, jobs, leakage_windows, settlement_feed
 from tests.conftest import SMALL, day
 
 
@@ -193,7 +194,9 @@ def test_published_messages_carry_every_discrepancy(spark):
     messages = event_feed.outgoing_messages(
         jobs.table_stream(spark, path, wh.outcomes.schema), datetime.datetime(2026, 1, 1)
     )
-    sent = spark.read.json(jobs.run_available(messages, "sent", fmt="json"))
+    sent_to = new_folder(spark, "sent")
+    event_feed.publish_stream(messages, event_feed.FolderSink(sent_to), f"{sent_to}-progress")
+    sent = spark.read.json(sent_to)
     assert rows_of(sent.select("key")) == rows_of(wh.discrepancies.select("discrepancy_id"))
 
 
@@ -207,6 +210,83 @@ def test_windows_equal_the_batch_trend(spark, build, batch):
     assert rows_of(windows.read_last(spark)) == rows_of(batch(wh))
 
 
+class FailingSink:
+    """Writes and then fails, as a broker that took some messages before it was lost."""
+
+    def __init__(self, path, failures):
+        self.inner, self.failures, self.sends = event_feed.FolderSink(path), failures, 0
+
+    def send(self, messages):
+        self.sends += 1
+        if self.sends <= self.failures:
+            self.inner.send(messages.limit(1))
+            raise ConnectionError("no broker")
+        self.inner.send(messages)
+
+
+def keyed_messages(spark, *keys):
+    return spark.createDataFrame([(k, f'{{"discrepancy_id": "{k}", "idempotency_key": "{k}"}}') for k in keys], "key string, value string")
+
+
+def test_every_message_is_delivered_at_least_once(spark):
+    stream = lambda: arriving(spark, "outgoing", keyed_messages(spark, "a", "b"), keyed_messages(spark, "c"))
+    path, sink = new_folder(spark, "sent"), None
+    sink = FailingSink(path, event_feed.ATTEMPTS - 1)
+    event_feed.publish_stream(stream(), sink, f"{path}-progress")
+    sent = spark.read.schema("key string, value string").json(path)
+    assert {r.key for r in sent.collect()} == {"a", "b", "c"} and sink.sends == event_feed.ATTEMPTS + 1
+    # Key and value belong together, and a consumer takes each once although some came twice.
+    assert sent.where("key <> get_json_object(value, '$.discrepancy_id')").count() == 0 and sent.count() > 3
+    taken = event_feed.consumed(spark, new_folder(spark, "taken"))
+    event_feed.consume_once(jobs.table_stream(spark, path, sent.schema, "json"), taken)
+    assert sorted(r.idempotency_key for r in taken.read_last(spark).collect()) == ["a", "b", "c"]
+
+
+def test_a_stream_that_gave_up_goes_on_where_it_stopped(spark):
+    out, messages = new_folder(spark, "outgoing"), [keyed_messages(spark, "a"), keyed_messages(spark, "b")]
+    for part in messages:
+        part.coalesce(1).write.mode("append").parquet(out)
+    path = new_folder(spark, "sent")
+    stream = lambda: jobs.table_stream(spark, out, messages[0].schema, files_per_trigger=1)
+    with pytest.raises(StreamingQueryException, match="no broker"):
+        event_feed.publish_stream(stream(), FailingSink(path, 99), f"{path}-progress", attempts=2)
+    sink = FailingSink(path, 0)
+    event_feed.publish_stream(stream(), sink, f"{path}-progress")
+    assert sink.sends == 2 and {r.key for r in spark.read.json(path).collect()} == {"a", "b"}
+
+
+def test_a_topic_gets_the_fixed_options():
+    sink = event_feed.TopicSink("broker:9092")
+    assert sink.options() == {
+        "kafka.acks": "all", "kafka.retries": "3", "kafka.bootstrap.servers": "broker:9092", "topic": "discrepancy.events",
+    }
+
+
+def plain_bursts(days, gap):
+    found = []
+    for d in sorted(days):
+        if found and d - found[-1][1] <= gap:
+            found[-1] = (found[-1][0], d, found[-1][2] + 1)
+        else:
+            found.append((d, d, 1))
+    return [(day(a), day(b), n) for a, b, n in found]
+
+
+def test_late_settlements_join_two_bursts(spark, orders_of, settlements_of):
+    orders = orders_of(dict(awb_number="A"))
+    days = [[0, 20, 3], [14, 40], [9, 60, 46], [65, 71, 5]]
+    parts = [outcomes(settlements_of(*[dict(awb_number="A", settlement_date=day(n), rto_charge=9000) for n in part]), orders) for part in days]
+    small = outcomes(settlements_of(dict(awb_number="A", settlement_date=day(30), rto_charge=10)), orders)
+    built = bursts.bursts(arriving(spark, "arriving", *parts, small))
+    table = leakage_windows.keep_windows(built, spark, new_folder(spark, "bursts"))
+    got = sorted((r.burst_start, r.burst_end, r.settlements) for r in table.read_last(spark).collect())
+    assert got == plain_bursts([n for part in days for n in part], 5)
+    # The same from a table at once, and only the last micro-batches' results stay.
+    batch = bursts.bursts(reduce(DataFrame.unionByName, parts))
+    assert sorted((r.burst_start, r.burst_end, r.settlements) for r in batch.collect()) == got
+    assert len([n for n in names_in(spark, table.path) if n.startswith("epoch=")]) <= 3
+
+
 def test_late_rows_count_in_their_window(spark, orders_of, settlements_of):
     orders = orders_of(dict(awb_number="A"))
     parts = [outcomes(settlements_of(dict(awb_number="A", settlement_date=day(n))), orders) for n in (9, 5, 20, 5)]
