@@ -38,10 +38,10 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """Digests of the placed pieces of all documents."""
-    found = packing.pieces(docs, PACKING_TOKENIZER)
-    return packing.place(found.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+def packed(docs: DataFrame, with_ids: bool = False) -> DataFrame:
+    """The placed pieces of all documents with digests of their ids, and the ids themselves if wanted."""
+    found = packing.pieces(docs, PACKING_TOKENIZER).withColumn("ids_crc32", F.crc32("ids"))
+    return packing.place(found if with_ids else found.drop("ids"))
 
 
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
