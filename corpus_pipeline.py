@@ -34,8 +34,8 @@ def secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Every document's pieces with their place in a training sequence."""
-    return queries.packed(docs)
+    """Every document's pieces, token ids and all, with their place in a training sequence."""
+    return queries.packed(docs, with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

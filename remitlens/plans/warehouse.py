@@ -105,7 +105,7 @@ def _stage(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataF
     """Write a derived table once per application and state of the given files, and read it from there."""
     key = (*key, name)
     if key not in _staged:
-        df, path = build(), new_folder(spark, name)
+        df, path = build(), new_folder(spark, name, keep=True)
         write_table(df, path, partition_by)
         _staged[key] = (path, df.schema)
     return read_table(spark, *_staged[key])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +44,25 @@ def own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/remitlens/{spark.sparkContext.applicationId}"
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, unique to this call."""
-    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+_scratch: list[str] = []
+
+
+def new_folder(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A fresh path below the shared folder, unique to this call; inside of :func:`scratch` one that goes, unless to keep."""
+    base = own_folder(spark) if keep or not _scratch else _scratch[-1]
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written inside when it ends, as for a query whose result has been read or stored by then."""
+    folder = new_folder(spark, "scratch", keep=True)
+    _scratch.append(folder)
+    try:
+        yield
+    finally:
+        _scratch.remove(folder)
+        remove_folder(spark, folder)
 
 
 def _folder(spark: SparkSession, path: str):

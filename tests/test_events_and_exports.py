@@ -5,7 +5,7 @@ from remitlens.operators.reconcile import reconcile
 from remitlens.plans import marketplace, marts
 from remitlens.plans.marketplace import BenchmarkMarketplace
 from remitlens.plans.warehouse import BenchmarkWarehouse, from_tables
-from remitlens.session import new_folder
+from remitlens.session import names_in, new_folder, scratch
 from remitlens.sources import csv_tables, events, exports
 from tests.conftest import SMALL, day
 
@@ -115,3 +115,15 @@ def test_sample_folder_to_report(spark, tmp_path, orders_of, settlements_of):
     wh = from_tables(csv_tables.load_warehouse(spark, str(tmp_path)), day(40))
     rows = [tuple(r) for r in marts.discrepancies_export(wh).select("courier_name", "city", "variance_rs").collect()]
     assert rows == [("A", "X", 150)]
+
+
+def test_scratch_goes_and_staged_tables_stay(spark):
+    wh = BenchmarkWarehouse(spark, SMALL)
+    with scratch(spark):
+        kept, gone = wh.written_folder("outcomes"), new_folder(spark, "gone")
+        spark.range(3).write.parquet(gone)
+        with scratch(spark):
+            inner = new_folder(spark, "inner")
+            spark.range(3).write.parquet(inner)
+        assert not names_in(spark, inner) and names_in(spark, gone)
+    assert names_in(spark, kept) and not names_in(spark, gone)
