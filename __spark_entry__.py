@@ -46,7 +46,9 @@ from remitlens.sources.benchmark_tables import AS_OF, BenchmarkTables  # noqa: E
 from remitlens.sources.store import TableStore  # noqa: E402
 from remitlens.streaming import bursts, event_feed, jobs, leakage_windows, settlement_feed  # noqa: E402
 
-try:  # the text operators and their pipeline are one part of the library that may be taken out
+# The text operators and their pipeline are one part of the library that may be taken out, and then only the rest is
+# registered. If they are there but need a module that is not, that is an error and not a smaller library.
+try:
     import corpus_pipeline
     from remitlens.llm import queries as text_queries
 except ModuleNotFoundError as missing:

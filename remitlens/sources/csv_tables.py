@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,22 +20,40 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+#: Files whose first lines are read at a time.
+READERS = 16
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a text file, compressed or not; None if it is empty. Only its first bytes are read."""
+    jvm = spark._jvm
+    path, settings = jvm.org.apache.hadoop.fs.Path(file), spark._jsc.hadoopConfiguration()
+    stream = path.getFileSystem(settings).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(path)
+        text = stream if codec is None else codec.createInputStream(stream)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def by_header(spark: SparkSession, path: str, **options: object) -> list[DataFrame]:
     """The text columns of CSV files, one frame for each distinct header, since Spark reads all files by the first one's.
 
-    Only the files' names and header lines come to the driver.
+    The files' names and first lines come to the driver, as the names do for any read; no file is read twice. Quoted line
+    breaks in column names are not supported.
     """
     options = {"header": True, **options}
-    # The first line of a file; quoted line breaks in column names are not supported.
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line"), "value",
-    )
-    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header")).collect()
+    # Spark names files as escaped addresses.
+    unescaped = lambda address: spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(address)).toString()
+    names = sorted(map(unescaped, spark.read.text(path).inputFiles()))
+    with ThreadPoolExecutor(READERS) as readers:
+        headers = list(readers.map(lambda name: first_line(spark, name), names))
     files: dict[str, list[str]] = {}
-    for row in first:
-        files.setdefault(row.header, []).append(row.file)
-    return [spark.read.options(**options).csv(sorted(group)) for _, group in sorted(files.items())]
+    for name, header in zip(names, headers, strict=True):
+        if header is not None:
+            files.setdefault(header.removeprefix("\ufeff"), []).append(name)
+    return [spark.read.options(**options).csv(group) for _, group in sorted(files.items())]
 
 
 def _named(frames: list[DataFrame], columns: Callable[[], list[Column]], schema: T.StructType, spark: SparkSession) -> DataFrame:

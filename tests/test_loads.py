@@ -1,4 +1,5 @@
 import datetime
+import gzip
 import os
 from decimal import Decimal
 
@@ -113,3 +114,18 @@ def test_files_with_headers_of_their_own(spark, tmp_path):
     assert rows == [(1, "Mumbai", "Tier-1", "West"), (2, "Kolkata", "Tier-2", "East")]
     coerced = sorted(tuple(r) for r in csv_tables.read_coerced(spark, str(folder), schema.DIM_GEOGRAPHY).collect())
     assert coerced == rows
+
+
+def test_headers_cost_no_second_read(spark, tmp_path):
+    """First lines are read as such, also of compressed, empty and oddly named files; no job runs for them."""
+    folder = tmp_path / "g"
+    folder.mkdir()
+    write(folder, "a b%20.csv", "geo_id,city,tier,zone\n1,Mumbai,Tier-1,West\n")
+    write(folder, "empty.csv", "")
+    (folder / "c.csv.gz").write_bytes(gzip.compress(b"zone,tier,city,geo_id\nEast,Tier-2,Kolkata,2\n"))
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    frames = csv_tables.by_header(spark, str(folder))
+    # Each frame looks at the head of one file for its columns.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before <= len(frames) == 2
+    rows = sorted(tuple(r) for r in csv_tables.read_named(spark, str(folder), schema.DIM_GEOGRAPHY).collect())
+    assert rows == [(1, "Mumbai", "Tier-1", "West"), (2, "Kolkata", "Tier-2", "East")]
