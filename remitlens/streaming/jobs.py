@@ -79,7 +79,7 @@ class KeyedTable:
     the number of the last micro-batch in them) where what rows say can be said by fewer. A bucket thus never has more files than a generation has micro-batches. A generation is one
     sequential pass over what it still holds. The one before stays, for a first micro-batch that has to be tried again.
 
-    Micro-batches are numbered one after the other; each calls ``begin`` before it reads or writes.
+    Micro-batches have rising numbers; each calls ``begin`` before it reads or writes.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, key: str, buckets: int = BUCKETS,
@@ -104,11 +104,17 @@ class KeyedTable:
 
     def begin(self, spark: SparkSession, epoch: int) -> None:
         """Start a new generation if this is its first micro-batch."""
-        number = epoch // self.generation
-        if epoch % self.generation == 0 and number > 0:
-            held = self._rows(spark, number - 1, None)
+        number, whole = epoch // self.generation, self._generations(spark)
+        if number not in whole:
+            held = self._rows(spark, whole[-1], None)
             self._write(held if self.fold is None else self.fold(held, epoch - 1), number, epoch - 1, "static")
-            remove_folder(spark, self._folder(number - 2))
+            for old in whole[:-1]:
+                remove_folder(spark, self._folder(old))
+
+    def _generations(self, spark: SparkSession) -> list[int]:
+        """Those whose first write has ended."""
+        numbers = sorted(int(name.partition("=")[2]) for name in names_in(spark, self.path))
+        return [n for n in numbers if "_SUCCESS" in names_in(spark, self._folder(n))]
 
     def write(self, rows: DataFrame, epoch: int) -> None:
         self._write(rows, epoch // self.generation, epoch)
@@ -143,10 +149,7 @@ class KeyedTable:
 
     def read_last(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:
         """All rows there are, also for a job that has not written them."""
-        numbers = sorted((int(name.partition("=")[2]) for name in names_in(spark, self.path)), reverse=True)
-        # The last generation whose first write has ended.
-        last = next(n for n in numbers if "_SUCCESS" in names_in(spark, self._folder(n)))
-        return self._rows(spark, last, buckets).select(*self.schema.fieldNames())
+        return self._rows(spark, self._generations(spark)[-1], buckets).select(*self.schema.fieldNames())
 
 
 def each_batch(df: DataFrame, act: Callable[[DataFrame, int], None], progress: str, mode: str = "append") -> None:

@@ -36,6 +36,15 @@ def files_of(df) -> set[str]:
     return {path.partition("/bucket=")[2].partition("/")[0] for path in df.inputFiles()}
 
 
+def test_numbers_may_be_left_out(spark):
+    table = jobs.KeyedTable(spark, new_folder(spark, "keyed"), "k string, n int", "k", 2, 3)
+    for epoch in (0, 1, 5, 13, 14, 40):
+        table.begin(spark, epoch)
+        assert table.read(spark, epoch).count() == {0: 0, 1: 1, 5: 2, 13: 3, 14: 4, 40: 5}[epoch]
+        table.write(numbers(spark, epoch), epoch)
+    assert sorted(r.n for r in table.read_last(spark).collect()) == [0, 1, 5, 13, 14, 40]
+
+
 def test_per_row_rules_equal_the_batch(spark, orders_of, settlements_of):
     orders = orders_of(*[dict(awb_number=f"A{i}") for i in range(5)])
     first = settlements_of(dict(awb_number="A0", rto_charge=150), dict(awb_number="A1"), dict(awb_number="X"))
