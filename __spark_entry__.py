@@ -591,6 +591,8 @@ def warehouse_queries() -> dict[str, Query]:
         "season_kpis": lambda spark, folder: plain(
             periods.seasons_kpis(BenchmarkWarehouse(spark, folder).outcomes, BenchmarkTables(spark, folder).seasons())
         ),
+        "trailing_leakage": on(lambda wh: periods.trailing_leakage(wh.outcomes)),
+        "booked_and_settled": facts(lambda s, o: periods.booked_and_settled(o, s)),
         "overdue_intervals": facts(periods.overdue_settlements),
         # Statistics.
         "welch_weight": on(
@@ -631,6 +633,7 @@ def warehouse_queries() -> dict[str, Query]:
         "event_publication": _event_publication,
         "stream_daily": _windows(leakage_windows.daily_leakage),
         "stream_weekly": _windows(leakage_windows.weekly_leakage),
+        "stream_sliding": _windows(leakage_windows.sliding_leakage),
         "stream_bursts": _bursts,
     }
     for kind in DISCREPANCY_TYPES:

@@ -444,6 +444,24 @@ join (select s.settlement_id, s.courier_id, s.settlement_date, count(d.discrepan
   from fact_settlements s left join fact_discrepancies d on d.awb_number=s.awb_number and d.batch_id=s.batch_id group by 1, 2, 3) s
 on s.courier_id=z.courier_id and s.settlement_date between season_start and season_end
 group by 1, 2, 3"""
+    )
+    daily = """, daily as (
+  select s.courier_id, s.settlement_date as day, count(d.discrepancy_id) disputes, coalesce(sum(d.variance_rs),0) rs
+  from fact_settlements s left join fact_discrepancies d on d.awb_number=s.awb_number and d.batch_id=s.batch_id group by 1, 2)"""
+    sql["trailing_leakage"] = _with(
+        f"""{daily}
+select cast(courier_id as bigint) courier_id, cast(day as varchar) as day, disputes, cast(rs as double) leakage_rs,
+  cast(sum(disputes) over w as bigint) trailing_disputes, cast(sum(rs) over w as double) trailing_leakage_rs,
+  cast(max(rs) over w as double) worst_day_rs
+from daily window w as (partition by courier_id order by day range between interval 6 days preceding and current row)"""
+    )
+    sql["booked_and_settled"] = _with(
+        """select cast(coalesce(b.courier_id, s.courier_id) as bigint) courier_id, coalesce(b.m, s.m) as month,
+  cast(booked as double) booked_rs, cast(settled as double) settled_rs,
+  cast(coalesce(booked,0)-coalesce(settled,0) as double) open_rs
+from (select courier_id, strftime(order_date,'%Y-%m') m, sum(cod_amount) booked from fact_orders group by 1, 2) b
+full join (select courier_id, strftime(settlement_date,'%Y-%m') m, sum(settled_cod) settled from fact_settlements group by 1, 2) s
+on s.courier_id=b.courier_id and s.m=b.m"""
     )
     sql["overdue_intervals"] = _with(
         """select s.settlement_id, s.awb_number, cast(s.settlement_date as varchar) settlement_date,
@@ -950,4 +968,14 @@ from numbered group by courier_id, geo_id, burst"""
 
     sql["stream_daily"] = sql["daily_trend"]
     sql["stream_weekly"] = sql["weekly_trend"]
+    sql["stream_sliding"] = _with(
+        """, joined as (
+  select s.settlement_date, d.awb_number disputed, d.variance_rs
+  from fact_settlements s left join fact_discrepancies d on d.awb_number=s.awb_number and d.batch_id=s.batch_id)
+select cast(span_start as varchar) span_start, count(*) settlements, count(disputed) disputes,
+  cast(coalesce(sum(variance_rs),0) as double) leakage_rs
+from (select *, unnest([sunday - 21, sunday - 14, sunday - 7, sunday]) span_start
+  from (select *, settlement_date - cast(dayofweek(settlement_date) as int) sunday from joined))
+group by 1"""
+    )
     return sql

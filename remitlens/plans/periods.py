@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.operators.temporal import as_of_join, interval_join
@@ -47,3 +47,33 @@ def overdue_settlements(settlements: DataFrame, orders: DataFrame) -> DataFrame:
     )
     rows = settlements.select("settlement_id", "awb_number", "settlement_date", "settled_cod")
     return interval_join(rows, due, ["awb_number"], "settlement_date", "overdue_from", "overdue_to")
+
+
+def trailing_leakage(outcome_rows: DataFrame, days: int = 7) -> DataFrame:
+    """By courier and day with settlements: disputes and leakage of that day and the days before it, ``days`` in all.
+
+    Rows fold by day first, so the frame, which is one of values and not of rows, slides over days: gaps count as nothing.
+    """
+    daily = outcome_rows.where(F.col("settlement_date").isNotNull()).groupBy("courier_id", F.col("settlement_date").alias("day")).agg(
+        F.sum("dispute_count").alias("disputes"), F.sum("leakage_rs").alias("leakage_rs")
+    )
+    back = Window.partitionBy("courier_id").orderBy(F.unix_date("day")).rangeBetween(1 - days, 0)
+    return daily.select(
+        "courier_id", "day", "disputes", "leakage_rs",
+        F.sum("disputes").over(back).alias("trailing_disputes"), F.sum("leakage_rs").over(back).alias("trailing_leakage_rs"),
+        F.max("leakage_rs").over(back).alias("worst_day_rs"),
+    )
+
+
+def booked_and_settled(orders: DataFrame, settlements: DataFrame) -> DataFrame:
+    """By courier and month: cash to collect on orders of the month, and cash settled in it; either may be missing.
+
+    Both facts fold before they meet, so the full join is of months.
+    """
+    month = lambda day: F.date_format(day, "yyyy-MM").alias("month")
+    booked = orders.groupBy("courier_id", month("order_date")).agg(F.sum("cod_amount").alias("booked_rs"))
+    settled = settlements.groupBy("courier_id", month("settlement_date")).agg(F.sum("settled_cod").alias("settled_rs"))
+    none = F.lit(0).cast("decimal(22,2)")
+    return booked.join(settled, ["courier_id", "month"], "full").withColumn(
+        "open_rs", F.coalesce("booked_rs", none) - F.coalesce("settled_rs", none)
+    )

@@ -1,4 +1,4 @@
-"""Leakage over tumbling windows of the settlement date.
+"""Leakage over tumbling and sliding windows of the settlement date.
 
 The state has one row per day or week of the whole history, so no window is ever closed: a settlement that arrives years
 late still counts in its window. Each micro-batch leaves the windows as they are then.
@@ -37,6 +37,12 @@ def weekly_leakage(outcome_rows: DataFrame) -> DataFrame:
     return _windowed(outcome_rows, span, F.date_add(F.col("w.start").cast("date"), 1), "wk")
 
 
+def sliding_leakage(outcome_rows: DataFrame, weeks: int = 4) -> DataFrame:
+    """Running totals of spans of some weeks from Sunday to Saturday, one span for each week that it may begin with."""
+    span = F.window(F.col("settlement_date").cast("timestamp"), f"{7 * weeks} days", "7 days", "3 days")
+    return _windowed(outcome_rows, span, F.col("w.start").cast("date"), "span_start")
+
+
 def keep_windows(windows: DataFrame, spark: SparkSession, folder: str) -> EpochTable:
     """Write the windows after each micro-batch; the last one's are the present totals."""
     table = EpochTable(spark, folder, windows.schema, keep=2)

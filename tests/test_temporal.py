@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from remitlens.operators.temporal import as_of_join, interval_join
+from remitlens.plans import periods
 from remitlens.settings import SkewSettings
 
 EAGER = SkewSettings(heavy_rows=20, rows_per_share=7, buckets=4)
@@ -114,3 +115,19 @@ def test_long_ranges_are_not_repeated_without_bound(spark):
         assert days // 16**level + 2 <= 17
     assert interval_join(points.limit(0), ranges, [], "at", "a", "b").count() == 0
     assert interval_join(points, ranges.limit(0), [], "at", "a", "b").count() == 0
+
+
+def test_a_trailing_frame_is_of_days_and_not_of_rows(spark):
+    days = {0: 5, 1: 7, 6: 1, 7: 2, 30: 4}
+    rows = [(1, date(d), n, float(n)) for d, n in days.items()] + [(2, date(3), 9, 9.0), (1, None, 100, 100.0)]
+    found = periods.trailing_leakage(spark.createDataFrame(rows, "courier_id int, settlement_date date, dispute_count int, leakage_rs double"))
+    got = {r.day: (r.trailing_disputes, r.worst_day_rs) for r in found.where("courier_id = 1").collect()}
+    assert got == {date(0): (5, 5.0), date(1): (12, 7.0), date(6): (13, 7.0), date(7): (10, 7.0), date(30): (4, 4.0)}
+    assert found.where("courier_id = 2").first().trailing_disputes == 9
+
+
+def test_a_month_on_either_side_alone(spark, orders_of, settlements_of):
+    orders = orders_of(dict(awb_number="A", order_date=datetime.date(2026, 1, 5), cod_amount=10))
+    settled = settlements_of(dict(awb_number="A", settlement_date=datetime.date(2026, 2, 5), settled_cod=4))
+    got = sorted((r.month, r.booked_rs, r.settled_rs, int(r.open_rs)) for r in periods.booked_and_settled(orders, settled).collect())
+    assert [(m, b and int(b), s and int(s), o) for m, b, s, o in got] == [("2026-01", 10, None, 10), ("2026-02", None, 4, -4)]
