@@ -126,8 +126,9 @@ class LineRuns:
         return self.spark.table(self._name(run))
 
     def _write(self, rows: DataFrame, run: Run) -> DataFrame:
-        dealt = rows.select("key", "owner").repartition(self.buckets, "key")
-        # A bucket is one task's, and so one file.
+        # By the bucket's number, as Spark gives it: a bucket is one task's, and so one file, however many tasks there are.
+        bucket = F.pmod(F.hash("key"), F.lit(self.buckets))
+        dealt = rows.select("key", "owner").repartition(self.buckets, bucket)
         writer = dealt.write.mode("overwrite").bucketBy(self.buckets, "key").sortBy("key")
         writer.option("path", f"{self.path}/{run}").saveAsTable(self._name(run))
         return self.read(run)

@@ -98,6 +98,8 @@ def test_runs_are_read_in_their_order(spark):
     runs = line_dedup.LineRuns(spark, fanout=9, buckets=16)
     for n in range(3):
         runs.add(pairs_of(spark, n, *[b"key%d" % (k * n) for k in range(50)]))
+    files = [path for run in runs.runs for path in runs.read(run).inputFiles()]
+    assert len(files) <= 3 * 16
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         with line_dedup._in_order(spark):
