@@ -93,9 +93,14 @@ def _common(words: Column, language: Column) -> Column:
 
 
 def measured(docs: DataFrame, text: Column, lang: Column, window: int = WINDOW) -> DataFrame:
-    """``docs`` with a struct ``found``: the counts, both histograms, the language and the counting rules' verdict."""
+    """``docs`` with a struct ``found``: the counts, both histograms, the language and the counting rules' verdict.
+
+    It replaces a column of this name; other columns stay, whatever their names.
+    """
     words = F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE + "+", -1), "")
-    rows = docs.withColumns({"_text": F.coalesce(text, F.lit("")), "_words": words, "_language": _language(lang)})
+    kept = [c for c in docs.columns if c != "found"]
+    own = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_own")
+    rows = docs.select(own, F.coalesce(text, F.lit("")).alias("_text"), words.alias("_words"), _language(lang).alias("_language"))
     w, n = F.col("_words"), F.size("_words")
     # What is neither lower case nor white space is a small part of most texts, and all that the classes count.
     rows = rows.withColumn("_marks", F.regexp_replace("_text", r"[\p{Ll}\x20\x09-\x0D]+", ""))
@@ -122,7 +127,7 @@ def measured(docs: DataFrame, text: Column, lang: Column, window: int = WINDOW)
         chars.alias("chars"),
         rest(F.col("_n_words"), F.col("_common")).alias("words"),
     )
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], found.alias("found"))
+    return rows.select(*[F.col("_own").getField(c).alias(c) for c in kept], found.alias("found"))
 
 
 def _share(counts: Column) -> Column:

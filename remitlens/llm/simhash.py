@@ -187,7 +187,8 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
 def near_duplicates(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Each row of ``prints`` (columns ``doc_id`` and ``fingerprint``, read more than once, so a table) with its group.
 
-    Adds ``root`` (a fingerprint that names the group) and ``component_id`` (the group's smallest doc_id). Rows
+    Adds ``root`` (a fingerprint that names the group) and ``component_id`` (the group's smallest doc_id), which replace
+    columns of these names. Rows
     without a doc_id are linked like any other, but name a group only if none of its rows has one: then
     ``component_id`` is null. Repeated rows come back as often as they are given. Documents without a word share
     the fingerprint zero and so form a group.
@@ -203,7 +204,7 @@ def near_duplicates(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -
     # A group's rows may all share one root, so its smallest id is folded first and joined between written tables.
     least = written(members.groupBy("root").agg(F.min("least_id").alias("component_id")), "least-ids")
     named = written(members.join(least, "root").select("fingerprint", "root", "component_id"), "named")
-    return prints.join(named, "fingerprint", "left")
+    return prints.drop("root", "component_id").join(named, "fingerprint", "left")
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE) -> DataFrame:

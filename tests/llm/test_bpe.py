@@ -78,3 +78,8 @@ def test_columns(spark):
     both = docs.select("ids", bpe.round_trip(docs.text, FILE).alias("x")).select("ids", "x.ids", "x.decoded").collect()
     assert [tuple(r) for r in both] == [tuple(r) for r in rows]
     assert [(r.ids, len(r.x), r.t) for r in rows] == [(1, 0, ""), (2, 0, ""), (None, 8, "a b")]
+
+
+def test_no_rows(spark):
+    docs = spark.createDataFrame([], "ids long, text string")
+    assert docs.select("ids", bpe.round_trip(docs.text, FILE).alias("x")).count() == 0

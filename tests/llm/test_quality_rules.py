@@ -112,3 +112,15 @@ def test_stage(spark):
     assert kept.columns == docs.columns
     assert {r.found for r in kept.collect()} <= {r[1] for r in rows if not failed(counts(r[0])[0], counts(r[0])[4])}
     assert rules.keep_good(docs.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, t, "en", "mine", 7, "own") for _, t, _ in samples()[:12]]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string, _text string, _words int, found string")
+    got = rules.measured(docs, F.col("text"), F.col("lang"))
+    assert got.columns == ["doc_id", "text", "lang", "_text", "_words", "found"]
+    plain = rules.measured(docs.select("doc_id", "text", "lang"), F.col("text"), F.col("lang"))
+    assert sorted(map(str, got.select("text", "found").collect())) == sorted(map(str, plain.select("text", "found").collect()))
+    assert {(r._text, r._words) for r in got.collect()} == {("mine", 7)}
+    kept = rules.keep_good(docs)
+    assert kept.columns == docs.columns and all((r._text, r._words, r.found) == ("mine", 7, "own") for r in kept.collect())

@@ -9,6 +9,7 @@ import xxhash
 from remitlens.llm import simhash
 from remitlens.llm.components import connected_components
 from remitlens.llm.queries import op1_simhash
+from remitlens.session import written
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -126,3 +127,12 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted((r.doc_id for r in kept.collect() if r.doc_id is not None)) == sorted({c for _, _, c in groups if c is not None})
     assert [(r.text, r.fingerprint) for r in kept.collect() if r.doc_id is None] == [("lonely text here", "y")]
     assert [r.fingerprint for r in kept.collect() if r.doc_id == 3] == ["a"]
+
+
+def test_columns_of_any_name(spark):
+    prints = spark.createDataFrame([(1, 5, "x", "y", 3), (2, 5, "x", "y", 4), (3, -1, None, "z", 5)], "doc_id long, fingerprint long, root string, component_id string, node int")
+    found = simhash.near_duplicates(written(prints, "prints"))
+    assert found.columns == ["fingerprint", "doc_id", "node", "root", "component_id"]
+    assert {r.doc_id: r.component_id for r in found.collect()} == {1: 1, 2: 1, 3: 3}
+    docs = spark.createDataFrame([(1, "a b c d e", "x", "y"), (2, "a b c d e", "x", "y")], "doc_id long, text string, root string, fingerprint string")
+    assert [tuple(r) for r in simhash.drop_near_duplicates(docs).collect()] == [(1, "a b c d e", "x", "y")]
