@@ -2,8 +2,8 @@
 
 Every document's characters fall into a few classes, and its words onto the language's common words or none of them.
 Both histograms are compared with those of the language, summed over all documents of the table that pass the counting
-rules, by Jensen-Shannon distance. Short documents, whose histograms say little, are left alone. All of this is
-expressions over one row, a sum per language and a broadcast of these few sums.
+rules, by Jensen-Shannon distance. Short documents, whose histograms say less, may be further off, and their words are not
+compared. All of this is expressions over one row, a sum per language and a broadcast of these few sums.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from remitlens.session import written
 LEAST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
 #: Fewest words, and largest distances of characters, of words and of both together, for the divergence rules.
 GUARD_WORDS, MOST_CHARS, MOST_WORDS, MOST_TOGETHER = 60, 0.30, 0.45, 0.44
+#: Texts of fewer words than that are judged by their characters alone, and the fewer they are the further these may be off:
+#: the largest distance just below the guard, and how much more a text of ``LEAST_WORDS`` may have.
+SHORT_CHARS, WIDER = 0.34, 0.10
 
 # Common words by language.
 COMMON = {
@@ -160,14 +163,16 @@ def _usual(found: DataFrame, fits: Column) -> DataFrame:
 def _compared(found: DataFrame, usual: DataFrame) -> DataFrame:
     """Rows with ``chars_distance``, ``words_distance`` and ``usual``, whether both are small enough or unknown."""
     rows = found.join(F.broadcast(usual), F.col("found.language") == F.col("usual_language"), "left")
-    long = F.col("found.n_words") >= GUARD_WORDS
-    apart = lambda name, q: F.when(long & q.isNotNull(), distance(F.col(f"found.{name}"), q))
-    chars = apart("chars", F.col("usual_chars"))
+    n = F.col("found.n_words")
+    apart = lambda name, q: F.when(q.isNotNull(), distance(F.col(f"found.{name}"), q))
+    chars = F.when(n >= LEAST_WORDS, apart("chars", F.col("usual_chars")))
     listed = F.slice("usual_words", 1, F.greatest(F.size("found.words"), F.lit(1)))
-    words = F.when(F.col("found.language") != "other", apart("words", listed))
+    words = F.when((n >= GUARD_WORDS) & (F.col("found.language") != "other"), apart("words", listed))
     rows = rows.withColumns({"chars_distance": chars, "words_distance": words})
     known = [F.coalesce(F.col(name), F.lit(0.0)) for name in ("chars_distance", "words_distance")]
-    small = (known[0] <= MOST_CHARS) & (known[1] <= MOST_WORDS) & (known[0] + known[1] <= MOST_TOGETHER)
+    short = F.lit(SHORT_CHARS) + F.lit(WIDER) * (GUARD_WORDS - n) / F.lit(float(GUARD_WORDS - LEAST_WORDS))
+    most = F.when(n >= GUARD_WORDS, F.lit(MOST_CHARS)).otherwise(short)
+    small = (known[0] <= most) & (known[1] <= MOST_WORDS) & (known[0] + known[1] <= MOST_TOGETHER)
     return rows.withColumn("usual", small).drop("usual_language", "usual_chars", "usual_words")
 
 
@@ -188,9 +193,9 @@ def judged(found: DataFrame) -> DataFrame:
 def quality(docs: DataFrame) -> DataFrame:
     """``doc_id``, the counts, ``base_failed``, ``chars_distance``, ``words_distance`` and ``kept`` of every document.
 
-    Takes ``doc_id``, ``text`` and ``lang``. A null or empty text has no words and fails. Distances are null for texts of
-    fewer than ``GUARD_WORDS`` words, and that of words also for languages without a list; null passes. Repeated rows
-    are judged each.
+    Takes ``doc_id``, ``text`` and ``lang``. A null or empty text has no words and fails. The distance of words is null
+    for texts of fewer than ``GUARD_WORDS`` and for languages without a list, both are for fewer than ``LEAST_WORDS``; null
+    passes. Repeated rows are judged each.
     """
     found = written(measured(docs.select("doc_id", "text", "lang"), F.col("text"), F.col("lang")).drop("text", "lang"), "measures")
     return judged(found).select(

@@ -153,13 +153,18 @@ def quality_sql() -> str:
         return f"""
 {name}_usual as (select language, {sums} from {source} where not base_failed group by language),
 {name} as (
-  select m.*, case when m.n_words >= {quality_rules.GUARD_WORDS} and u.language is not null then {distance(chars)} end as chars_distance,
+  select m.*, case when m.n_words >= {quality_rules.LEAST_WORDS} and u.language is not null then {distance(chars)} end as chars_distance,
     case when m.n_words >= {quality_rules.GUARD_WORDS} and u.language is not null and m.language <> 'other' then {distance(words)} end
       as words_distance
   from measured m left join {name}_usual u on u.language = m.language)"""
 
+    guard, span = quality_rules.GUARD_WORDS, float(quality_rules.GUARD_WORDS - quality_rules.LEAST_WORDS)
+    most = (
+        f"case when n_words >= {guard} then {quality_rules.MOST_CHARS}"
+        f" else cast({quality_rules.SHORT_CHARS} as double) + cast({quality_rules.WIDER} as double) * ({guard} - n_words) / {span} end"
+    )
     fits = (
-        f"coalesce(chars_distance, 0) <= {quality_rules.MOST_CHARS} and coalesce(words_distance, 0) <= {quality_rules.MOST_WORDS}"
+        f"coalesce(chars_distance, 0) <= {most} and coalesce(words_distance, 0) <= {quality_rules.MOST_WORDS}"
         f" and coalesce(chars_distance, 0) + coalesce(words_distance, 0) <= {quality_rules.MOST_TOGETHER}"
     )
     window = quality_rules.WINDOW
