@@ -18,12 +18,18 @@ def _others(df: DataFrame, names: list[str]) -> list[str]:
     return [c for c in df.columns if c not in names]
 
 
-def _skewed_join(left: DataFrame, right: DataFrame, keys: list[str], skew: SkewSettings, how: str) -> DataFrame:
-    """Join a side whose keys may be heavy with one that has few rows per key; equal left rows count as one for spreading."""
+def _skewed_join(left: DataFrame, right: DataFrame, keys: list[str], skew: SkewSettings, how: str,
+                 hint: str | None = None) -> DataFrame:
+    """Join a side whose keys may be heavy with one that has few rows per key; equal left rows count as one for spreading.
+
+    ``hint`` names the kind of join, where Spark's own estimate of the right side would mislead it.
+    """
     counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     heavy = heavy_buckets(counts, keys, "_rows", skew)
     by = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     spread, repeated = spread_rows(left, heavy, keys, by, skew), repeat_rows(right, heavy, keys, skew)
+    if hint is not None:
+        repeated = repeated.hint(hint)
     return spread.join(repeated, [*keys, SHARE], how).drop(SHARE)
 
 
@@ -98,6 +104,7 @@ def interval_join(points: DataFrame, ranges: DataFrame, keys: list[str], time: s
     held = held.withColumn(bins, F.explode(F.sequence(bin_of(first), bin_of(last))))
     asked = points.where(F.col(time).isNotNull()).withColumn(level, F.explode(F.array(*map(F.lit, used)).cast("array<int>")))
     asked = asked.withColumn(bins, bin_of(_days(F.col(time))))
-    joined = _skewed_join(asked, held, [*keys, level, bins], skew, "inner")
+    # Spark sizes ranges by their rows before they are repeated by bin, and would broadcast what fits no driver.
+    joined = _skewed_join(asked, held, [*keys, level, bins], skew, "inner", "merge")
     inside = F.col(time).between(F.col(start), F.col(end))
     return joined.where(inside).select(*points.columns, *_others(ranges, keys))

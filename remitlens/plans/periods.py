@@ -46,7 +46,8 @@ def overdue_settlements(settlements: DataFrame, orders: DataFrame) -> DataFrame:
         "awb_number", F.date_add("order_date", first).alias("overdue_from"), F.date_add("order_date", last).alias("overdue_to")
     )
     rows = settlements.select("settlement_id", "awb_number", "settlement_date", "settled_cod")
-    return interval_join(rows, due, ["awb_number"], "settlement_date", "overdue_from", "overdue_to")
+    # All intervals are of one length; bins of it hold an interval in two at most.
+    return interval_join(rows, due, ["awb_number"], "settlement_date", "overdue_from", "overdue_to", last - first + 1)
 
 
 def trailing_leakage(outcome_rows: DataFrame, days: int = 7) -> DataFrame:

@@ -131,3 +131,24 @@ def test_a_month_on_either_side_alone(spark, orders_of, settlements_of):
     settled = settlements_of(dict(awb_number="A", settlement_date=datetime.date(2026, 2, 5), settled_cod=4))
     got = sorted((r.month, r.booked_rs, r.settled_rs, int(r.open_rs)) for r in periods.booked_and_settled(orders, settled).collect())
     assert [(m, b and int(b), s and int(s), o) for m, b, s, o in got] == [("2026-01", 10, None, 10), ("2026-02", None, 4, -4)]
+
+
+def test_ranges_repeated_by_bin_are_not_broadcast(spark):
+    """Few rows, but each repeated by bin: Spark's estimate knows nothing of the repeats."""
+    points = spark.range(50).select("id", F.date_add(F.lit(DAY0), F.col("id").cast("int")).alias("at"))
+    ranges = spark.range(20).select("id", F.lit(DAY0).alias("a"), F.date_add(F.lit(DAY0), 13).alias("b"))
+    found = interval_join(points, ranges, ["id"], "at", "a", "b")
+    assert "Join Inner, " in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "SortMergeJoin [id" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 14
+
+
+def test_overdue_intervals_lie_in_two_bins_at_most(spark, orders_of, settlements_of):
+    orders = orders_of(*[dict(awb_number=f"A{i}", order_date=date(i)) for i in range(30)])
+    settled = settlements_of(*[dict(awb_number=f"A{i}", settlement_date=date(i + n)) for i in range(30) for n in (14, 15, 28, 29)])
+    found = periods.overdue_settlements(settled, orders)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(FLOOR((cast(unix_date(" in plan and "14" in plan
+    assert sorted((r.awb_number, (r.settlement_date - r.overdue_from).days) for r in found.collect()) == sorted(
+        (f"A{i}", n) for i in range(30) for n in (0, 13)
+    )
