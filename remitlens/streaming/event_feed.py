@@ -9,6 +9,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from remitlens.operators.marks import may_meet
 from remitlens.operators.reconcile import list_discrepancies
 from remitlens.sources.events import EVENT_SCHEMA, PRODUCER_OPTIONS, TOPIC, event_messages, event_rows, parse_messages
 from remitlens.streaming.jobs import BUCKETS, KeyedTable, each_batch
@@ -87,7 +88,8 @@ def consume_once(messages: DataFrame, taken: KeyedTable) -> None:
         session, sent = batch.sparkSession, parse_messages(batch)
         taken.begin(session, epoch)
         fresh = sent.dropDuplicates(["idempotency_key"])
-        stored = taken.read(session, epoch, taken.buckets_of(sent))
-        taken.write(fresh.join(stored.select("idempotency_key"), "idempotency_key", "left_anti"), epoch)
+        key = ["idempotency_key"]
+        stored = may_meet(taken.read(session, epoch, taken.buckets_of(sent)).select(*key), sent, key)
+        taken.write(fresh.join(stored, key, "left_anti"), epoch)
 
     each_batch(messages, take, f"{taken.path}-progress")
