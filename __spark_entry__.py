@@ -340,7 +340,8 @@ def _whole_run_results(spark: SparkSession, folder: str) -> DataFrame:
     for name, table in _tables(spark, folder).items():
         table.write.options(header=True, quote='"', escape='"').csv(f"{source}/{name}.csv")
     run = cycle.run_all(spark, source, out, AS_OF, DETECTED_AT)
-    sent = events.parse_messages(spark.read.text(f"{out}/events/version=1")).groupBy("discrepancy_type").agg(
+    lines = spark.read.text(f"{out}/events/version=1")
+    sent = events.parse_messages(lines, "discrepancy_type", "variance_rs").groupBy("discrepancy_type").agg(
         F.count(F.lit(1)).alias("found"), F.sum("variance_rs").alias("amount")
     )
     listed = lambda df, part, name, found, amount: df.select(

@@ -22,7 +22,8 @@ def counted(settlements: DataFrame) -> DataFrame:
 
 
 def _by_awb(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("awb_number").agg(F.sum("copies").alias("copies"))
+    # The filter that joins would infer stands here for all uses, so they share one shuffle.
+    return counts.where(F.col("awb_number").isNotNull()).groupBy("awb_number").agg(F.sum("copies").alias("copies"))
 
 
 def store_copies(store: TableStore, settlements: DataFrame, buckets: int = BUCKETS) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from remitlens.operators.quality import result_violations, warehouse_violations
 from remitlens.operators.reconcile import list_discrepancies, outcomes, summarise
 from remitlens.plans.copies import refresh_copies, store_copies
+from remitlens.plans.kpis import with_disputed
 from remitlens.plans.marts import daily_kpis, upsert_daily_kpis
 from remitlens.plans.warehouse import from_tables
 from remitlens.schema import WAREHOUSE_TABLES
@@ -81,10 +82,10 @@ def run_all(spark: SparkSession, source: str, folder: str, as_of: datetime.date,
         store.write(name, table)
     tables = {name: store.read(name) for name in WAREHOUSE_TABLES}
     summary = run_cycle(store, tables, as_of, detected_at, 1)
-    wh = replace(from_tables(tables, as_of), outcomes=store.read("outcomes"))
-    mart = store.read("daily_kpis")
-    exports.write_json(exports.serving_frames(wh), f"{folder}/serving")
-    exports.write_csv(exports.report_frames(wh, mart), f"{folder}/report")
+    wh = with_disputed(replace(from_tables(tables, as_of), outcomes=store.read("outcomes")))
+    mart, health = store.read("daily_kpis"), exports.health_of(wh)
+    exports.write_json(exports.serving_frames(wh, health), f"{folder}/serving")
+    exports.write_csv(exports.report_frames(wh, mart, health), f"{folder}/report")
     violations = warehouse_violations(tables, WAREHOUSE_TABLES).unionByName(
         result_violations(wh.discrepancies, mart, tables)
     )

@@ -58,10 +58,19 @@ def disputed_orders(wh: Warehouse) -> DataFrame:
     )
 
 
-def with_disputed(wh: Warehouse) -> LoadedWarehouse:
-    """The warehouse with that join written, for runs that read it more than once."""
+#: What scorecards, tiers and merchants read of an order and its discrepancies.
+_DISPUTED_COLUMNS = (
+    "courier_id", "merchant_id", "geo_id", "order_value", "promised_eta_hrs", "actual_eta_hrs",
+    "dispute_count", "phantom_count", "leakage_rs",
+)
+
+
+def with_disputed(wh: Warehouse) -> Warehouse:
+    """The warehouse with what is read of that join written once, for runs that read it more than once."""
+    if wh.disputed is not None:
+        return wh
     frames = (wh.couriers, wh.geography, wh.merchants, wh.dates, wh.orders, wh.outcomes)
-    return LoadedWarehouse(*frames, written(disputed_orders(wh), "disputed"))
+    return LoadedWarehouse(*frames, written(disputed_orders(wh).select(*_DISPUTED_COLUMNS), "disputed"))
 
 
 # -- header and trends -----------------------------------------------------------------------------
@@ -140,12 +149,15 @@ def dso_by_courier(wh: Warehouse) -> DataFrame:
     )
 
 
-def funnel(wh: Warehouse) -> DataFrame:
-    """Orders, delivered, settled, matched and disputed, each with its share of the stage before."""
+def funnel(wh: Warehouse, header: DataFrame | None = None) -> DataFrame:
+    """Orders, delivered, settled, matched and disputed, each with its share of the stage before.
+
+    ``header`` brings the headline figures where they have been computed already.
+    """
     placed = wh.orders.agg(
         F.count(F.lit(1)).alias("orders"), F.count_if(F.col("order_status") == "DELIVERED").alias("delivered")
     )
-    settled = header_kpis(wh).select("settled_awbs", "disputed_awbs")
+    settled = (header_kpis(wh) if header is None else header).select("settled_awbs", "disputed_awbs")
     # One row each; the missing columns of either are null, and the sum of nulls and a number is the number.
     both = placed.unionByName(settled, allowMissingColumns=True).agg(
         *[F.sum(c).alias(c) for c in ("orders", "delivered", "settled_awbs", "disputed_awbs")]

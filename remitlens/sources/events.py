@@ -46,8 +46,10 @@ def event_messages(events: DataFrame) -> DataFrame:
     return events.select(F.col("discrepancy_id").alias("key"), value.alias("value"))
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    return messages.select(F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("e")).select("e.*")
+def parse_messages(messages: DataFrame, *fields: str) -> DataFrame:
+    """The events of messages, or some of their fields; the others are then passed over and not converted."""
+    schema = T.StructType([EVENT_SCHEMA[name] for name in fields]) if fields else EVENT_SCHEMA
+    return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("e")).select("e.*")
 
 
 def write_events(events: DataFrame, path: str) -> None:

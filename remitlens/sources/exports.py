@@ -12,34 +12,46 @@ from remitlens.functions.numbers import half_even
 from remitlens.plans import forecast, kpis, marketplace, marts, segments
 from remitlens.plans.marketplace import Marketplace
 from remitlens.plans.warehouse import Warehouse
+from remitlens.session import written
 
-Builders = dict[str, Callable[[], DataFrame]]
+Build = Callable[[], DataFrame]
+Builders = dict[str, Build]
 
 
-def serving_frames(wh: Warehouse) -> Builders:
-    """What the dashboard reads, one small aggregate per name; orders meet their discrepancies once for all of them."""
+def health_of(wh: Warehouse) -> Build:
+    """Merchant health, computed and written when first asked for, for exports that share it."""
+    return cache(lambda: written(segments.merchant_health(wh), "merchant-health"))
+
+
+def serving_frames(wh: Warehouse, health: Build | None = None) -> Builders:
+    """What the dashboard reads, one small aggregate per name; orders meet their discrepancies once for all of them.
+
+    The headline figures are computed once for themselves and the funnel. ``health`` brings merchant health where other
+    exports hold it too.
+    """
     joined = cache(lambda: kpis.with_disputed(wh))
+    header = cache(lambda: written(kpis.header_kpis(wh), "header"))
     return {
-        "kpis": lambda: kpis.header_kpis(wh),
+        "kpis": header,
         "trend": lambda: kpis.weekly_trend(wh),
         "pareto": lambda: kpis.pareto_couriers(wh, rounded=half_even),
-        "funnel": lambda: kpis.funnel(wh),
+        "funnel": lambda: kpis.funnel(wh, header()),
         "scorecard": lambda: kpis.courier_scorecard_frame(joined(), 1),
         "rca_cells": lambda: kpis.rca_cells(wh, 60, rounded=half_even),
-        "merchants": lambda: segments.merchant_health(joined()),
+        "merchants": health or (lambda: segments.merchant_health(joined())),
         "tier_entry": lambda: kpis.tier_entry(joined()).drop("leakage_pct_of_gmv", "avg_delay_hrs"),
         "forecast": lambda: forecast.actual_and_forecast(forecast.weekly_series(wh)),
     }
 
 
-def report_frames(wh: Warehouse, mart: DataFrame) -> Builders:
+def report_frames(wh: Warehouse, mart: DataFrame, health: Build | None = None) -> Builders:
     """What the report tool loads as CSV."""
     joined = cache(lambda: kpis.with_disputed(wh))
     return {
         "kpi_daily": lambda: marts.kpi_daily_export(wh, mart),
         "discrepancies": lambda: marts.discrepancies_export(wh),
         "courier_scorecard": lambda: kpis.courier_scorecard_frame(joined(), 1),
-        "merchant_health": lambda: segments.merchant_health(joined()),
+        "merchant_health": health or (lambda: segments.merchant_health(joined())),
     }
 
 

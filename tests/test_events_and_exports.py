@@ -2,10 +2,11 @@ import datetime
 import json
 
 from remitlens.operators.reconcile import reconcile
-from remitlens.plans import marketplace, marts
+from remitlens.plans import cycle, kpis, marketplace, marts, segments
 from remitlens.plans.marketplace import BenchmarkMarketplace
 from remitlens.plans.warehouse import BenchmarkWarehouse, from_tables
 from remitlens.session import names_in, new_folder, scratch
+from remitlens.schema import WAREHOUSE_TABLES
 from remitlens.sources import csv_tables, events, exports
 from tests.conftest import SMALL, day
 
@@ -127,3 +128,32 @@ def test_scratch_goes_and_staged_tables_stay(spark):
             spark.range(3).write.parquet(inner)
         assert not names_in(spark, inner) and names_in(spark, gone)
     assert names_in(spark, kept) and not names_in(spark, gone)
+
+
+def test_parsing_some_fields_of_an_event(spark):
+    lines = [('{"discrepancy_type":"T","variance_rs":1.5,"courier_id":"no number"}',), ("no JSON",), (None,), ('{"variance_rs":null}',)]
+    messages = spark.createDataFrame(lines, "value string")
+    fields = ("variance_rs", "discrepancy_type")
+    some = events.parse_messages(messages, *fields)
+    assert some.collect() == events.parse_messages(messages).select(*fields).collect()
+    assert some.columns == list(fields)
+
+
+def test_exports_of_a_run_share_their_joins(spark, monkeypatch):
+    """Orders meet their discrepancies once in a run, and merchants and headline figures are computed once."""
+    wh, source, out = BenchmarkWarehouse(spark, SMALL), new_folder(spark, "source"), new_folder(spark, "run")
+    frames = (wh.couriers, wh.geography, wh.merchants, wh.orders, wh.settlements)
+    for name, table in zip(WAREHOUSE_TABLES, frames, strict=True):
+        table.write.options(header=True, quote='"', escape='"').csv(f"{source}/{name}.csv")
+    written, headers = [], []
+    for module in (kpis, segments):
+        whole = module.written
+        monkeypatch.setattr(module, "written", lambda df, name, *rest, whole=whole: written.append(name) or whole(df, name, *rest))
+    header = kpis.header_kpis
+    monkeypatch.setattr(kpis, "header_kpis", lambda w: headers.append(w) or header(w))
+    cycle.run_all(spark, source, out, datetime.date(2001, 8, 1), AT)
+    assert sorted(written) == ["disputed", "merchant-totals"] and len(headers) == 1
+    merchants = spark.read.json(f"{out}/serving/merchants")
+    assert merchants.count() == spark.read.option("header", True).csv(f"{out}/report/merchant_health").count() > 0
+    funnel = {r.stage: r.n for r in spark.read.json(f"{out}/serving/funnel").collect()}
+    assert funnel["Settled"] == spark.read.json(f"{out}/serving/kpis").first().settled_awbs
