@@ -35,6 +35,8 @@ END = b"\n"
 HEAD, CLASSES, INNER, ENDINGS = 1 << 17, 16, 32, 16
 #: Rows of the hashed tables, tokens of an update, step, rounds, slices in which changes are summed.
 ROWS, BATCH, STEP, ROUNDS, SLICES = 1 << 13, 8192, 0.3, 3, 16
+#: Rows of a group that are added at once with those of all other groups.
+FEW = 4
 #: Bytes of text whose words are counted at once, tokens that are scored at once: few, so that their scores stay cached.
 COUNTED, SCORED_AT_ONCE = 16 << 20, 2048
 #: Largest score, so that a row's exponentials add up in single precision.
@@ -243,33 +245,62 @@ def _log_chance(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
 
 def _inner_rows(features: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Rows inside a class: those of the context, shifted by the class."""
-    return (features + (classes * 2654435761 % ROWS)[:, None]) % ROWS
+    return (features + (classes * 2654435761)[:, None]) & (ROWS - 1)
+
+
+def _sum_of_rows(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each line of ``rows``, the sum of these rows of the table. ``take`` copies rows as a whole; indexing does not."""
+    total = table.take(rows[:, 0], 0, mode="clip")
+    held = np.empty_like(total)
+    for column in rows.T[1:]:
+        total += table.take(column, 0, out=held, mode="clip")
+    return total
 
 
 def _scores(weights: Weights, features: np.ndarray, classes: np.ndarray, inside: np.ndarray):
     """Scores of all classes for each token, and of all words of its class for the tokens ``inside``, with their rows."""
-    outer = weights.outer[features[:, 0]]
-    outer += weights.outer[features[:, 1]]
-    outer += weights.outer[features[:, 2]]
+    outer = _sum_of_rows(weights.outer, features)
     outer += weights.outer[ROWS]
-    rows = _inner_rows(features[inside], classes[inside])
-    inner = weights.inner[rows[:, 0]]
-    inner += weights.inner[rows[:, 1]]
-    inner += weights.inner[rows[:, 2]]
-    inner += weights.inner[ROWS + classes[inside]]
+    of = classes[inside]
+    rows = _inner_rows(features.take(inside, 0), of)
+    inner = _sum_of_rows(weights.inner, np.column_stack([rows, ROWS + of]))
     return outer, inner, rows
 
 
+def _group_sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of the values' rows in groups: those of ``order`` from each start on, as many as its size.
+
+    Most groups have a few rows, for which ``reduceat`` would take longer than their rows do: the first ``FEW`` rows of all
+    groups are added at once, and only what larger groups have beyond these goes through it.
+    """
+    sums = values.take(order[starts], 0)
+    for n in range(1, FEW):
+        groups = np.flatnonzero(sizes > n)
+        if not len(groups):
+            return sums
+        sums[groups] = sums.take(groups, 0) + values.take(order[starts[groups] + n], 0)
+    groups = np.flatnonzero(sizes > FEW)
+    if len(groups):
+        rest = sizes[groups] - FEW
+        begins = np.cumsum(rest) - rest
+        rows = np.arange(rest.sum()) + np.repeat(starts[groups] + FEW - begins, rest)
+        sums[groups] += np.add.reduceat(values.take(order[rows], 0), begins, axis=0)
+    return sums
+
+
 def _update(table: np.ndarray, squares: np.ndarray, updates: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
     """One step for every row: its slopes summed, and divided by the root of all squares so far."""
     for feature in rows.T:
         order = np.argsort(feature.astype(np.uint16), kind="stable")  # by radix
         ordered = feature[order]
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-        summed, at = np.add.reduceat(slope[order], starts, axis=0), ordered[starts]
-        squares[at] += (summed * summed) @ np.full(summed.shape[1], 1 / summed.shape[1], np.float32)
-        table[at] -= STEP * summed / np.sqrt(squares[at] + 1.0)[:, None]
-        updates[at] += np.diff(np.r_[starts, len(ordered)])
+        sizes, at = np.diff(np.r_[starts, len(ordered)]), ordered[starts]
+        summed = _group_sums(slope, order, starts, sizes)
+        here = squares[at] + np.einsum("ij,ij->i", summed, summed) / np.float32(summed.shape[1])
+        squares[at] = here
+        summed *= (np.float32(STEP) / np.sqrt(here + np.float32(1)))[:, None]
+        table[at] = np.subtract(table.take(at, 0), summed, out=summed)
+        updates[at] += sizes
 
 
 class Learner:

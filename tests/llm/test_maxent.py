@@ -101,6 +101,33 @@ def test_the_last_two_words_together_decide(spark):
         assert (p - q if word == "p" else q - p) > 0.3
 
 
+def test_sums_of_groups_of_any_size():
+    numbers = np.random.default_rng(7)
+    for sizes in ([1, 1, 1], [2, 4, 5, 1, 300, 3, 4], list(range(1, 40)), [900]):
+        sizes = np.array(sizes)
+        rows, starts = sizes.sum(), np.cumsum(sizes) - sizes
+        values, order = numbers.random((rows, 6), dtype=np.float32), numbers.permutation(rows)
+        want = np.zeros((len(sizes), 6))
+        np.add.at(want, np.repeat(np.arange(len(sizes)), sizes), values[order])
+        assert maxent._group_sums(values, order, starts, sizes) == pytest.approx(want, rel=1e-5)
+
+
+def test_an_update_is_one_step_for_every_row():
+    numbers = np.random.default_rng(8)
+    rows, slope = numbers.integers(0, 50, (400, 3)).astype(np.int32), numbers.random((400, 4), dtype=np.float32) - 0.5
+    rows[:150, 0] = 7
+    table, squares, updates = np.ones((60, 4), np.float32), np.zeros(60, np.float32), np.zeros(60, np.int64)
+    whole, roots = table.astype(float), squares.astype(float)
+    for feature in rows.T:
+        for row in np.unique(feature):
+            step = slope[feature == row].astype(float).sum(0)
+            roots[row] += (step**2).mean()
+            whole[row] -= maxent.STEP * step / np.sqrt(roots[row] + 1)
+    maxent._update(table, squares, updates, rows, slope)
+    assert table == pytest.approx(whole, rel=1e-4, abs=1e-5) and squares == pytest.approx(roots, rel=1e-4)
+    assert updates.tolist() == np.bincount(rows.ravel(), minlength=60).tolist()
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert maxent.score(docs, maxent.train(docs)).count() == 0
