@@ -35,7 +35,7 @@ END = b"\n"
 HEAD, CLASSES, INNER, ENDINGS = 1 << 17, 16, 32, 16
 #: Rows of the hashed tables, tokens of an update, step, rounds, slices in which changes are summed.
 ROWS, BATCH, STEP, ROUNDS, SLICES = 1 << 13, 8192, 0.3, 3, 16
-#: Rows of a group that are added at once with those of all other groups.
+#: Rows of groups that are added at once with those of all groups of their size.
 FEW = 4
 #: Bytes of text whose words are counted at once, tokens that are scored at once: few, so that their scores stay cached.
 COUNTED, SCORED_AT_ONCE = 16 << 20, 2048
@@ -270,21 +270,23 @@ def _scores(weights: Weights, features: np.ndarray, classes: np.ndarray, inside:
 def _group_sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Sums of the values' rows in groups: those of ``order`` from each start on, as many as its size.
 
-    Most groups have a few rows, for which ``reduceat`` would take longer than their rows do: the first ``FEW`` rows of all
-    groups are added at once, and only what larger groups have beyond these goes through it.
+    Most groups have a few rows, for which ``reduceat`` would take longer than their rows do: those of up to ``FEW`` rows are
+    added at once, in its order (the first row plus the sum of the others), and only larger ones go through it.
     """
     sums = values.take(order[starts], 0)
-    for n in range(1, FEW):
-        groups = np.flatnonzero(sizes > n)
-        if not len(groups):
-            return sums
-        sums[groups] = sums.take(groups, 0) + values.take(order[starts[groups] + n], 0)
+    for size in range(2, FEW + 1):
+        groups = np.flatnonzero(sizes == size)
+        if len(groups):
+            rest = values.take(order[starts[groups] + 1], 0)
+            for n in range(2, size):
+                rest += values.take(order[starts[groups] + n], 0)
+            sums[groups] = sums.take(groups, 0) + rest
     groups = np.flatnonzero(sizes > FEW)
     if len(groups):
-        rest = sizes[groups] - FEW
-        begins = np.cumsum(rest) - rest
-        rows = np.arange(rest.sum()) + np.repeat(starts[groups] + FEW - begins, rest)
-        sums[groups] += np.add.reduceat(values.take(order[rows], 0), begins, axis=0)
+        many = sizes[groups]
+        begins = np.cumsum(many) - many
+        rows = np.arange(many.sum()) + np.repeat(starts[groups] - begins, many)
+        sums[groups] = np.add.reduceat(values.take(order[rows], 0), begins, axis=0)
     return sums
 
 
@@ -296,9 +298,9 @@ def _update(table: np.ndarray, squares: np.ndarray, updates: np.ndarray, rows: n
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         sizes, at = np.diff(np.r_[starts, len(ordered)]), ordered[starts]
         summed = _group_sums(slope, order, starts, sizes)
-        here = squares[at] + np.einsum("ij,ij->i", summed, summed) / np.float32(summed.shape[1])
-        squares[at] = here
-        summed *= (np.float32(STEP) / np.sqrt(here + np.float32(1)))[:, None]
+        squares[at] += (summed * summed) @ np.full(summed.shape[1], 1 / summed.shape[1], np.float32)
+        summed *= STEP
+        summed /= np.sqrt(squares[at] + 1.0)[:, None]
         table[at] = np.subtract(table.take(at, 0), summed, out=summed)
         updates[at] += sizes
 
